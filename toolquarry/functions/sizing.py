@@ -1,0 +1,8 @@
+"""Checks made before a side is broadcast."""
+
+from pyspark.sql import DataFrame
+
+
+def fits_rows(df: DataFrame, rows: int) -> bool:
+    """Whether ``df`` has at most ``rows`` rows; reads no more than one row beyond."""
+    return df.limit(rows + 1).count() <= rows
