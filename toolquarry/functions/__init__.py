@@ -1,12 +1,12 @@
 """Column helpers: text, JSON text, lookups, size checks."""
 
 from .json_text import json_items, object_entries, parameters_json, quoted
-from .sizing import fits_rows
+from .sizing import count_up_to
 from .text import blank_to_null, let, lookup, token_count, trimmed, unix_newlines
 
 __all__ = [
     "blank_to_null",
-    "fits_rows",
+    "count_up_to",
     "json_items",
     "let",
     "lookup",

@@ -3,6 +3,6 @@
 from pyspark.sql import DataFrame
 
 
-def fits_rows(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has at most ``rows`` rows; reads no more than one row beyond."""
-    return df.limit(rows + 1).count() <= rows
+def count_up_to(df: DataFrame, rows: int) -> int:
+    """Number of rows, or ``rows + 1`` if there are more; counts no further than that."""
+    return df.limit(rows + 1).count()

@@ -5,7 +5,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import fits_rows, lookup, unix_newlines
+from ..functions import count_up_to, lookup, unix_newlines
 
 # Folder names skipped unless the caller gives a list of their own.
 DEFAULT_EXCLUDES = (
@@ -105,7 +105,7 @@ def keep_detected(routed: DataFrame, all_paths: DataFrame) -> DataFrame:
     """
     sure = F.col("ext").isin("py", "ts", "js", "java")
     node_projects = all_paths.filter(_marks_node(F.col("path"))).select("project").distinct()
-    if fits_rows(node_projects, BROADCAST_PROJECTS):
+    if count_up_to(node_projects, BROADCAST_PROJECTS) <= BROADCAST_PROJECTS:
         marked = node_projects.withColumn("_node", F.lit(True))
         return (
             routed.join(F.broadcast(marked), "project", "left")

@@ -6,6 +6,7 @@ built tools are plain regex columns.
 """
 
 import re
+from bisect import bisect_left
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -61,17 +62,20 @@ def _plain_params(text):
 
 
 def _find(text):
+    # Matches of a method never overlap, so one pass serves all annotations.
+    methods = list(_METHOD.finditer(text))
+    starts = [m.start() for m in methods]
     rows = []
     for mark in _ANNOTATION.finditer(text):
-        method = _METHOD.search(text, mark.end())
-        params = None
-        if method:
+        row = {"arguments": mark[1], "method": None, "params": None}
+        following = bisect_left(starts, mark.end())
+        if following < len(methods):
+            method = methods[following]
             end = closing(text, method.end() - 1, PARENS) or text.find(")", method.end()) + 1
-            if not end:
-                method = None  # no parameter list at all
-            else:
-                params = _plain_params(text[method.end() : end - 1])
-        rows.append({"arguments": mark[1], "method": method[1] if method else None, "params": params})
+            if end:
+                row["method"] = method[1]
+                row["params"] = _plain_params(text[method.end() : end - 1])
+        rows.append(row)
     return rows
 
 

@@ -37,4 +37,5 @@ def parsed(find, found: T.StructType):
             rows = [one(t.as_py()) if t.is_valid else None for t in texts]
         return pa.array(rows, type=arrow_shape)
 
-    return run
+    # Evaluated once: a filter on its result must not run it a second time below.
+    return run.asNondeterministic()

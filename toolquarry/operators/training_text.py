@@ -5,7 +5,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import fits_rows, quoted, token_count
+from ..functions import count_up_to, quoted, token_count
 from ..schemas import MESSAGE, TOOL_CALL
 
 # Fixed value: the message put in front of a conversation that brings none.
@@ -17,6 +17,10 @@ _OPENING_ROLES = ("system", "developer")
 TURNS_PER_PART = 50_000
 # Longer lists of long conversations are joined by shuffle; one row is two numbers.
 BROADCAST_LONG = 500_000
+# Larger tables of resolved tool lists are joined by shuffle.
+BROADCAST_LISTS = 64 * 1024 * 1024
+# Spread of the samples that name no tools in that shuffle.
+SALTS = 10_007
 # One row cannot hold more than this much catalog.
 ALL_TOOLS_BYTES = 256 * 1024 * 1024
 
@@ -46,13 +50,15 @@ class ChatTemplate(NamedTuple):
 def add_instruction_turns(turns: DataFrame) -> DataFrame:
     """Add an instruction turn in front of conversations that open without one.
 
-    ``turns`` holds ``conv_id, turn, role, text``. The first role per conversation
-    is an aggregate that combines map-side and reads no text.
+    ``turns`` holds ``conv_id, turn, role, text``. Where a conversation starts and
+    where it has an opening message are two minimums: they read no text, hash, and
+    combine map-side.
     """
-    opening = turns.groupBy("conv_id").agg(
-        F.min("turn").alias("turn"), F.min_by("role", "turn").alias("role")
+    opens = F.coalesce(F.col("role").isin(*_OPENING_ROLES), F.lit(False))
+    first = turns.groupBy("conv_id").agg(
+        F.min("turn").alias("turn"), F.min(F.when(opens, F.col("turn"))).alias("opening")
     )
-    missing = opening.filter(~F.coalesce(F.col("role").isin(*_OPENING_ROLES), F.lit(False)))
+    missing = first.filter(F.col("opening").isNull() | (F.col("opening") > F.col("turn")))
     instructions = missing.select(
         "conv_id",
         (F.col("turn") - 1).alias("turn"),
@@ -62,30 +68,38 @@ def add_instruction_turns(turns: DataFrame) -> DataFrame:
     return turns.select("conv_id", "turn", "role", "text").unionByName(instructions)
 
 
-def number_parts(turns: DataFrame, turns_per_part: int = TURNS_PER_PART) -> DataFrame:
-    """Add ``part``: 0, or a running number for the turns of an overlong conversation.
+def _overlong(turns: DataFrame, turns_per_part: int) -> DataFrame | None:
+    """``conv_id, _first`` of conversations with more rows than that, None if there are none.
 
-    Conversations with more rows than ``turns_per_part`` are cut by turn number, so
-    no task has to hold one of them whole; read the parts in order to get it back.
+    Counting is a job over two columns. The result comes with a broadcast hint if it
+    has been found short enough.
     """
     counts = turns.groupBy("conv_id").agg(
         F.count(F.lit(1)).alias("_n"), F.min("turn").alias("_first")
     )
     overlong = counts.filter(F.col("_n") > turns_per_part).select("conv_id", "_first")
-    if fits_rows(overlong, BROADCAST_LONG):
-        overlong = F.broadcast(overlong)
-    part = F.floor((F.col("turn") - F.col("_first")) / turns_per_part).cast("bigint")
-    return (
-        turns.join(overlong, "conv_id", "left")
-        .withColumn("part", F.coalesce(part, F.lit(0).cast("bigint")))
-        .drop("_first")
-    )
+    found = count_up_to(overlong, BROADCAST_LONG)
+    if not found:
+        return None
+    return F.broadcast(overlong) if found <= BROADCAST_LONG else overlong
 
 
 def assemble_turns(turns: DataFrame, turns_per_part: int = TURNS_PER_PART) -> DataFrame:
-    """Conversations as nested rows: ``conv_id, part, messages`` in turn order."""
-    numbered = number_parts(turns, turns_per_part).repartition("conv_id", "part")
-    collected = numbered.groupBy("conv_id", "part").agg(
+    """Conversations as nested rows: ``conv_id, part, messages`` in turn order.
+
+    ``part`` is 0, or a running number for a conversation with more rows than
+    ``turns_per_part``: it is cut by turn number, so no task has to hold it whole.
+    Read the parts in order to get it back.
+    """
+    overlong = _overlong(turns, turns_per_part)
+    part = F.lit(0).cast("bigint")
+    keys = ["conv_id"]
+    if overlong is not None:
+        cut = F.floor((F.col("turn") - F.col("_first")) / turns_per_part).cast("bigint")
+        turns = turns.join(overlong, "conv_id", "left").withColumn("part", F.coalesce(cut, part))
+        keys, part = ["conv_id", "part"], F.col("part")
+    # Lists do not shrink map-side: shuffle the rows, then collect.
+    collected = turns.repartition(*keys).groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("_turns")
     )
     message = lambda t: F.struct(
@@ -95,14 +109,17 @@ def assemble_turns(turns: DataFrame, turns_per_part: int = TURNS_PER_PART) -> Da
         F.lit(None).cast(f"array<{TOOL_CALL}>").alias("tool_calls"),
     )
     messages = F.transform("_turns", message).cast(f"array<{MESSAGE}>")
-    return collected.select("conv_id", "part", messages.alias("messages"))
+    return collected.select("conv_id", part.alias("part"), messages.alias("messages"))
 
 
 # ---- samples ------------------------------------------------------------------------
 
 
 def add_instruction(samples: DataFrame) -> DataFrame:
-    """Put the instruction message in front unless a sample opens with one."""
+    """Put the instruction message in front unless a sample opens with one.
+
+    Of a conversation in parts only part 0 gets it.
+    """
     none = F.array().cast(f"array<{MESSAGE}>")
     messages = F.coalesce("messages", none)
     opening = F.get(messages, F.lit(0))["role"]
@@ -114,6 +131,8 @@ def add_instruction(samples: DataFrame) -> DataFrame:
     )
     with_it = F.concat(F.array(instruction).cast(f"array<{MESSAGE}>"), messages)
     has_one = F.coalesce(opening.isin(*_OPENING_ROLES), F.lit(False))
+    if "part" in samples.columns:
+        has_one = has_one | (F.col("part") > 0)
     return samples.withColumn("messages", F.when(has_one, messages).otherwise(with_it))
 
 
@@ -177,31 +196,40 @@ def select_tools(samples: DataFrame, catalog: DataFrame) -> DataFrame:
     names none gets the whole catalog.
 
     Samples share few different lists of names, so the lists are made distinct
-    first (map-side), resolved once, and joined back. That join has one row per
-    list: small enough for Catalyst to broadcast, or a sort-merge join whose hot
-    list the adaptive skew split divides. Samples without names do not take part;
-    they read one row through a scalar subquery.
+    first (one column, map-side), resolved once, and joined back in one pass over the
+    samples. The resolved lists are measured: up to ``BROADCAST_LISTS`` bytes they are
+    broadcast and the samples are not shuffled; beyond that both sides are, a hot list
+    is divided by the adaptive skew split, and samples without names, which match
+    nothing, are spread by a salt. The whole catalog is one row of a scalar subquery.
     """
     entries = catalog_entries(catalog)
-    names = F.coalesce(F.col("tool_names"), F.array().cast("array<string>"))
+    nothing = F.array().cast("array<string>")
+    names = F.coalesce(F.col("tool_names"), nothing)
     keyed = samples.withColumn("_list", F.array_sort(F.array_distinct(names)))
-    named = keyed.filter(F.size("_list") > 0)
+    is_named = F.size("_list") > 0
 
-    lists = named.select("_list").distinct()
     resolved = (
-        lists.select("_list", F.explode("_list").alias("name"))
+        keyed.filter(is_named)
+        .select("_list")
+        .distinct()
+        .select("_list", F.explode("_list").alias("name"))
         .join(entries, "name")
         .groupBy("_list")
         .agg(F.array_sort(F.collect_list(F.struct("ord", "name", "entry"))).alias("_found"))
-        .select("_list", F.transform("_found", lambda t: t["entry"]).alias("tools"))
-    )
-    some = named.join(resolved, "_list", "left").withColumn(
-        "tools", F.coalesce("tools", F.array().cast("array<string>"))
+        .select("_list", F.transform("_found", lambda t: t["entry"]).alias("_some"))
     )
-    unnamed = keyed.filter(F.size("_list") == 0)
-    every = unnamed.withColumn("tools", _all_tools(entries).scalar())
-    columns = [*samples.columns, "tools"]
-    return some.select(*columns).unionByName(every.select(*columns))
+    size = F.sum(F.octet_length(F.to_json(F.struct("_list", "_some"))))
+    if (resolved.agg(size.alias("n")).head()["n"] or 0) <= BROADCAST_LISTS:
+        joined = keyed.join(F.broadcast(resolved), "_list", "left")
+    else:
+        salt = F.when(is_named, F.lit(0)).otherwise(F.pmod(F.xxhash64(*samples.columns), F.lit(SALTS)))
+        salted = resolved.withColumn("_salt", F.lit(0).cast("bigint"))
+        joined = keyed.withColumn("_salt", salt.cast("bigint")).join(salted, ["_list", "_salt"], "left")
+
+    some = F.coalesce("_some", nothing)
+    every = _all_tools(entries).scalar()
+    tools = F.when(is_named, some).otherwise(every)
+    return joined.select(*samples.columns, tools.alias("tools"))
 
 
 def render_message(message: Column, template: ChatTemplate) -> Column:

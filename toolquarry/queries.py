@@ -576,13 +576,13 @@ def tool_params(spark, sf_dir):
 
 
 @_query(
-    "SELECT p_brand AS brand, x.i AS ord, 'function' AS type, 'n' || x.k AS name, x.d AS description, "
+    "SELECT doc, x.i AS ord, 'function' AS type, 'n' || x.k AS name, x.d AS description, "
     "'{\"type\":\"object\",\"properties\":{\"z\":{},\"b\":{}}}' AS parameters, '{\"tier\":' || x.k || '}' AS extra, "
-    "'{\"strict\":true}' AS function_extra FROM (SELECT p_brand, unnest(list_transform(list_sort(list({'k': p_partkey, 'd': p_name})), "
-    "lambda e, i: {'i': i - 1, 'k': e.k, 'd': e.d})) AS x FROM part GROUP BY p_brand)"
+    "'{\"strict\":true}' AS function_extra FROM (SELECT p_partkey // 10 AS doc, unnest(list_transform(list_sort(list({'k': p_partkey, 'd': p_name})), "
+    "lambda e, i: {'i': i - 1, 'k': e.k, 'd': e.d})) AS x FROM part GROUP BY p_partkey // 10)"
 )
 def catalog_documents(spark, sf_dir):
-    """Catalog files, one per brand, read back entry by entry."""
+    """Catalog files of ten entries, read back entry by entry."""
     entry = _text(
         '{"type": "function", "tier": ', F.col("p_partkey"), ', "function": {"name": "n', F.col("p_partkey"),
         '", "description": "', F.col("p_name"),
@@ -590,16 +590,16 @@ def catalog_documents(spark, sf_dir):
     )
     documents = (
         _table(spark, sf_dir, "part")
-        .groupBy("p_brand")
+        .groupBy(F.floor(F.col("p_partkey") / 10).alias("doc"))
         .agg(F.array_sort(F.collect_list(F.struct("p_partkey", entry.alias("entry")))).alias("es"))
         .select(
-            F.col("p_brand").alias("brand"),
+            "doc",
             F.concat(
                 F.lit("[\n"), F.array_join(F.transform("es", lambda e: e["entry"]), ",\n"), F.lit("\n]")
             ).alias("value"),
         )
     )
-    return parse_catalog(documents, "brand")
+    return parse_catalog(documents, "doc")
 
 
 @_query(
@@ -694,7 +694,7 @@ def sample_line_ids(spark, sf_dir):
 
 _INSTRUCTION_TURN = f"'<turn:{R.INSTRUCTION_ROLE}>{R.INSTRUCTION}</turn>' || chr(10)"
 _CHAT_SQL = (
-    "SELECT conv_id AS id, "
+    "SELECT conv_id AS id, 0 AS part, "
     f"CASE WHEN arg_min(role, turn) IN ('system', 'developer') THEN '' ELSE {_INSTRUCTION_TURN} END || "
     "string_agg('<turn:' || role || '>' || text || '</turn>' || chr(10), '' ORDER BY turn) AS text "
     "FROM conversations GROUP BY conv_id"
@@ -705,7 +705,7 @@ _CHAT_SQL = (
 def chat_text(spark, sf_dir):
     """Flat turns: instruction turn added, assembled, rendered."""
     turns = R.add_instruction_turns(_table(spark, sf_dir, "conversations"))
-    return R.render_chat(R.assemble_turns(turns)).select(F.col("conv_id").alias("id"), "text")
+    return R.render_chat(R.assemble_turns(turns)).select(F.col("conv_id").alias("id"), "part", "text")
 
 
 def _chats(spark, sf_dir):
@@ -713,7 +713,7 @@ def _chats(spark, sf_dir):
         "conv_id", F.lit(None).cast("array<string>"), F.array(F.lit("MEDIUM"), F.lit("none"), F.lit("ECONOMY"))
     )
     return R.assemble_turns(_table(spark, sf_dir, "conversations")).select(
-        F.col("conv_id").alias("id"), names.alias("tool_names"), "messages"
+        F.col("conv_id").alias("id"), "part", names.alias("tool_names"), "messages"
     )
 
 
@@ -762,14 +762,14 @@ def tool_selection(spark, sf_dir):
 
 
 @_query(
-    f"WITH t AS ({_TYPE_ENTRY_SQL}), c AS ({_CHAT_SQL}) SELECT id, '<tools>' || CASE WHEN id % 2 = 0 "
+    f"WITH t AS ({_TYPE_ENTRY_SQL}), c AS ({_CHAT_SQL}) SELECT id, part, '<tools>' || CASE WHEN id % 2 = 0 "
     "THEN (SELECT string_agg(entry, chr(10) ORDER BY name) FROM t) "
     "ELSE (SELECT string_agg(entry, chr(10) ORDER BY name) FROM t WHERE name IN ('MEDIUM', 'ECONOMY')) END || "
     "'</tools>' || chr(10) || text AS text FROM c"
 )
 def training_texts(spark, sf_dir):
     """Samples and catalog to training text."""
-    return R.format_samples(_chats(spark, sf_dir), _type_catalog(spark, sf_dir)).select("id", "text")
+    return R.format_samples(_chats(spark, sf_dir), _type_catalog(spark, sf_dir)).select("id", "part", "text")
 
 
 _SPACE = r"[\t\n\x0B\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
@@ -785,15 +785,16 @@ def sequence_budget(spark, sf_dir):
     return R.budget_counts(_table(spark, sf_dir, "documents"), 1024, "lang", "source")
 
 
-@_query(f"SELECT 'auto-' || name || '-1' AS id, name, n_params, arguments FROM (SELECT 'brand' || p_brand AS name, "
-        "1 AS n_params, '{\"size\":1}' AS arguments FROM part GROUP BY p_brand)")
+@_query(
+    "SELECT 'auto-brand' || p_brand || '-1' AS id, 'Use the tool `brand' || p_brand || '` to help with: ' || "
+    "arg_min(p_name, 'src/f' || p_partkey || '.py') || '.' AS asked, '{\"size\":1}' AS arguments FROM part GROUP BY p_brand"
+)
 def flagship(spark, sf_dir):
     """Python sources to catalog to samples."""
     content = _text('@mcp.tool("brand', F.col("p_brand"), '")\ndef f(size: int):\n    """', F.col("p_name"), '."""\n')
     incoming = X.extract_tools(_part_files(spark, sf_dir, "py", content))
-    existing = spark.createDataFrame([], CATALOG)
-    catalog = C.merge_tools(existing, incoming)
-    samples = G.generate_samples(catalog)
+    samples = G.generate_samples(C.merge_tools(spark.createDataFrame([], CATALOG), incoming))
     call = F.get(F.get("messages", F.lit(1))["tool_calls"], F.lit(0))["function"]
-    counts = C.tool_params(catalog).groupBy("name").agg(F.count(F.lit(1)).cast("int").alias("n_params"))
-    return samples.select("id", call["name"].alias("name"), call["arguments"].alias("arguments")).join(counts, "name")
+    return samples.select(
+        "id", F.get("messages", F.lit(0))["content"].alias("asked"), call["arguments"].alias("arguments")
+    )

@@ -54,18 +54,18 @@ def export_catalog(catalog: DataFrame, path: str) -> None:
     ordered.select(text.alias("value")).write.mode("overwrite").text(path)
 
 
-def save_samples(samples: DataFrame, path: str) -> None:
-    """Replace the sample file (JSON lines)."""
-    samples.write.mode("overwrite").json(path)
+def save_samples(samples: DataFrame, path: str, fmt: str = "json") -> None:
+    """Replace the sample file: JSON lines, or Parquet."""
+    samples.write.mode("overwrite").format(fmt).save(path)
 
 
-def append_samples(samples: DataFrame, path: str) -> None:
+def append_samples(samples: DataFrame, path: str, fmt: str = "json") -> None:
     """Append the samples whose id is not in the sample file yet.
 
     For one writer at a time: two runs at once cannot see each other's ids.
     """
-    fresh = new_samples(samples, known_ids(samples.sparkSession, path))
-    fresh.write.mode("append").json(path)
+    fresh = new_samples(samples, known_ids(samples.sparkSession, path, fmt))
+    fresh.write.mode("append").format(fmt).save(path)
 
 
 __all__ = ["append_samples", "export_catalog", "save_catalog", "save_samples"]

@@ -1,7 +1,7 @@
-"""Sample files: JSON lines of ``id, tool_names, messages``."""
+"""Sample files: ``id, tool_names, messages`` as JSON lines or Parquet."""
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import SAMPLES
@@ -9,34 +9,47 @@ from ..schemas import SAMPLES
 _STRICT = {"allowSingleQuotes": "false"}
 
 
-def read_samples(spark: SparkSession, path: str) -> DataFrame:
-    """Read samples; call arguments stay raw JSON text."""
+def read_samples(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
+    """Read samples; call arguments stay raw JSON text. A malformed line is an error."""
+    if fmt == "parquet":
+        return spark.read.parquet(path)
     return spark.read.schema(SAMPLES).json(path, mode="FAILFAST", allowSingleQuotes="false")
 
 
-def object_lines(lines: DataFrame) -> DataFrame:
-    """Lines (``value``) that hold exactly one JSON object."""
-    line = F.trim("value")
-    # Inside brackets, text after a first document makes the line malformed.
-    items = F.from_json(F.concat(F.lit("["), line, F.lit("]")), "array<string>", _STRICT)
-    return lines.filter(F.startswith(line, F.lit("{")) & (F.size(items) == 1))
+def _only_object(line: Column, fields: str) -> Column:
+    """The fields of the one JSON object a line holds, null for any other line.
+
+    Inside brackets, text after a first document makes the line malformed.
+    """
+    items = F.from_json(F.concat(F.lit("["), line, F.lit("]")), f"array<struct<{fields}>>", _STRICT)
+    one = F.startswith(line, F.lit("{")) & (F.size(items) == 1)
+    return F.when(one, F.get(items, F.lit(0)))
+
+
+def parse_lines(lines: DataFrame, fields: str) -> DataFrame:
+    """Fields of the objects among ``lines`` (``value``); all other lines are passed over."""
+    found = _only_object(F.trim("value"), fields)
+    return lines.select(found.alias("o")).filter(F.col("o").isNotNull()).select("o.*")
 
 
 def read_valid_samples(spark: SparkSession, path: str) -> DataFrame:
     """Read samples and pass over blank lines, malformed lines and non-objects."""
-    parsed = F.from_json("value", SAMPLES, _STRICT)
-    return object_lines(spark.read.text(path)).select(parsed.alias("s")).select("s.*")
+    return parse_lines(spark.read.text(path), SAMPLES)
 
 
 def line_ids(lines: DataFrame) -> DataFrame:
     """Ids of the objects among ``lines``, as text; a null id counts as none."""
-    ids = F.from_json("value", "struct<id:string>", _STRICT)["id"]
-    return object_lines(lines).select(ids.alias("id")).filter(F.col("id").isNotNull())
+    return parse_lines(lines, "id: string").filter(F.col("id").isNotNull())
+
 
+def known_ids(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
+    """Ids in a sample file or folder; no rows if there is none yet.
 
-def known_ids(spark: SparkSession, path: str) -> DataFrame:
-    """Ids in a sample file or folder; no rows if there is none yet."""
+    JSON lines have to be read whole to get at the ids, Parquet reads one column.
+    """
     try:
+        if fmt == "parquet":
+            return spark.read.parquet(path).select("id").filter(F.col("id").isNotNull())
         return line_ids(spark.read.text(path))
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
