@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 
 def quoted(text: Column) -> Column:
-    """JSON string literal of a text value."""
+    """JSON string literal of a text value, null for null."""
     array = F.to_json(F.array(text))
-    return F.substr(array, F.lit(2), F.length(array) - 2)
+    return F.when(text.isNotNull(), F.substr(array, F.lit(2), F.length(array) - 2))
 
 
 def object_entries(json_text: Column) -> Column:
