@@ -1,6 +1,6 @@
 """Column helpers: text, JSON text, lookups, size checks."""
 
-from .json_text import json_items, object_entries, parameters_json, quoted
+from .json_text import json_items, last_values, parameters_json, quoted
 from .sizing import count_up_to
 from .text import blank_to_null, let, lookup, token_count, trimmed, unix_newlines
 
@@ -8,9 +8,9 @@ __all__ = [
     "blank_to_null",
     "count_up_to",
     "json_items",
+    "last_values",
     "let",
     "lookup",
-    "object_entries",
     "parameters_json",
     "quoted",
     "token_count",

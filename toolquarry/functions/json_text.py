@@ -8,6 +8,8 @@ with the keys of all others, and a variant would sort the keys.
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import let
+
 
 def quoted(text: Column) -> Column:
     """JSON string literal of a text value, null for null."""
@@ -15,13 +17,11 @@ def quoted(text: Column) -> Column:
     return F.when(text.isNotNull(), F.substr(array, F.lit(2), F.length(array) - 2))
 
 
-def object_entries(json_text: Column) -> Column:
-    """Entries of a JSON object as ``array<struct<key,value>>`` in text order.
+def last_values(entries: Column) -> Column:
+    """Entries of an object (``array<struct<key,value>>``), one per key.
 
-    A repeated key keeps its first place and its last value. Null and non-object
-    text give an empty array.
+    A repeated key keeps its first place and its last value. Null gives none.
     """
-    entries = F.map_entries(F.from_json(json_text, "map<string,string>"))
     empty = F.array().cast("array<struct<key:string,value:string>>")
 
     def last_wins(es: Column) -> Column:
@@ -31,7 +31,7 @@ def object_entries(json_text: Column) -> Column:
         )
         return F.when(F.size(keys) == F.size(es), es).otherwise(one_each)
 
-    return F.transform(F.array(F.coalesce(entries, empty)), last_wins)[0]
+    return let(F.coalesce(entries, empty), last_wins)
 
 
 def json_items(json_array: Column) -> Column:
@@ -75,4 +75,4 @@ def parameters_json(params: Column) -> Column:
             F.lit("]}"),
         )
 
-    return F.transform(F.array(params), render)[0]
+    return let(params, render)

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import blank_to_null, json_items, object_entries
+from ..functions import blank_to_null, json_items, last_values, let
 from ..schemas import EMPTY_PARAMETERS
 from .extract import ORDER
 
@@ -82,33 +82,44 @@ def catalog_counts(catalog: DataFrame, *by: str) -> DataFrame:
     return catalog.groupBy(*by).agg(F.count(F.lit(1)).alias("tools"))
 
 
-def _field(json_text: Column, name: str) -> Column:
-    return F.from_json(json_text, f"struct<`{name}`:string>")[name]
+def parse_parameters(parameters: Column) -> Column:
+    """``struct<properties: array<struct<key,value>>, required: array<string>>``.
 
+    One parse; whatever is missing or of the wrong kind is empty.
+    """
+    parsed = F.from_json(parameters, "struct<properties:map<string,string>,required:array<string>>")
+
+    def parts(p: Column) -> Column:
+        return F.struct(
+            last_values(F.map_entries(p["properties"])).alias("properties"),
+            F.coalesce(p["required"], F.array().cast("array<string>")).alias("required"),
+        )
 
-def schema_type(schema: Column) -> Column:
-    """``type`` of a property schema; of a list of types the first."""
-    kind = _field(schema, "type")
+    return let(parsed, parts)
+
+
+def schema_type(kind: Column) -> Column:
+    """The ``type`` of a property schema (raw JSON text); of a list of types the first."""
     first = F.get(F.from_json(kind, "array<string>"), F.lit(0))
     return F.coalesce(F.when(F.startswith(kind, F.lit("[")), first).otherwise(kind), F.lit("string"))
 
 
 def tool_params(catalog: DataFrame) -> DataFrame:
     """One row per parameter: ``name, param, ord, type, description, enum, required``."""
-    parameters = F.col("parameters")
-    required = F.from_json(F.get_json_object(parameters, "$.required"), "array<string>")
-    rows = catalog.select(
+    parsed = catalog.select("name", parse_parameters(F.col("parameters")).alias("_parsed"))
+    # Outer, so that the optimizer adds no test that parses a second time.
+    rows = parsed.select(
         "name",
-        F.coalesce(required, F.array().cast("array<string>")).alias("_required"),
-        F.posexplode(object_entries(F.get_json_object(parameters, "$.properties"))).alias("ord", "p"),
-    )
-    schema = F.col("p.value")
-    return rows.select(
+        F.col("_parsed.required").alias("_required"),
+        F.posexplode_outer("_parsed.properties").alias("ord", "_p"),
+    ).filter(F.col("ord").isNotNull())
+    schema = F.from_json("_p.value", "struct<type:string,description:string,enum:string>")
+    return rows.select("*", schema.alias("_schema")).select(
         "name",
-        F.col("p.key").alias("param"),
+        F.col("_p.key").alias("param"),
         "ord",
-        schema_type(schema).alias("type"),
-        F.coalesce(_field(schema, "description"), F.lit("")).alias("description"),
-        json_items(_field(schema, "enum")).alias("enum"),
-        F.array_contains("_required", F.col("p.key")).alias("required"),
+        schema_type(F.col("_schema.type")).alias("type"),
+        F.coalesce("_schema.description", F.lit("")).alias("description"),
+        json_items(F.col("_schema.enum")).alias("enum"),
+        F.array_contains("_required", F.col("_p.key")).alias("required"),
     )

@@ -7,7 +7,7 @@ exchange with the helpers of their language. No shuffle.
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import unix_newlines
@@ -21,6 +21,11 @@ _KEYS = ("project", "path", "lang", "lang_rank", "ext_rank")
 ORDER = ("project", "lang_rank", "ext_rank", "path", "pattern_rank", "ordinal")
 
 
+def _needs_helper(lang: str, text: Column) -> Column:
+    needed = F.col("lang") == lang
+    return needed & java_tools.may_hold_annotations(text) if lang == "java" else needed
+
+
 def scan_files(files: DataFrame, languages: Iterable[str] = LANGUAGES) -> DataFrame:
     """One row per file worth a look: its keys, ``tools``, and ``reason, detail`` if skipped.
 
@@ -42,7 +47,7 @@ def scan_files(files: DataFrame, languages: Iterable[str] = LANGUAGES) -> DataFr
         *_KEYS,
         "text",
         *[
-            _HELPERS[lang].parse(F.when(F.col("lang") == lang, F.col("text"))).alias(f"_{lang}")
+            _HELPERS[lang].parse(F.when(_needs_helper(lang, F.col("text")), F.col("text"))).alias(f"_{lang}")
             for lang in wanted
         ],
     )
@@ -65,7 +70,10 @@ def scan_files(files: DataFrame, languages: Iterable[str] = LANGUAGES) -> DataFr
 
 def tool_defs(scanned: DataFrame) -> DataFrame:
     """Tool definitions of scanned files, one row per tool."""
-    return scanned.select(*_KEYS, F.posexplode("tools").alias("ordinal", "tool")).select(
+    # A plain explode would have the optimizer test for empty lists beforehand, and
+    # so work out the lists twice.
+    rows = scanned.select(*_KEYS, F.posexplode_outer("tools").alias("ordinal", "tool"))
+    return rows.filter(F.col("ordinal").isNotNull()).select(
         *_KEYS,
         "tool.pattern_rank",
         "ordinal",

@@ -6,13 +6,12 @@ built tools are plain regex columns.
 """
 
 import re
-from bisect import bisect_left
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import let, lookup, parameters_json, trimmed
+from ..functions import lookup, parameters_json, trimmed
 from ..schemas import EMPTY_PARAMETERS, struct
 from .brackets import PARENS, QUOTED, closing
 from .per_file import parsed
@@ -62,15 +61,13 @@ def _plain_params(text):
 
 
 def _find(text):
-    # Matches of a method never overlap, so one pass serves all annotations.
-    methods = list(_METHOD.finditer(text))
-    starts = [m.start() for m in methods]
-    rows = []
+    rows, at, method = [], -1, None
     for mark in _ANNOTATION.finditer(text):
+        if at < mark.end():  # else the method found before still lies ahead
+            method = _METHOD.search(text, mark.end())
+            at = method.start() if method else len(text)
         row = {"arguments": mark[1], "method": None, "params": None}
-        following = bisect_left(starts, mark.end())
-        if following < len(methods):
-            method = methods[following]
+        if method:
             end = closing(text, method.end() - 1, PARENS) or text.find(")", method.end()) + 1
             if end:
                 row["method"] = method[1]
@@ -87,6 +84,11 @@ def may_hold_tools(text: Column) -> Column:
     return F.contains(text, F.lit("Tool"))
 
 
+def may_hold_annotations(text: Column) -> Column:
+    """Cheap test that no file with an annotated method fails."""
+    return F.contains(text, F.lit("@Tool")) | F.contains(text, F.lit("@McpTool"))
+
+
 def json_type(java_type: Column) -> Column:
     """JSON type of a Java type such as ``int[]``, ``java.util.UUID``, ``List<String>``."""
     bare = F.regexp_replace(F.replace(trimmed(java_type), F.lit("[]"), F.lit("")), "<.*?>", "")
@@ -110,7 +112,7 @@ def signature_parameters(params: Column) -> Column:
         )
 
     named = F.filter(F.transform(F.split(params, ","), words), lambda w: F.size(w) >= 2)
-    return F.coalesce(let(F.transform(named, param), parameters_json), F.lit(EMPTY_PARAMETERS))
+    return F.coalesce(parameters_json(F.transform(named, param)), F.lit(EMPTY_PARAMETERS))
 
 
 def _tool(rank: int, name: Column, description: Column, parameters: Column) -> Column:
@@ -134,22 +136,26 @@ def annotated_tools(found: Column) -> Column:
     return F.transform(found, tool)
 
 
-def named_tools(rank: int, pattern: str, text: Column) -> Column:
+def _matches(text: Column, word: str, pattern: str, group: int) -> Column:
+    """All matches; a text without the word, a part of any match, skips the regex."""
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+    return F.when(F.contains(text, F.lit(word)), found).otherwise(F.array().cast("array<string>"))
+
+
+def named_tools(rank: int, word: str, pattern: str, text: Column) -> Column:
     """Tools of which a pattern gives the name only."""
-    names = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
+    names = _matches(text, word, pattern, 1)
     return F.transform(names, lambda n: _tool(rank, n, F.lit(""), F.lit(EMPTY_PARAMETERS)))
 
 
 def registered_tools(text: Column) -> Column:
     """``registerTool("name", …)``."""
-    return named_tools(1, _REGISTERED, text)
+    return named_tools(1, "registerTool", _REGISTERED, text)
 
 
 def constructed_tools(text: Column) -> Column:
     """``addTool(new …Tool("name", "description", …))``."""
-    names, descriptions = (
-        F.regexp_extract_all(text, F.lit(_CONSTRUCTED), F.lit(group)) for group in (1, 2)
-    )
+    names, descriptions = (_matches(text, "addTool", _CONSTRUCTED, group) for group in (1, 2))
     return F.zip_with(
         names, descriptions, lambda n, d: _tool(2, n, d, F.lit(EMPTY_PARAMETERS))
     )
@@ -157,7 +163,7 @@ def constructed_tools(text: Column) -> Column:
 
 def built_tools(text: Column) -> Column:
     """``Tool.builder("name")``."""
-    return named_tools(3, _BUILT, text)
+    return named_tools(3, "builder", _BUILT, text)
 
 
 def tools(found: Column, text: Column) -> Column:

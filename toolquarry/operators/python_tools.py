@@ -5,12 +5,13 @@ schema are column expressions.
 """
 
 import ast
+from collections import deque
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import let, lookup, parameters_json
+from ..functions import lookup, parameters_json
 from ..schemas import struct
 from .per_file import parsed
 
@@ -42,6 +43,8 @@ ANNOTATION_TYPES = {
     ".Mapping": "object",
 }
 
+_NESTING = (ast.stmt, ast.excepthandler, ast.match_case)
+
 _PARAM = struct(name=T.StringType(), annotation=T.StringType(), required=T.BooleanType())
 _FOUND = struct(
     name=T.StringType(), description=T.StringType(), params=T.ArrayType(_PARAM)
@@ -90,9 +93,18 @@ def _params(fn):
     return rows[1:] if rows and rows[0]["name"] in ("self", "cls") else rows
 
 
+def _statements(tree):
+    """All statements, level by level; expressions hold no function definitions."""
+    waiting = deque([tree])
+    while waiting:
+        node = waiting.popleft()
+        yield node
+        waiting += [c for c in ast.iter_child_nodes(node) if isinstance(c, _NESTING)]
+
+
 def _find(text):
     rows = []
-    for fn in ast.walk(ast.parse(text)):
+    for fn in _statements(ast.parse(text)):
         if not isinstance(fn, ast.FunctionDef):
             continue
         marks = [d for d in fn.decorator_list if _label(getattr(d, "func", d)) == "tool"]
@@ -136,7 +148,7 @@ def tools(found: Column) -> Column:
             F.lit(0).alias("pattern_rank"),
             t["name"].alias("name"),
             t["description"].alias("description"),
-            let(F.transform(t["params"], typed), parameters_json).alias("parameters"),
+            parameters_json(F.transform(t["params"], typed)).alias("parameters"),
         )
 
     return F.transform(found, tool)

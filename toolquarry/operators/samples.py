@@ -3,9 +3,9 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import let, lookup, object_entries, quoted, trimmed
+from ..functions import let, lookup, quoted, trimmed
 from ..schemas import MESSAGE, TOOL_CALL
-from .catalog import schema_type
+from .catalog import parse_parameters, schema_type
 
 # The stand-in value of each JSON type, as JSON text.
 DUMMY_VALUES = {
@@ -28,33 +28,34 @@ def dummy_value(schema: Column) -> Column:
 
     The first ``enum`` item if there is one, else a value by ``type``.
     """
-    enum = F.from_json(schema, "struct<`enum`:string>")["enum"]
-    items = F.from_json(enum, "array<string>")
-    text = F.coalesce(F.get(items, F.lit(0)), F.lit("null"))
-    # The reader writes JSON compactly, so a text item starts right after the bracket.
-    item = F.when(F.startswith(enum, F.lit('["')), quoted(text)).otherwise(text)
-    by_type = F.coalesce(lookup(schema_type(schema), DUMMY_VALUES), F.lit(DUMMY_VALUES["string"]))
-    return F.when(F.size(items) > 0, item).otherwise(by_type)
+
+    def by_enum(enum: Column, items: Column) -> Column:
+        text = F.coalesce(F.get(items, F.lit(0)), F.lit("null"))
+        # The reader writes JSON compactly, so a text item starts right after the bracket.
+        item = F.when(F.startswith(enum, F.lit('["')), quoted(text)).otherwise(text)
+        return F.when(F.size(items) > 0, item)
+
+    def choose(s: Column) -> Column:
+        enum = s["enum"]
+        listed = let(F.from_json(enum, "array<string>"), lambda items: by_enum(enum, items))
+        by_type = lookup(let(s["type"], schema_type), DUMMY_VALUES)
+        return F.coalesce(F.when(enum.isNotNull(), listed), by_type, F.lit(DUMMY_VALUES["string"]))
+
+    return let(F.from_json(schema, "struct<type:string,enum:string>"), choose)
 
 
 def dummy_arguments(parameters: Column) -> Column:
     """JSON text of an argument object that fills the required parameters."""
-    required = F.from_json(F.get_json_object(parameters, "$.required"), "array<string>")
-    properties = object_entries(F.get_json_object(parameters, "$.properties"))
-    parsed = F.struct(
-        F.array_distinct(F.coalesce(required, F.array().cast("array<string>"))).alias("required"),
-        properties.alias("properties"),
-    )
 
     def argument(p: Column, key: Column) -> Column:
         entry = F.get(F.filter(p["properties"], lambda e: e["key"] == key), F.lit(0))
         return F.concat(quoted(key), F.lit(":"), dummy_value(entry["value"]))
 
     def render(p: Column) -> Column:
-        pairs = F.transform(p["required"], lambda key: argument(p, key))
+        pairs = F.transform(F.array_distinct(p["required"]), lambda key: argument(p, key))
         return F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}"))
 
-    return let(parsed, render)
+    return let(parse_parameters(parameters), render)
 
 
 def _message(role: str, content: Column, name: Column | None = None, calls: Column | None = None):

@@ -77,12 +77,23 @@ def _params(*fields: tuple[str, str], required: tuple[str, ...] | None = None) -
     )
 
 
+def _stored(files: DataFrame) -> DataFrame:
+    """Derived files as a scan of stored ones would deliver them.
+
+    The test tables are single splits: spread those over the cores. Larger tables come
+    in splits of their own and are left as they are.
+    """
+    cores = files.sparkSession.sparkContext.defaultParallelism
+    return files.repartition(cores, "path") if files.rdd.getNumPartitions() < cores else files
+
+
 def _part_files(spark: SparkSession, sf_dir: str, ext: str, content: Column) -> DataFrame:
-    return _table(spark, sf_dir, "part").select(
+    files = _table(spark, sf_dir, "part").select(
         F.col("p_brand").alias("project"),
         _text("src/f", F.col("p_partkey"), f".{ext}").alias("path"),
         content.cast("binary").alias("content"),
     )
+    return _stored(files)
 
 
 _FOUND = ("path", "name", "description", "parameters")
@@ -477,7 +488,7 @@ def document_sources(spark, sf_dir):
         _text("d", key, _pick("doc_id", ".py", ".ts", ".java")).alias("path"),
         content.cast("binary").alias("content"),
     )
-    return X.extract_tools(files).select("lang", "name", "description", "parameters")
+    return X.extract_tools(_stored(files)).select("lang", "name", "description", "parameters")
 
 
 # ---- catalog ------------------------------------------------------------------------
