@@ -1,8 +1,12 @@
-"""Column helpers: text, JSON text, lookups, size checks."""
+"""SQL text of common expressions, and size checks.
+
+The helpers take and give SQL text. Nested lambdas built from Column objects cost
+thousands of calls into the JVM per plan; a text is one.
+"""
 
 from .json_text import json_items, last_values, parameters_json, quoted
 from .sizing import count_up_to
-from .text import blank_to_null, let, lookup, token_count, trimmed, unix_newlines
+from .text import blank_to_null, let, literal, lookup, token_count, trimmed, unix_newlines
 
 __all__ = [
     "blank_to_null",
@@ -10,6 +14,7 @@ __all__ = [
     "json_items",
     "last_values",
     "let",
+    "literal",
     "lookup",
     "parameters_json",
     "quoted",

@@ -5,74 +5,47 @@ because argument objects differ from tool to tool; a struct would pad every row
 with the keys of all others, and a variant would sort the keys.
 """
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from .text import let
 
 
-def quoted(text: Column) -> Column:
+def quoted(text: str) -> str:
     """JSON string literal of a text value, null for null."""
-    array = F.to_json(F.array(text))
-    return F.when(text.isNotNull(), F.substr(array, F.lit(2), F.length(array) - 2))
+    return f"if({text} IS NULL, NULL, trim(BOTH '[]' FROM to_json(array({text}))))"
 
 
-def last_values(entries: Column) -> Column:
+def last_values(entries: str) -> str:
     """Entries of an object (``array<struct<key,value>>``), one per key.
 
     A repeated key keeps its first place and its last value. Null gives none.
     """
-    empty = F.array().cast("array<struct<key:string,value:string>>")
-
-    def last_wins(es: Column) -> Column:
-        keys = F.array_distinct(F.transform(es, lambda e: e["key"]))
-        one_each = F.transform(
-            keys, lambda k: F.element_at(F.filter(es, lambda e: e["key"] == k), -1)
-        )
-        return F.when(F.size(keys) == F.size(es), es).otherwise(one_each)
+    one_each = "transform(ks, k -> element_at(filter(es, e -> e.key = k), -1))"
+    keys = let("ks", "array_distinct(transform(es, e -> e.key))", f"if(size(ks) = size(es), es, {one_each})")
+    empty = "CAST(array() AS array<struct<key:string,value:string>>)"
+    return let("es", f"coalesce({entries}, {empty})", keys)
 
-    return let(F.coalesce(entries, empty), last_wins)
 
-
-def json_items(json_array: Column) -> Column:
+def json_items(json_array: str) -> str:
     """Items of a JSON array, each as JSON text."""
-    plain = F.from_json(json_array, "array<string>")
-    typed = F.try_variant_get(F.try_parse_json(json_array), "$", "array<variant>")
-    both = F.arrays_zip(plain.alias("plain"), typed.alias("typed"))
-    return F.transform(
-        both,
-        lambda x: F.when(F.schema_of_variant(x["typed"]) == "STRING", quoted(x["plain"])).otherwise(
-            F.coalesce(x["plain"], F.lit("null"))
-        ),
-    )
+    typed = f"try_variant_get(try_parse_json({json_array}), '$', 'array<variant>')"
+    item = f"if(schema_of_variant(v) = 'STRING', {quoted('s')}, coalesce(s, 'null'))"
+    return f"zip_with(from_json({json_array}, 'array<string>'), {typed}, (s, v) -> {item})"
 
 
-def parameters_json(params: Column) -> Column:
-    """Parameter schema text from ``array<struct<name,type,required>>``.
+def parameters_json(params: str) -> str:
+    """Parameter schema text from ``array<struct<name,type,required>>``, null for null.
 
     A repeated name keeps its first place and its last type.
     """
-
-    def render(ps: Column) -> Column:
-        names = F.array_distinct(F.transform(ps, lambda p: p["name"]))
-        properties = F.transform(
-            names,
-            lambda n: F.concat(
-                quoted(n),
-                F.lit(':{"type":"'),
-                F.element_at(F.filter(ps, lambda p: p["name"] == n), -1)["type"],
-                F.lit('","description":""}'),
-            ),
-        )
-        required = F.transform(
-            F.filter(ps, lambda p: p["required"]), lambda p: quoted(p["name"])
-        )
-        return F.concat(
-            F.lit('{"type":"object","properties":{'),
-            F.array_join(properties, ","),
-            F.lit('},"required":['),
-            F.array_join(required, ","),
-            F.lit("]}"),
-        )
-
-    return let(params, render)
+    last = "element_at(filter(ps, p -> p.name = n), -1).type"
+    one = f"""concat({quoted('n')}, ':{{"type":"', {last}, '","description":""}}')"""
+    required = f"transform(filter(ps, p -> p.required), p -> {quoted('p.name')})"
+    return let(
+        "ps",
+        params,
+        f"""concat(
+            '{{"type":"object","properties":{{',
+            array_join(transform(array_distinct(transform(ps, p -> p.name)), n -> {one}), ','),
+            '}},"required":[',
+            array_join({required}, ','),
+            ']}}')""",
+    )

@@ -1,48 +1,54 @@
-"""Text columns."""
+"""Text expressions."""
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
+def literal(value: str | int) -> str:
+    """SQL literal of a text or number."""
+    if isinstance(value, int):
+        return str(value)
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-def trimmed(text: Column) -> Column:
+
+def trimmed(text: str) -> str:
     """Strip every kind of white space; SQL ``trim`` strips blanks only."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+\z", "")
+    return f"regexp_replace({text}, {literal(r'(?U)^\s+|\s+\z')}, '')"
 
 
-def unix_newlines(text: Column) -> Column:
+def unix_newlines(text: str) -> str:
     """Turn CR and CR LF into LF; texts without a CR skip the regex."""
-    return F.when(F.contains(text, F.lit("\r")), F.regexp_replace(text, "\r\n?", "\n")).otherwise(text)
+    return f"if(contains({text}, '\\r'), regexp_replace({text}, '\\r\\n?', '\\n'), {text})"
 
 
-def token_count(text: Column) -> Column:
+def token_count(text: str) -> str:
     """Number of white-space separated tokens of the whole text.
 
     White space at either end splits off an empty piece; taking those off the count
     is cheaper than trimming the text first.
     """
-    pieces = F.size(F.split(text, r"(?U)\s+"))
-    edges = [text.rlike(r"(?U)\A\s"), F.right(text, F.lit(1)).rlike(r"(?U)\s")]
-    empty = [F.when(edge, 1).otherwise(0) for edge in edges]
-    return F.when(text == "", F.lit(0)).otherwise(pieces - empty[0] - empty[1])
+    return f"""CASE WHEN {text} = '' THEN 0 ELSE
+        size(split({text}, {literal(r'(?U)\s+')}))
+        - if({text} rlike {literal(r'(?U)\A\s')}, 1, 0)
+        - if(right({text}, 1) rlike {literal(r'(?U)\s')}, 1, 0) END"""
 
 
-def blank_to_null(json_text: Column) -> Column:
+def blank_to_null(json_text: str) -> str:
     """Null for JSON text that holds nothing: no text, ``{}``, ``[]``, ``null``."""
-    return F.when(~F.trim(json_text).isin("", "{}", "[]", "null", "false", "0", '""'), json_text)
+    return (
+        f"""if(trim({json_text}) IN ('', '{{}}', '[]', 'null', 'false', '0', '""'), NULL, {json_text})"""
+    )
 
 
-def lookup(key: Column, table: Mapping[str, object]) -> Column:
+def lookup(key: str, table: Mapping[str, str | int]) -> str:
     """Value of a small fixed table, null for keys it does not hold."""
-    pairs = [F.lit(x) for item in table.items() for x in item]
-    return F.try_element_at(F.create_map(*pairs), key)
+    pairs = ", ".join(literal(x) for item in table.items() for x in item)
+    return f"try_element_at(map({pairs}), {key})"
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once per row and use it many times inside ``body``.
+def let(name: str, value: str, body: str) -> str:
+    """Evaluate ``value`` once per row and use it by name many times in ``body``.
 
     Lambdas re-evaluate whatever they mention, so a parsed document must be bound
     before a lambda walks over it.
     """
-    return F.transform(F.array(value), body)[0]
+    return f"transform(array({value}), {name} -> {body})[0]"

@@ -1,6 +1,6 @@
 """The tool catalog: one entry per tool name."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import blank_to_null, json_items, last_values, let
@@ -16,7 +16,7 @@ def to_entries(tool_defs: DataFrame) -> DataFrame:
         F.lit("function").alias("type"),
         "name",
         F.coalesce("description", F.lit("")).alias("description"),
-        F.coalesce(blank_to_null(F.col("parameters")), F.lit(EMPTY_PARAMETERS)).alias("parameters"),
+        F.coalesce(F.expr(blank_to_null("parameters")), F.lit(EMPTY_PARAMETERS)).alias("parameters"),
     )
 
 
@@ -36,7 +36,7 @@ def merge_tools(existing: DataFrame, incoming: DataFrame) -> DataFrame:
         "name",
         F.struct(*ORDER).alias("_new"),
         F.coalesce("description", F.lit("")).alias("description"),
-        F.coalesce(blank_to_null(F.col("parameters")), F.lit(EMPTY_PARAMETERS)).alias("parameters"),
+        F.coalesce(F.expr(blank_to_null("parameters")), F.lit(EMPTY_PARAMETERS)).alias("parameters"),
     )
     has_text = F.coalesce(F.col("description"), F.lit("")) != ""
     is_new = F.col("_new").isNotNull()
@@ -60,7 +60,7 @@ def merge_tools(existing: DataFrame, incoming: DataFrame) -> DataFrame:
             "described",
             F.when(is_kept, kept["description"]).otherwise(F.lit("")),
         ).alias("description"),
-        F.coalesce(blank_to_null(kept["parameters"]), "typed", kept["parameters"]).alias("parameters"),
+        F.coalesce(F.expr(blank_to_null("kept.parameters")), "typed", kept["parameters"]).alias("parameters"),
         kept["extra"].alias("extra"),
         kept["function_extra"].alias("function_extra"),
     )
@@ -82,31 +82,27 @@ def catalog_counts(catalog: DataFrame, *by: str) -> DataFrame:
     return catalog.groupBy(*by).agg(F.count(F.lit(1)).alias("tools"))
 
 
-def parse_parameters(parameters: Column) -> Column:
+def parse_parameters(parameters: str) -> str:
     """``struct<properties: array<struct<key,value>>, required: array<string>>``.
 
     One parse; whatever is missing or of the wrong kind is empty.
     """
-    parsed = F.from_json(parameters, "struct<properties:map<string,string>,required:array<string>>")
-
-    def parts(p: Column) -> Column:
-        return F.struct(
-            last_values(F.map_entries(p["properties"])).alias("properties"),
-            F.coalesce(p["required"], F.array().cast("array<string>")).alias("required"),
-        )
-
-    return let(parsed, parts)
+    shape = "struct<properties:map<string,string>,required:array<string>>"
+    parts = f"""named_struct(
+        'properties', {last_values('map_entries(doc.properties)')},
+        'required', coalesce(doc.required, CAST(array() AS array<string>)))"""
+    return let("doc", f"from_json({parameters}, '{shape}')", parts)
 
 
-def schema_type(kind: Column) -> Column:
+def schema_type(kind: str) -> str:
     """The ``type`` of a property schema (raw JSON text); of a list of types the first."""
-    first = F.get(F.from_json(kind, "array<string>"), F.lit(0))
-    return F.coalesce(F.when(F.startswith(kind, F.lit("[")), first).otherwise(kind), F.lit("string"))
+    first = f"get(from_json({kind}, 'array<string>'), 0)"
+    return f"coalesce(if(startswith({kind}, '['), {first}, {kind}), 'string')"
 
 
 def tool_params(catalog: DataFrame) -> DataFrame:
     """One row per parameter: ``name, param, ord, type, description, enum, required``."""
-    parsed = catalog.select("name", parse_parameters(F.col("parameters")).alias("_parsed"))
+    parsed = catalog.select("name", F.expr(parse_parameters("parameters")).alias("_parsed"))
     # Outer, so that the optimizer adds no test that parses a second time.
     rows = parsed.select(
         "name",
@@ -118,8 +114,8 @@ def tool_params(catalog: DataFrame) -> DataFrame:
         "name",
         F.col("_p.key").alias("param"),
         "ord",
-        schema_type(F.col("_schema.type")).alias("type"),
+        F.expr(schema_type("_schema.type")).alias("type"),
         F.coalesce("_schema.description", F.lit("")).alias("description"),
-        json_items(F.col("_schema.enum")).alias("enum"),
+        F.expr(json_items("_schema.enum")).alias("enum"),
         F.array_contains("_required", F.col("_p.key")).alias("required"),
     )

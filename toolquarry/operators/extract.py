@@ -10,9 +10,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import unix_newlines
 from . import java_tools, node_tools, python_tools
-from .files import LANGUAGES, keep_languages, route_files
+from .files import LANGUAGES, decode_text, keep_languages, route_files
 
 _HELPERS = {"python": python_tools, "node": node_tools, "java": java_tools}
 _KEYS = ("project", "path", "lang", "lang_rank", "ext_rank")
@@ -21,11 +20,6 @@ _KEYS = ("project", "path", "lang", "lang_rank", "ext_rank")
 ORDER = ("project", "lang_rank", "ext_rank", "path", "pattern_rank", "ordinal")
 
 
-def _needs_helper(lang: str, text: Column) -> Column:
-    needed = F.col("lang") == lang
-    return needed & java_tools.may_hold_annotations(text) if lang == "java" else needed
-
-
 def scan_files(files: DataFrame, languages: Iterable[str] = LANGUAGES) -> DataFrame:
     """One row per file worth a look: its keys, ``tools``, and ``reason, detail`` if skipped.
 
@@ -35,36 +29,32 @@ def scan_files(files: DataFrame, languages: Iterable[str] = LANGUAGES) -> DataFr
     routed = files if "lang_rank" in files.columns else route_files(files)
     routed = keep_languages(routed, wanted)
 
-    raw = F.col("content").cast("string")
-    worth = F.lit(False)
-    for lang in wanted:
-        worth = worth | ((F.col("lang") == lang) & _HELPERS[lang].may_hold_tools(raw))
-    is_text = F.is_valid_utf8(raw)
-    kept = routed.filter(~is_text | worth)
-
-    texts = kept.select(*_KEYS, F.when(is_text, unix_newlines(raw)).alias("text"))
-    parsed = texts.select(
-        *_KEYS,
-        "text",
-        *[
-            _HELPERS[lang].parse(F.when(_needs_helper(lang, F.col("text")), F.col("text"))).alias(f"_{lang}")
-            for lang in wanted
-        ],
+    raw = "CAST(content AS STRING)"
+    worth = [f"lang = '{lang}' AND {_HELPERS[lang].may_hold_tools(raw)}" for lang in wanted]
+    kept = routed.filter(" OR ".join([f"NOT is_valid_utf8({raw})", *worth]))
+    texts = decode_text(kept).select(*_KEYS, "text")
+
+    def parse(lang: str) -> Column:
+        needed = f"lang = '{lang}'"
+        if lang == "java":
+            needed += f" AND {java_tools.may_hold_annotations('text')}"
+        return _HELPERS[lang].parse(F.expr(f"if({needed}, text, NULL)")).alias(f"_{lang}")
+
+    parsed = texts.select(*_KEYS, "text", *map(parse, wanted))
+    tools = [
+        f"WHEN '{lang}' THEN "
+        + (java_tools.tools("_java.found", "text") if lang == "java" else _HELPERS[lang].tools(f"_{lang}.found"))
+        for lang in wanted
+    ]
+    reason, detail = (
+        "coalesce(" + ", ".join([*[f"_{lang}.{field}" for lang in wanted], "NULL"]) + ")"
+        for field in ("reason", "detail")
     )
-    legs = []
-    for lang in wanted:
-        found = F.col(f"_{lang}.found")
-        text = F.when(F.col("lang") == lang, F.col("text"))
-        tools = java_tools.tools(found, text) if lang == "java" else _HELPERS[lang].tools(found)
-        legs.append(F.when(F.col("lang") == lang, tools))
-    outcome = [F.col(f"_{lang}") for lang in wanted]
     return parsed.select(
         *_KEYS,
-        F.coalesce(*legs).alias("tools"),
-        F.when(F.col("text").isNull(), F.lit("bad_utf8"))
-        .otherwise(F.coalesce(*[c["reason"] for c in outcome]))
-        .alias("reason"),
-        F.coalesce(*[c["detail"] for c in outcome]).alias("detail"),
+        F.expr(f"CASE lang {' '.join(tools)} END").alias("tools"),
+        F.expr(f"if(text IS NULL, 'bad_utf8', {reason})").alias("reason"),
+        F.expr(detail).alias("detail"),
     )
 
 

@@ -49,19 +49,24 @@ def drop_excluded(paths: DataFrame, excludes: Iterable[str] = DEFAULT_EXCLUDES)
     if not names:
         return paths
     parts = F.split("path", "/")
-    return paths.filter(~F.arrays_overlap(parts, F.array(*map(F.lit, names))))
+    return paths.filter(~F.arrays_overlap(parts, F.lit(names)))
 
 
 def route_files(paths: DataFrame) -> DataFrame:
     """Keep the file types we can read and add ``ext, lang, lang_rank, ext_rank``."""
     lang_of = {e: lang for lang, exts in FILE_TYPES.items() for e in exts}
+    lang_ranks = {lang: i for i, lang in enumerate(LANGUAGES)}
     rank_of = {e: i for exts in FILE_TYPES.values() for i, e in enumerate(exts)}
     return (
         paths.filter(_ext(F.col("path")).isin(*lang_of))
         .withColumn("ext", _ext(F.col("path")))
-        .withColumn("lang", lookup(F.col("ext"), lang_of))
-        .withColumn("lang_rank", lookup(F.col("lang"), {x: i for i, x in enumerate(LANGUAGES)}))
-        .withColumn("ext_rank", lookup(F.col("ext"), rank_of))
+        .withColumns(
+            {
+                "lang": F.expr(lookup("ext", lang_of)),
+                "lang_rank": F.expr(lookup("ext", {e: lang_ranks[x] for e, x in lang_of.items()})),
+                "ext_rank": F.expr(lookup("ext", rank_of)),
+            }
+        )
     )
 
 
@@ -119,8 +124,8 @@ def keep_detected(routed: DataFrame, all_paths: DataFrame) -> DataFrame:
 
 def decode_text(files: DataFrame) -> DataFrame:
     """Add ``text``: content with plain newlines, null where it is not UTF-8."""
-    raw = F.col("content").cast("string")
-    return files.withColumn("text", F.when(F.is_valid_utf8(raw), unix_newlines(raw)))
+    raw = "CAST(content AS STRING)"
+    return files.withColumn("text", F.expr(f"if(is_valid_utf8({raw}), {unix_newlines(raw)}, NULL)"))
 
 
 def valid_text_files(files: DataFrame) -> DataFrame:

@@ -7,11 +7,9 @@ built tools are plain regex columns.
 
 import re
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import lookup, parameters_json, trimmed
+from ..functions import literal, lookup, parameters_json, trimmed
 from ..schemas import EMPTY_PARAMETERS, struct
 from .brackets import PARENS, QUOTED, closing
 from .per_file import parsed
@@ -79,99 +77,75 @@ def _find(text):
 parse = parsed(_find, _FOUND)
 
 
-def may_hold_tools(text: Column) -> Column:
-    """Cheap test that no file with a tool fails."""
-    return F.contains(text, F.lit("Tool"))
+def may_hold_tools(text: str) -> str:
+    """Cheap test (SQL text) that no file with a tool fails."""
+    return f"contains({text}, 'Tool')"
 
 
-def may_hold_annotations(text: Column) -> Column:
-    """Cheap test that no file with an annotated method fails."""
-    return F.contains(text, F.lit("@Tool")) | F.contains(text, F.lit("@McpTool"))
+def may_hold_annotations(text: str) -> str:
+    """Cheap test (SQL text) that no file with an annotated method fails."""
+    return f"(contains({text}, '@Tool') OR contains({text}, '@McpTool'))"
 
 
-def json_type(java_type: Column) -> Column:
+def json_type(java_type: str) -> str:
     """JSON type of a Java type such as ``int[]``, ``java.util.UUID``, ``List<String>``."""
-    bare = F.regexp_replace(F.replace(trimmed(java_type), F.lit("[]"), F.lit("")), "<.*?>", "")
-    first = F.regexp_extract(bare, r"(?U)^\S*", 0)
-    return F.coalesce(lookup(F.substring_index(first, ".", -1), JAVA_TYPES), F.lit("string"))
+    bare = f"regexp_replace(replace({trimmed(java_type)}, '[]', ''), '<.*?>', '')"
+    first = f"regexp_extract({bare}, {literal(r'(?U)^\S*')}, 0)"
+    base = f"substring_index({first}, '.', -1)"
+    return f"coalesce({lookup(base, JAVA_TYPES)}, 'string')"
 
 
-def signature_parameters(params: Column) -> Column:
+def signature_parameters(params: str) -> str:
     """Parameter schema of a plain parameter list; every parameter is required."""
+    bare = f"regexp_replace(part, {literal(r'(?U)@\w+\s*')}, '')"
+    bare = trimmed(f"regexp_replace({bare}, {literal(r'(?U)\bfinal\b\s+')}, '')")
+    words = f"transform(split({params}, ','), part -> split({bare}, {literal(r'(?U)\s+')}))"
+    one = f"named_struct('name', element_at(w, -1), 'type', {json_type('w[0]')}, 'required', true)"
+    named = f"transform(filter({words}, w -> size(w) >= 2), w -> {one})"
+    return f"coalesce({parameters_json(named)}, {literal(EMPTY_PARAMETERS)})"
 
-    def words(part: Column) -> Column:
-        bare = F.regexp_replace(part, r"(?U)@\w+\s*", "")
-        bare = trimmed(F.regexp_replace(bare, r"(?U)\bfinal\b\s+", ""))
-        return F.split(bare, r"(?U)\s+")
 
-    def param(w: Column) -> Column:
-        return F.struct(
-            F.element_at(w, -1).alias("name"),
-            json_type(w[0]).alias("type"),
-            F.lit(True).alias("required"),
-        )
+def _tool(rank: int, name: str, description: str = "''", parameters: str = literal(EMPTY_PARAMETERS)) -> str:
+    return f"""named_struct(
+        'pattern_rank', {rank},
+        'name', {trimmed(name)},
+        'description', {description},
+        'parameters', {parameters})"""
 
-    named = F.filter(F.transform(F.split(params, ","), words), lambda w: F.size(w) >= 2)
-    return F.coalesce(parameters_json(F.transform(named, param)), F.lit(EMPTY_PARAMETERS))
 
-
-def _tool(rank: int, name: Column, description: Column, parameters: Column) -> Column:
-    return F.struct(
-        F.lit(rank).alias("pattern_rank"),
-        trimmed(name).alias("name"),
-        trimmed(description).alias("description"),
-        parameters.alias("parameters"),
-    )
-
-
-def annotated_tools(found: Column) -> Column:
+def annotated_tools(found: str) -> str:
     """``@Tool`` / ``@McpTool`` methods, named by the annotation or the method."""
+    by_annotation = [
+        f"nullif({trimmed(f'regexp_extract(t.arguments, {literal(p)}, 1)')}, '')" for p in (_NAMED, _ANY_TEXT)
+    ]
+    name = f"coalesce({', '.join(by_annotation)}, t.method, '')"
+    tool = _tool(0, name, parameters=signature_parameters("t.params"))
+    return f"coalesce(transform({found}, t -> {tool}), array())"
 
-    def tool(t: Column) -> Column:
-        named = [F.regexp_extract(t["arguments"], p, 1) for p in (_NAMED, _ANY_TEXT)]
-        names = [F.nullif(trimmed(n), F.lit("")) for n in named]
-        name = F.coalesce(*names, t["method"], F.lit(""))
-        return _tool(0, name, F.lit(""), signature_parameters(t["params"]))
-
-    return F.transform(found, tool)
 
-
-def _matches(text: Column, word: str, pattern: str, group: int) -> Column:
+def _matches(text: str, word: str, pattern: str, group: int = 1) -> str:
     """All matches; a text without the word, a part of any match, skips the regex."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    return F.when(F.contains(text, F.lit(word)), found).otherwise(F.array().cast("array<string>"))
-
-
-def named_tools(rank: int, word: str, pattern: str, text: Column) -> Column:
-    """Tools of which a pattern gives the name only."""
-    names = _matches(text, word, pattern, 1)
-    return F.transform(names, lambda n: _tool(rank, n, F.lit(""), F.lit(EMPTY_PARAMETERS)))
+    found = f"regexp_extract_all({text}, {literal(pattern)}, {group})"
+    return f"if(contains({text}, {literal(word)}), {found}, CAST(array() AS array<string>))"
 
 
-def registered_tools(text: Column) -> Column:
+def registered_tools(text: str) -> str:
     """``registerTool("name", …)``."""
-    return named_tools(1, "registerTool", _REGISTERED, text)
+    return f"transform({_matches(text, 'registerTool', _REGISTERED)}, n -> {_tool(1, 'n')})"
 
 
-def constructed_tools(text: Column) -> Column:
+def constructed_tools(text: str) -> str:
     """``addTool(new …Tool("name", "description", …))``."""
     names, descriptions = (_matches(text, "addTool", _CONSTRUCTED, group) for group in (1, 2))
-    return F.zip_with(
-        names, descriptions, lambda n, d: _tool(2, n, d, F.lit(EMPTY_PARAMETERS))
-    )
+    return f"zip_with({names}, {descriptions}, (n, d) -> {_tool(2, 'n', trimmed('d'))})"
 
 
-def built_tools(text: Column) -> Column:
+def built_tools(text: str) -> str:
     """``Tool.builder("name")``."""
-    return named_tools(3, "builder", _BUILT, text)
+    return f"transform({_matches(text, 'builder', _BUILT)}, n -> {_tool(3, 'n')})"
 
 
-def tools(found: Column, text: Column) -> Column:
+def tools(found: str, text: str) -> str:
     """``array<struct<pattern_rank,name,description,parameters>>`` of a file."""
-    legs = F.concat(
-        F.coalesce(annotated_tools(found), F.array()),
-        registered_tools(text),
-        constructed_tools(text),
-        built_tools(text),
-    )
-    return F.filter(legs, lambda t: t["name"] != "")
+    legs = [annotated_tools(found), registered_tools(text), constructed_tools(text), built_tools(text)]
+    return f"filter(concat({', '.join(legs)}), t -> t.name <> '')"

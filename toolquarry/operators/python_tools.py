@@ -7,8 +7,6 @@ schema are column expressions.
 import ast
 from collections import deque
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import lookup, parameters_json
@@ -123,32 +121,22 @@ def _find(text):
 parse = parsed(_find, _FOUND)
 
 
-def may_hold_tools(text: Column) -> Column:
-    """Cheap test that no file with a tool fails.
+def may_hold_tools(text: str) -> str:
+    """Cheap test (SQL text) that no file with a tool fails.
 
     A decorator needs ``@`` and the word itself; names outside ASCII may be another
     spelling of the same word, so those files are parsed too.
     """
-    spelled = F.contains(text, F.lit("tool")) | (F.octet_length(text) != F.length(text))
-    return F.contains(text, F.lit("@")) & F.contains(text, F.lit("def")) & spelled
+    spelled = f"(contains({text}, 'tool') OR octet_length({text}) <> length({text}))"
+    return f"(contains({text}, '@') AND contains({text}, 'def') AND {spelled})"
 
 
-def tools(found: Column) -> Column:
+def tools(found: str) -> str:
     """``array<struct<pattern_rank,name,description,parameters>>`` of a parsed file."""
-
-    def typed(p: Column) -> Column:
-        return F.struct(
-            p["name"].alias("name"),
-            F.coalesce(lookup(p["annotation"], ANNOTATION_TYPES), F.lit("string")).alias("type"),
-            p["required"].alias("required"),
-        )
-
-    def tool(t: Column) -> Column:
-        return F.struct(
-            F.lit(0).alias("pattern_rank"),
-            t["name"].alias("name"),
-            t["description"].alias("description"),
-            parameters_json(F.transform(t["params"], typed)).alias("parameters"),
-        )
-
-    return F.transform(found, tool)
+    json_type = f"coalesce({lookup('a.annotation', ANNOTATION_TYPES)}, 'string')"
+    typed = f"named_struct('name', a.name, 'type', {json_type}, 'required', a.required)"
+    return f"""transform({found}, t -> named_struct(
+        'pattern_rank', 0,
+        'name', t.name,
+        'description', t.description,
+        'parameters', {parameters_json(f"transform(t.params, a -> {typed})")}))"""

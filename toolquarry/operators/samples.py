@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import let, lookup, quoted, trimmed
+from ..functions import let, literal, lookup, quoted, trimmed
 from ..schemas import MESSAGE, TOOL_CALL
 from .catalog import parse_parameters, schema_type
 
@@ -23,39 +23,26 @@ TOOL_RESULT = '{"ok": true}'
 FINAL_ANSWER = "Done."
 
 
-def dummy_value(schema: Column) -> Column:
-    """JSON text of a stand-in value for a property schema (JSON text).
+def dummy_value(schema: str) -> str:
+    """JSON text of a stand-in value for a property schema (JSON text); SQL text.
 
     The first ``enum`` item if there is one, else a value by ``type``.
     """
+    # The reader writes JSON compactly, so a text item starts right after the bracket.
+    text = "coalesce(items[0], 'null')"
+    item = f"""if(startswith(s.enum, '["'), {quoted(text)}, {text})"""
+    listed = let("items", "from_json(s.enum, 'array<string>')", f"if(size(items) > 0, {item}, NULL)")
+    typed = lookup(let("kind", "s.type", schema_type("kind")), DUMMY_VALUES)
+    value = f"coalesce(if(s.enum IS NULL, NULL, {listed}), {typed}, {literal(DUMMY_VALUES['string'])})"
+    return let("s", f"from_json({schema}, 'struct<type:string,enum:string>')", value)
 
-    def by_enum(enum: Column, items: Column) -> Column:
-        text = F.coalesce(F.get(items, F.lit(0)), F.lit("null"))
-        # The reader writes JSON compactly, so a text item starts right after the bracket.
-        item = F.when(F.startswith(enum, F.lit('["')), quoted(text)).otherwise(text)
-        return F.when(F.size(items) > 0, item)
 
-    def choose(s: Column) -> Column:
-        enum = s["enum"]
-        listed = let(F.from_json(enum, "array<string>"), lambda items: by_enum(enum, items))
-        by_type = lookup(let(s["type"], schema_type), DUMMY_VALUES)
-        return F.coalesce(F.when(enum.isNotNull(), listed), by_type, F.lit(DUMMY_VALUES["string"]))
-
-    return let(F.from_json(schema, "struct<type:string,enum:string>"), choose)
-
-
-def dummy_arguments(parameters: Column) -> Column:
-    """JSON text of an argument object that fills the required parameters."""
-
-    def argument(p: Column, key: Column) -> Column:
-        entry = F.get(F.filter(p["properties"], lambda e: e["key"] == key), F.lit(0))
-        return F.concat(quoted(key), F.lit(":"), dummy_value(entry["value"]))
-
-    def render(p: Column) -> Column:
-        pairs = F.transform(F.array_distinct(p["required"]), lambda key: argument(p, key))
-        return F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}"))
-
-    return let(parse_parameters(parameters), render)
+def dummy_arguments(parameters: str) -> str:
+    """JSON text of an argument object that fills the required parameters; SQL text."""
+    schema = "get(filter(p.properties, e -> e.key = name), 0).value"
+    pair = f"concat({quoted('name')}, ':', {dummy_value(schema)})"
+    pairs = f"transform(array_distinct(p.required), name -> {pair})"
+    return let("p", parse_parameters(parameters), f"concat('{{', array_join({pairs}, ','), '}}')")
 
 
 def _message(role: str, content: Column, name: Column | None = None, calls: Column | None = None):
@@ -70,14 +57,13 @@ def _message(role: str, content: Column, name: Column | None = None, calls: Colu
 def generate_samples(catalog: DataFrame) -> DataFrame:
     """One four-message conversation per catalog entry."""
     name = F.col("name")
-    asked = F.concat(
-        F.lit(USER_TEXT[0]), name, F.lit(USER_TEXT[1]), F.coalesce("description", F.lit(""))
-    )
+    before, after = map(literal, USER_TEXT)
+    asked = F.expr(trimmed(f"concat({before}, name, {after}, coalesce(description, ''))"))
     call = F.struct(
-        F.struct(name.alias("name"), dummy_arguments(F.col("parameters")).alias("arguments")).alias("function")
+        F.struct(name.alias("name"), F.expr(dummy_arguments("parameters")).alias("arguments")).alias("function")
     )
     messages = F.array(
-        _message("user", trimmed(asked)),
+        _message("user", asked),
         _message("assistant", F.lit(""), calls=F.array(call)),
         _message("tool", F.lit(TOOL_RESULT), name=name),
         _message("assistant", F.lit(FINAL_ANSWER)),

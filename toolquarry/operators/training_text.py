@@ -5,7 +5,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import count_up_to, quoted, token_count
+from ..functions import count_up_to, literal, quoted, token_count
 from ..schemas import MESSAGE, TOOL_CALL
 
 # Fixed value: the message put in front of a conversation that brings none.
@@ -137,35 +137,24 @@ def add_instruction(samples: DataFrame) -> DataFrame:
 
 
 def entry_json(catalog: DataFrame) -> Column:
-    """JSON text of a catalog entry, unknown keys included."""
-
-    def member(key: str, value: Column) -> Column:
-        return F.concat(F.lit(f'"{key}":'), value)
-
-    def inside(json_object: str) -> Column:
-        if json_object not in catalog.columns:
-            return F.lit(None).cast("string")
-        body = F.substr(F.col(json_object), F.lit(2), F.length(json_object) - 2)
-        return F.nullif(body, F.lit(""))
-
-    function = F.concat_ws(
-        ",",
-        member("name", quoted(F.col("name"))),
-        member("description", quoted(F.col("description"))),
-        member("parameters", F.col("parameters")),
-        inside("function_extra"),
-    )
-    return F.concat_ws(
-        "",
-        F.lit("{"),
-        F.concat_ws(
-            ",",
-            member("type", quoted(F.col("type"))),
-            F.concat(F.lit('"function":{'), function, F.lit("}")),
-            inside("extra"),
-        ),
-        F.lit("}"),
-    )
+    """JSON text of a catalog entry, unknown keys included; null fields are left out."""
+
+    def inside(json_object: str) -> list[str]:
+        known = json_object in catalog.columns
+        return [f"nullif(substr({json_object}, 2, length({json_object}) - 2), '')"] if known else []
+
+    function = [
+        f"""concat('"name":', {quoted('name')})""",
+        f"""concat('"description":', {quoted('description')})""",
+        """concat('"parameters":', parameters)""",
+        *inside("function_extra"),
+    ]
+    entry = [
+        f"""concat('"type":', {quoted('type')})""",
+        f"""concat('"function":{{', concat_ws(',', {', '.join(function)}), '}}')""",
+        *inside("extra"),
+    ]
+    return F.expr(f"concat('{{', concat_ws(',', {', '.join(entry)}), '}}')")
 
 
 def catalog_entries(catalog: DataFrame) -> DataFrame:
@@ -232,36 +221,22 @@ def select_tools(samples: DataFrame, catalog: DataFrame) -> DataFrame:
     return joined.select(*samples.columns, tools.alias("tools"))
 
 
-def render_message(message: Column, template: ChatTemplate) -> Column:
-    """Text of one message."""
-    t = template
-
-    def call(c: Column) -> Column:
-        fn = c["function"]
-        return F.concat(
-            F.lit(t.call_begin),
-            F.coalesce(fn["name"], F.lit("")),
-            F.lit(t.call_name_end),
-            F.coalesce(fn["arguments"], F.lit("{}")),
-            F.lit(t.call_end),
-        )
-
-    calls = F.array_join(F.transform(message["tool_calls"], call), "")
-    name = F.concat(F.lit(t.name_begin), message["name"], F.lit(t.name_end))
-    return F.concat(
-        F.lit(t.turn_begin),
-        F.coalesce(message["role"], F.lit("")),
-        F.lit(t.role_end),
-        F.coalesce(name, F.lit("")),
-        F.coalesce(message["content"], F.lit("")),
-        F.coalesce(calls, F.lit("")),
-        F.lit(t.turn_end),
-    )
+def render_message(message: str, template: ChatTemplate) -> str:
+    """Text of one message (SQL text)."""
+    t = ChatTemplate(*map(literal, template))
+    call = f"""concat({t.call_begin}, coalesce(c.function.name, ''), {t.call_name_end},
+        coalesce(c.function.arguments, '{{}}'), {t.call_end})"""
+    return f"""concat(
+        {t.turn_begin}, coalesce({message}.role, ''), {t.role_end},
+        coalesce(concat({t.name_begin}, {message}.name, {t.name_end}), ''),
+        coalesce({message}.content, ''),
+        coalesce(array_join(transform({message}.tool_calls, c -> {call}), ''), ''),
+        {t.turn_end})"""
 
 
 def render_chat(samples: DataFrame, template: ChatTemplate = ChatTemplate()) -> DataFrame:
     """Add ``text``: the tools, if the sample has any, then all messages."""
-    turns = F.array_join(F.transform("messages", lambda m: render_message(m, template)), "")
+    turns = F.expr(f"array_join(transform(messages, m -> {render_message('m', template)}), '')")
     if "tools" not in samples.columns:
         return samples.withColumn("text", turns)
     listed = F.concat(
@@ -289,7 +264,7 @@ def mark_budget(texts: DataFrame, budget: int) -> DataFrame:
 
     A stand-in for a tokenizer, which is part of the model and not of the data.
     """
-    counted = texts.withColumn("n_tokens_proxy", token_count(F.col("text")))
+    counted = texts.withColumn("n_tokens_proxy", F.expr(token_count("text")))
     return counted.withColumn("over_budget", F.col("n_tokens_proxy") > budget)
 
 

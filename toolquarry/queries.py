@@ -458,7 +458,8 @@ _JAVA_TYPES = {
 )
 def java_type_map(spark, sf_dir):
     java_type = _pick("p_partkey", *_JAVA_TYPES)
-    return _table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), json_type(java_type).alias("json_type"))
+    types = _table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), java_type.alias("t"))
+    return types.select("id", F.expr(json_type("t")).alias("json_type"))
 
 
 @_query(
@@ -469,7 +470,7 @@ def java_type_map(spark, sf_dir):
 )
 def document_sources(spark, sf_dir):
     """All languages in one scan; every file carries a whole document as comment."""
-    text = F.regexp_replace(unix_newlines(F.col("text")), r"\*/", "* /")
+    text = F.regexp_replace(F.expr(unix_newlines("text")), r"\*/", "* /")
     key, source = F.col("doc_id"), F.col("source")
     content = _pick(
         "doc_id",
@@ -646,9 +647,8 @@ def dummy_arguments(spark, sf_dir):
         '{"required": ["', kind, '", "of", "gone", "of"], "properties": {"of": {"type": ["integer", "null"], "enum": ', enum,
         '}, "', kind, '": {"type": "', _pick("event_id", *_EVENT_TYPES), '"}, "free": {"type": "integer"}}}',
     )
-    return _table(spark, sf_dir, "events").select(
-        F.col("event_id").alias("id"), G.dummy_arguments(parameters).alias("arguments")
-    )
+    tools = _table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), parameters.alias("p"))
+    return tools.select("id", F.expr(G.dummy_arguments("p")).alias("arguments"))
 
 
 @_query(
