@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions import let, literal, lookup, quoted, trimmed
 from ..schemas import MESSAGE, TOOL_CALL
-from .catalog import parse_parameters, schema_type
+from .catalog import schema_type
 
 # The stand-in value of each JSON type, as JSON text.
 DUMMY_VALUES = {
@@ -23,26 +23,49 @@ TOOL_RESULT = '{"ok": true}'
 FINAL_ANSWER = "Done."
 
 
-def dummy_value(schema: str) -> str:
-    """JSON text of a stand-in value for a property schema (JSON text); SQL text.
+_PROPERTY = "struct<type:string,enum:string>"
+_TYPED = f"struct<properties:map<string,{_PROPERTY}>,required:array<string>>"
+_UNTYPED = "struct<properties:map<string,string>>"
 
-    The first ``enum`` item if there is one, else a value by ``type``.
-    """
+
+def _value(schema: str) -> str:
+    """Stand-in value for a parsed property schema (``_PROPERTY``)."""
     # The reader writes JSON compactly, so a text item starts right after the bracket.
     text = "coalesce(items[0], 'null')"
     item = f"""if(startswith(s.enum, '["'), {quoted(text)}, {text})"""
     listed = let("items", "from_json(s.enum, 'array<string>')", f"if(size(items) > 0, {item}, NULL)")
     typed = lookup(let("kind", "s.type", schema_type("kind")), DUMMY_VALUES)
     value = f"coalesce(if(s.enum IS NULL, NULL, {listed}), {typed}, {literal(DUMMY_VALUES['string'])})"
-    return let("s", f"from_json({schema}, 'struct<type:string,enum:string>')", value)
+    return let("s", schema, value)
+
+
+def dummy_value(schema: str) -> str:
+    """JSON text of a stand-in value for a property schema (JSON text); SQL text.
+
+    The first ``enum`` item if there is one, else a value by ``type``.
+    """
+    return _value(f"from_json({schema}, '{_PROPERTY}')")
 
 
 def dummy_arguments(parameters: str) -> str:
-    """JSON text of an argument object that fills the required parameters; SQL text."""
-    schema = "get(filter(p.properties, e -> e.key = name), 0).value"
-    pair = f"concat({quoted('name')}, ':', {dummy_value(schema)})"
-    pairs = f"transform(array_distinct(p.required), name -> {pair})"
-    return let("p", parse_parameters(parameters), f"concat('{{', array_join({pairs}, ','), '}}')")
+    """JSON text of an argument object that fills the required parameters; SQL text.
+
+    One parse reads all property schemas. It gives none of them if a single one is not
+    an object; only then they are parsed one by one.
+    """
+    one_by_one = f"""transform_values(
+        from_json({parameters}, '{_UNTYPED}').properties, (k, v) -> from_json(v, '{_PROPERTY}'))"""
+    parsed = let(
+        "doc",
+        f"from_json({parameters}, '{_TYPED}')",
+        f"""named_struct(
+            'properties', map_entries(coalesce(doc.properties, {one_by_one})),
+            'required', array_distinct(coalesce(doc.required, CAST(array() AS array<string>))))""",
+    )
+    # Of a repeated key the last value counts.
+    schema = "try_element_at(filter(p.properties, e -> e.key = name), -1).value"
+    pairs = f"transform(p.required, name -> concat({quoted('name')}, ':', {_value(schema)}))"
+    return let("p", parsed, f"concat('{{', array_join({pairs}, ','), '}}')")
 
 
 def _message(role: str, content: Column, name: Column | None = None, calls: Column | None = None):
