@@ -335,3 +335,4 @@ def test_all_languages_in_one_scan(source_files):
     rows = extract_tools(files).orderBy("lang_rank").collect()
     assert [(r["lang"], r["name"]) for r in rows] == [("python", "p"), ("node", "n"), ("java", "j")]
     assert [r["name"] for r in extract_tools(files, ["java", "cobol"]).collect()] == ["j"]
+    assert extract_tools(files, ["cobol"]).collect() == []

@@ -148,6 +148,10 @@ def test_export_is_one_json_array(spark, folder, monkeypatch, one_file):
         "function": {"name": "n000é", "description": 'q"', "parameters": {"a": [1]}},
         "x": 1,
     }
+    if one_file:
+        sinks.export_catalog(catalog, f"{folder}/tools.json")
+        again = read_catalog(spark, f"{folder}/tools.json").orderBy("ord").collect()
+        assert [tuple(r)[1:] for r in again] == [(*r[1:4], '{"a":[1]}', *r[5:]) for r in rows]
     sinks.export_catalog(catalog.limit(0), f"{folder}/empty")
     assert json.loads("".join(p.read_text() for p in Path(folder, "empty").glob("part-*"))) == []
 

@@ -90,9 +90,9 @@ def test_rendering(spark, catalog):
         '<turn:assistant><call:a>{"k": 1}</call><call:z>{}</call></turn>\n<turn:tool>[a]{}</turn>\n<turn:assistant></turn>\n',
         "n": "<turn:system>s</turn>\n",
     }
-    brief = R.ChatTemplate(turn_begin="", role_end=": ", turn_end=";")
-    short = R.render_chat(spark.createDataFrame(rows[1:], SAMPLES), brief)
-    assert short.head()["text"] == "system: s;"
+    odd = R.ChatTemplate(turn_begin="${env:HOME}'", role_end="\\n: ", turn_end="\n{x}\\")
+    short = R.render_chat(spark.createDataFrame(rows[1:], SAMPLES), odd)
+    assert short.head()["text"] == "${env:HOME}'system\\n: s\n{x}\\"
 
 
 TURNS = [

@@ -4,10 +4,12 @@ from collections.abc import Mapping
 
 
 def literal(value: str | int) -> str:
-    """SQL literal of a text or number."""
+    """SQL literal of a text or number; ``$`` is escaped as ``${…}`` would be replaced."""
     if isinstance(value, int):
         return str(value)
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    for char, escape in (("\\", "\\\\"), ("'", "\\'"), ("$", "\\u0024")):
+        value = value.replace(char, escape)
+    return f"'{value}'"
 
 
 def trimmed(text: str) -> str:

@@ -28,6 +28,7 @@ def scan_files(files: DataFrame, languages: Iterable[str] = LANGUAGES) -> DataFr
     wanted = [lang for lang in LANGUAGES if lang in set(languages)]
     routed = files if "lang_rank" in files.columns else route_files(files)
     routed = keep_languages(routed, wanted)
+    wanted = wanted or LANGUAGES  # no known language keeps no file
 
     raw = "CAST(content AS STRING)"
     worth = [f"lang = '{lang}' AND {_HELPERS[lang].may_hold_tools(raw)}" for lang in wanted]
