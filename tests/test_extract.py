@@ -192,6 +192,22 @@ registerTool("find", {
     ),
     "zod of a variable": ('registerTool("n", { inputSchema: z.object(Shape) })', [("n", "", EMPTY)]),
     "zod in a string": ('registerTool("n", { inputSchema: "z.object({a: z.x})" })', [("n", "", EMPTY)]),
+    "zod after a string": (
+        'registerTool("n", { inputSchema: "a" + z.object({ a: z.string() }), b: 1 })',
+        [("n", "", EMPTY)],
+    ),
+    "zod call with type arguments": (
+        'registerTool("n", { inputSchema: z.object<{ a: B }>({ a: z.string() }).partial(), b: c })',
+        [("n", "", EMPTY)],
+    ),
+    "escapes and quotes in values": (
+        r"""registerTool("n", { inputSchema: { type: 'object', note: 'say "hi"', $ref: 'a\\b', list: [1.50, true, null,], } })""",
+        [("n", "", {"type": "object", "note": 'say "hi"', "$ref": "a\\b", "list": [1.5, True, None]})],
+    ),
+    "name and description by other quotes": (
+        """registerTool({ 'name': 'quoted key', description: 'it"s', name: `n`, title: "t" })""",
+        [("n", "", EMPTY)],
+    ),
     "comments, quotes and brackets inside": (
         """
 // registerTool("commented", {})

@@ -114,7 +114,8 @@ def list_tree(
 def read_contents(paths: DataFrame, root: str, partitions: int | None = None) -> DataFrame:
     """Add ``content`` to listed files.
 
-    The listing is spread by file first, so a project that holds a third of all
+    Filter the listing to leave files out, by ``length`` for instance: a file has to
+    fit into a task. The listing is spread by file first, so a project that holds a third of all
     files is read by all tasks. The number of tasks is fixed: by the size of the
     listing alone, adaptive execution would merge them into a few.
     """
