@@ -588,7 +588,7 @@ def tool_params(spark, sf_dir):
 
 
 @_query(
-    "SELECT doc, x.i AS ord, 'function' AS type, 'n' || x.k AS name, x.d AS description, "
+    "SELECT doc, CAST(x.i AS INTEGER) AS ord, 'function' AS type, 'n' || x.k AS name, x.d AS description, "
     "'{\"type\":\"object\",\"properties\":{\"z\":{},\"b\":{}}}' AS parameters, '{\"tier\":' || x.k || '}' AS extra, "
     "'{\"strict\":true}' AS function_extra FROM (SELECT p_partkey // 10 AS doc, unnest(list_transform(list_sort(list({'k': p_partkey, 'd': p_name})), "
     "lambda e, i: {'i': i - 1, 'k': e.k, 'd': e.d})) AS x FROM part GROUP BY p_partkey // 10)"
@@ -705,7 +705,7 @@ def sample_line_ids(spark, sf_dir):
 
 _INSTRUCTION_TURN = f"'<turn:{R.INSTRUCTION_ROLE}>{R.INSTRUCTION}</turn>' || chr(10)"
 _CHAT_SQL = (
-    "SELECT conv_id AS id, 0 AS part, "
+    "SELECT conv_id AS id, CAST(0 AS BIGINT) AS part, "
     f"CASE WHEN arg_min(role, turn) IN ('system', 'developer') THEN '' ELSE {_INSTRUCTION_TURN} END || "
     "string_agg('<turn:' || role || '>' || text || '</turn>' || chr(10), '' ORDER BY turn) AS text "
     "FROM conversations GROUP BY conv_id"
