@@ -3,6 +3,8 @@ import tempfile
 import pytest
 from pyspark.sql import SparkSession
 
+from toolquarry.schemas import SOURCE_FILES
+
 
 @pytest.fixture(scope="session")
 def spark():
@@ -34,6 +36,6 @@ def source_files(spark):
             (project, path, bytearray(c.encode() if isinstance(c, str) else c))
             for path, c in files.items()
         ]
-        return spark.createDataFrame(rows, "project STRING, path STRING, content BINARY")
+        return spark.createDataFrame(rows, SOURCE_FILES)
 
     return build

@@ -67,7 +67,7 @@ def test_arguments(spark):
 def test_sample_record(spark):
     rows = [("get_weather", "Current weather.", WEATHER), ("bare", None, None), ("x", "  \t", "{}")]
     df = G.generate_samples(spark.createDataFrame(rows, "name STRING, description STRING, parameters STRING"))
-    assert df.schema == spark.createDataFrame([], SAMPLES).schema or df.schema.simpleString() == spark.createDataFrame([], SAMPLES).schema.simpleString()
+    assert df.schema.simpleString() == spark.createDataFrame([], SAMPLES).schema.simpleString()
     got = {r["id"]: json.loads(r["j"]) for r in df.select("id", F.to_json(F.struct("*")).alias("j")).collect()}
     assert got["auto-get_weather-1"] == {
         "id": "auto-get_weather-1",

@@ -32,7 +32,7 @@ FILE_TYPES = {
     "java": ("java",),
 }
 
-# More projects than this are joined by shuffle; one row is a short project name.
+# More projects than this are joined by shuffle; one row is a folder name.
 BROADCAST_PROJECTS = 200_000
 
 

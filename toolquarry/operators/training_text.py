@@ -88,8 +88,8 @@ def assemble_turns(turns: DataFrame, turns_per_part: int = TURNS_PER_PART) -> Da
     """Conversations as nested rows: ``conv_id, part, messages`` in turn order.
 
     ``part`` is 0, or a running number for a conversation with more rows than
-    ``turns_per_part``: it is cut by turn number, so no task has to hold it whole.
-    Read the parts in order to get it back.
+    ``turns_per_part``: it is cut by turn number, which is unique within it, so no
+    task has to hold it whole. Read the parts in order to get it back.
     """
     overlong = _overlong(turns, turns_per_part)
     part = F.lit(0).cast("bigint")
@@ -182,7 +182,8 @@ def select_tools(samples: DataFrame, catalog: DataFrame) -> DataFrame:
     """Add ``tools``: the catalog entries (JSON text) each sample may call.
 
     Named tools keep catalog order, unknown names are dropped, and a sample that
-    names none gets the whole catalog.
+    names none gets the whole catalog. Both tables are read more than once: store a
+    catalog that is costly to derive.
 
     Samples share few different lists of names, so the lists are made distinct
     first (one column, map-side), resolved once, and joined back in one pass over the

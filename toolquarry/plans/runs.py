@@ -4,6 +4,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions import checkpointed
 from ..operators.catalog import merge_tools
 from ..operators.extract import scan_files, tool_defs
 from ..operators.files import (
@@ -49,11 +50,15 @@ def catalog_from_tree(
     languages: str = AUTO,
     excludes: Iterable[str] = DEFAULT_EXCLUDES,
 ) -> DataFrame:
-    """Scan the projects below ``root`` and merge their tools into a stored catalog."""
+    """Scan the projects below ``root`` and merge their tools into a stored catalog.
+
+    The tree is listed once: detection and reading work on the same snapshot.
+    """
     excludes = list(excludes)
     # Detection looks into excluded folders too; a fixed choice need not list them.
     pruned = () if languages == AUTO else excludes
-    chosen = select_files(list_tree(spark, root, pruned), languages, excludes)
+    listed = checkpointed(list_tree(spark, root, pruned))
+    chosen = select_files(listed, languages, excludes)
     files = route_files(read_contents(chosen, root))
     existing = read_catalog(spark, catalog_path, missing_ok=True)
     return save_catalog(merge_tools(existing, tool_defs(scan_files(files))), catalog_path)

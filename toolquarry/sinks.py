@@ -29,7 +29,8 @@ def export_catalog(catalog: DataFrame, path: str) -> None:
     """Write the catalog as JSON text into the folder ``path``.
 
     The part files, joined in name order, are one JSON array. A catalog up to
-    ``ONE_FILE_BYTES`` is a single file; a larger one is written by all tasks.
+    ``ONE_FILE_BYTES`` is a single file; a larger one is written by all tasks. It is
+    measured first, so export a stored catalog rather than one still to be merged.
     """
     lines = catalog.select("name", entry_json(catalog).alias("entry"))
     facts = lines.agg(
