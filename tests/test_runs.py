@@ -98,6 +98,14 @@ def test_tree_to_text(spark, tree, folder):
     assert read_samples(spark, samples_path).count() == 5
 
 
+def test_skipped_files_are_stored(spark, tree, folder):
+    write(tree, {"one/large.py": PYTHON.replace("py_tool", "large") + "#" * 5000})
+    stored = catalog_from_tree(spark, tree, f"{folder}/c", max_bytes=4000, skipped_path=f"{folder}/skipped")
+    assert [r["name"] for r in stored.filter("name like '%l%rge%' or name = 'deep'").collect()] == ["deep"]
+    skipped = spark.read.parquet(f"{folder}/skipped").collect()
+    assert sorted((r["path"], r["reason"]) for r in skipped) == [("bad.py", "bad_utf8"), ("large.py", "too_large")]
+
+
 def test_fixed_languages_and_excludes(spark, tree, folder):
     stored = catalog_from_tree(spark, tree, f"{folder}/c", "node, cobol", ["node"])
     names = [r["name"] for r in stored.orderBy("name").collect()]

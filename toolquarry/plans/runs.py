@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import checkpointed
 from ..operators.catalog import merge_tools
-from ..operators.extract import scan_files, tool_defs
+from ..operators.extract import scan_files, skipped_files, tool_defs
 from ..operators.files import (
     DEFAULT_EXCLUDES,
     drop_excluded,
@@ -49,19 +49,25 @@ def catalog_from_tree(
     catalog_path: str,
     languages: str = AUTO,
     excludes: Iterable[str] = DEFAULT_EXCLUDES,
+    max_bytes: int | None = None,
+    skipped_path: str | None = None,
 ) -> DataFrame:
     """Scan the projects below ``root`` and merge their tools into a stored catalog.
 
-    The tree is listed once: detection and reading work on the same snapshot.
+    The tree is listed once: detection and reading work on the same snapshot. Files
+    that could not be read are written to ``skipped_path`` (Parquet) if it is given.
     """
     excludes = list(excludes)
     # Detection looks into excluded folders too; a fixed choice need not list them.
     pruned = () if languages == AUTO else excludes
     listed = checkpointed(list_tree(spark, root, pruned))
     chosen = select_files(listed, languages, excludes)
-    files = route_files(read_contents(chosen, root))
+    scanned = scan_files(read_contents(chosen, root, max_bytes=max_bytes))
+    if skipped_path is not None:
+        scanned = checkpointed(scanned)  # two readers, one scan
+        skipped_files(scanned).write.mode("overwrite").parquet(skipped_path)
     existing = read_catalog(spark, catalog_path, missing_ok=True)
-    return save_catalog(merge_tools(existing, tool_defs(scan_files(files))), catalog_path)
+    return save_catalog(merge_tools(existing, tool_defs(scanned)), catalog_path)
 
 
 def samples_from_catalog(

@@ -111,11 +111,12 @@ def list_tree(
     return reader.option("excludes", ",".join(sorted(set(excludes)))).load(root)
 
 
-def read_contents(paths: DataFrame, root: str, partitions: int | None = None) -> DataFrame:
-    """Add ``content`` to listed files.
+def read_contents(
+    paths: DataFrame, root: str, partitions: int | None = None, max_bytes: int | None = None
+) -> DataFrame:
+    """Add ``content`` to listed files, null for files of more than ``max_bytes``.
 
-    Filter the listing to leave files out, by ``length`` for instance: a file has to
-    fit into a task. The listing is spread by file first, so a project that holds a third of all
+    There is no limit unless one is given. The listing is spread by file first, so a project that holds a third of all
     files is read by all tasks. The number of tasks is fixed: by the size of the
     listing alone, adaptive execution would merge them into a few.
     """
@@ -126,10 +127,13 @@ def read_contents(paths: DataFrame, root: str, partitions: int | None = None) ->
         filesystem, _ = _open(root)
         for batch in batches:
             contents, held, begin = [], 0, 0
-            for i, uri in enumerate(batch.column("uri")):
-                with filesystem.open_input_stream(uri.as_py()) as stream:
-                    contents.append(stream.read())
-                held += len(contents[-1])
+            for i, (uri, length) in enumerate(zip(batch.column("uri"), batch.column("length"), strict=True)):
+                if max_bytes is not None and length.as_py() > max_bytes:
+                    contents.append(None)
+                else:
+                    with filesystem.open_input_stream(uri.as_py()) as stream:
+                        contents.append(stream.read())
+                    held += len(contents[-1])
                 if held >= _BATCH_BYTES or i + 1 == batch.num_rows:
                     part = batch.slice(begin, i + 1 - begin)
                     column = pa.array(contents, type=pa.binary())
@@ -143,8 +147,12 @@ def read_contents(paths: DataFrame, root: str, partitions: int | None = None) ->
 
 
 def read_tree(
-    spark: SparkSession, root: str, excludes: Iterable[str] = (), partitions: int | None = None
+    spark: SparkSession,
+    root: str,
+    excludes: Iterable[str] = (),
+    partitions: int | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """``source_files`` table of a tree: ``project, path, content``."""
     listed = list_tree(spark, root, excludes)
-    return read_contents(listed, root, partitions).select("project", "path", "content")
+    return read_contents(listed, root, partitions, max_bytes).select("project", "path", "content")
