@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as driver
 from check_queries import compare, sql_session
+from toolquarry import queries as library
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -16,11 +17,11 @@ def sql():
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(library.queries()) == set(library.oracle_sql())
 
 
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables here")
-@pytest.mark.parametrize("name", driver.queries())
+@pytest.mark.parametrize("name", library.queries())
 def test_query(spark, sql, name):
     problem, rows = compare(spark, sql, name, SF_DIR)
     assert problem is None
