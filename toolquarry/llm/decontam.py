@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .hashing import separators, word_hashes, words
 from .work import stored, text_chunks, work_folder
@@ -148,7 +149,7 @@ def _hits_of(block: _Block):
     return hits.asNondeterministic()
 
 
-@F.arrow_udf("bigint")
+@F.arrow_udf(T.LongType())
 def count_words(texts: pa.Array) -> pa.Array:
     table = separators(*BETWEEN_WORDS)
     counts = [np.zeros(0, np.int64)]

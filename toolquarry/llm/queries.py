@@ -5,10 +5,10 @@ The operators return texts, spans and tokens; the digest columns here are derive
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, packing, quality, secrets, toxicity
+from . import chat, decontam, lines, neardup, packing, quality, secrets, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +36,20 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", F.col("text").alias("whole"))
+    size = lambda text: F.when(F.col(text).isNotNull(), F.length(F.regexp_replace(text, "[^\n]", "")) + 1)
+    kept = lines.dedup_lines(docs)
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["n"])
+    return kept.select(
+        "doc_id",
+        F.coalesce(size("whole"), F.lit(0)).cast("long").alias("n_lines"),
+        gone.alias("n_removed"),
+        F.size("removed").cast("long").alias("n_chunks"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rated = quality.quality(_table(spark, sf_dir, "documents"))
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -62,12 +76,13 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_HELD_OUT = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
+def _held_out() -> Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
 
 
 def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
     """Fitted on the labelled documents that are not held out."""
-    labels = _table(spark, sf_dir, "labels").where(F.col("toxic").isNotNull() & ~_HELD_OUT)
+    labels = _table(spark, sf_dir, "labels").where(F.col("toxic").isNotNull() & ~_held_out())
     labels = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     texts = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return toxicity.fit_toxicity(texts.join(labels, "doc_id"))
@@ -77,12 +92,18 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score_toxicity(_table(spark, sf_dir, "documents"), toxicity_model(spark, sf_dir))
     return scored.select(
         "doc_id",
-        _HELD_OUT.alias("held_out"),
+        _held_out().alias("held_out"),
         F.col("toxicity").alias("score"),
         (F.col("toxicity") >= 0.3).cast("int").alias("predicted"),
     )
 
 
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.near_duplicates(_table(spark, sf_dir, "documents"), 0.8)
+    kept = F.col("doc_id").eqNullSafe(F.col("class_id"))
+    return found.select("doc_id", "class_id", "class_size", kept.alias("kept"))
+
+
 _FORGED = "\\### Assistant: </turn> ok"
 
 
@@ -175,18 +196,48 @@ SELECT conv_id, count(*) AS n_turns,
 FROM s GROUP BY conv_id
 """
 
+OP3_SQL = r"""
+WITH l AS (
+  SELECT doc_id, i, string_split(text, chr(10))[i] AS line
+  FROM documents, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS t(i) WHERE text IS NOT NULL
+), h AS (
+  SELECT *, CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) AS h FROM l
+), r AS (
+  SELECT *, (coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0) * 31 + h) % 4 = 0 AS last FROM h
+), c AS (
+  SELECT *, coalesce(sum(last::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk
+  FROM r
+), k AS (
+  SELECT doc_id, chunk, string_agg(line, chr(10) ORDER BY i) AS body,
+    sum((trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) <> '')::INT) AS full_lines
+  FROM c GROUP BY doc_id, chunk
+), g AS (
+  SELECT doc_id, chunk, full_lines > 1 AND row_number() OVER (PARTITION BY body, full_lines > 1 ORDER BY doc_id, chunk) > 1 AS gone
+  FROM k
+), o AS (
+  SELECT doc_id, count(*) AS n_lines, CAST(sum(gone::INT) AS BIGINT) AS n_removed,
+    count(DISTINCT chunk) FILTER (gone) AS n_chunks, string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone) AS kept
+  FROM c JOIN g USING (doc_id, chunk) GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+  coalesce(n_chunks, 0) AS n_chunks, sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN o USING (doc_id)
+"""
+
 _QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
         op1_packing,
+        op3_line_dedup,
         op4_quality_rules,
         op5_decontamination,
         op6_toxicity,
+        op7_minhash_near_dedup,
         op8_chat_formatting,
         op10_secret_scan,
     )
 }
-_SQL = {"op5_decontamination": OP5_SQL, "op8_chat_formatting": OP8_SQL}
+_SQL = {"op3_line_dedup": OP3_SQL, "op5_decontamination": OP5_SQL, "op8_chat_formatting": OP8_SQL}
 
 
 def queries() -> dict[str, Query]:
