@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, lines, neardup, packing, quality, secrets, toxicity
+from . import chat, decontam, lines, neardup, packing, quality, secrets, substrings, suffixes, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +36,14 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    left = F.col("deduplicated")
+    return substrings.remove_passages(docs, 50).select(
+        "doc_id", left["n_words"].alias("n_words"), left["n_removed"].alias("n_removed"), F.sha2(left["text"], 256).alias("kept_sha256")
+    )
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", F.col("text").alias("whole"))
     size = lambda text: F.when(F.col(text).isNotNull(), F.length(F.regexp_replace(text, "[^\n]", "")) + 1)
@@ -129,6 +137,16 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    left = F.col("deduplicated")
+    return suffixes.remove_bytes(docs, 200).select(
+        "doc_id",
+        *(left[n].alias(n) for n in ("n_bytes", "n_removed", "n_spans")),
+        F.sha2(left["kept"], 256).alias("kept_sha256"),
+    )
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_secrets(_table(spark, sf_dir, "documents"))
     spans = F.col("secret_spans")
@@ -224,20 +242,45 @@ SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_re
 FROM documents d LEFT JOIN o USING (doc_id)
 """
 
+OP2_SQL = r"""
+WITH w AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), g AS (
+  SELECT doc_id, i, md5(array_to_string(w[i : i + 49], ' ')) AS g FROM w, unnest(range(1, len(w) - 48)) AS t(i)
+), hit AS (
+  SELECT doc_id, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY g) AS low FROM g) WHERE low < doc_id
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM hit
+), parts AS (
+  SELECT doc_id, p, w[p] AS word FROM w, unnest(range(1, len(w) + 1)) AS t(p)
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS kept FROM parts ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+), n AS (SELECT doc_id, count(*) AS n_removed FROM gone GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
 _QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
         op1_packing,
+        op2_substring_dedup,
         op3_line_dedup,
         op4_quality_rules,
         op5_decontamination,
         op6_toxicity,
         op7_minhash_near_dedup,
         op8_chat_formatting,
+        op9_suffix_array_dedup,
         op10_secret_scan,
     )
 }
-_SQL = {"op3_line_dedup": OP3_SQL, "op5_decontamination": OP5_SQL, "op8_chat_formatting": OP8_SQL}
+_SQL = {
+    "op2_substring_dedup": OP2_SQL,
+    "op3_line_dedup": OP3_SQL,
+    "op5_decontamination": OP5_SQL,
+    "op8_chat_formatting": OP8_SQL,
+}
 
 
 def queries() -> dict[str, Query]:
