@@ -84,23 +84,21 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _held_out() -> Column:
+def held_out() -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
 
 
 def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
     """Fitted on the labelled documents that are not held out."""
-    labels = _table(spark, sf_dir, "labels").where(F.col("toxic").isNotNull() & ~_held_out())
-    labels = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    texts = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return toxicity.fit_toxicity(texts.join(labels, "doc_id"))
+    labels = _table(spark, sf_dir, "labels").where(~held_out())
+    return toxicity.fit_toxicity(_table(spark, sf_dir, "documents"), labels)
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score_toxicity(_table(spark, sf_dir, "documents"), toxicity_model(spark, sf_dir))
     return scored.select(
         "doc_id",
-        _held_out().alias("held_out"),
+        held_out().alias("held_out"),
         F.col("toxicity").alias("score"),
         (F.col("toxicity") >= 0.3).cast("int").alias("predicted"),
     )

@@ -5,8 +5,8 @@ mentions an identity group there is a counterfactual with the terms swapped with
 group; the square of the change of the score between both is penalised, so a neutral mention
 moves no score. Weights are sparse (L1) and the model is a short table.
 
-The fit takes at most ``max_labelled`` labelled rows, those of the smallest hash of their id;
-scores cover every whole text.
+The fit takes at most ``max_labelled`` labelled ids, those of the smallest hash; scores cover
+every whole text.
 """
 
 from collections.abc import Iterator
@@ -203,26 +203,25 @@ def fit_rows(
 
 
 def fit_toxicity(
-    labelled: DataFrame,
+    docs: DataFrame,
+    labels: DataFrame,
     max_labelled: int = 8_000,
     swap_penalty: float = 1.0,
     l1: float = 0.0005,
     folder: str | None = None,
 ) -> Model:
-    """Fit on ``doc_id, text, toxic`` rows, at most ``max_labelled`` of them.
+    """Fit on the texts of ``docs`` (``doc_id, text``) that ``labels`` (``doc_id, toxic``) names.
 
-    The fit is one task over the features of these rows. Rows without a label are left out,
-    null texts count as empty. Without rows of both labels the model is its constant term.
+    At most ``max_labelled`` ids are used, those of the smallest hash; that bounds what is
+    broadcast to find their texts, and the one task that fits. Labels that are null are left
+    out, and an id with several is toxic if one of them says so. Null texts count as empty.
+    Without rows of both labels the model is its constant term.
     """
-    spark = labelled.sparkSession
+    spark = docs.sparkSession
     folder = folder or work_folder(spark)
-    sample = (
-        labelled.where(F.col("toxic").isNotNull())
-        .orderBy(F.xxhash64("doc_id"), F.xxhash64("text"))
-        .limit(max_labelled)
-        .select("toxic", "text")
-        .repartition(32)
-    )
+    chosen = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id")
+    chosen = chosen.agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("toxic", "text").repartition(32)
     rows = stored(
         sample.mapInArrow(_labelled_features, "toxic int, features array<long>, swapped array<long>"),
         folder,
