@@ -155,9 +155,9 @@ def dedup_lines(docs: DataFrame, folder: str | None = None) -> DataFrame:
     """
     found = repeated_chunks(docs, folder)
     columns = [c for c in docs.columns if c != "removed"]
-    keyed = docs.select(*columns, F.xxhash64("text").alias("text_hash"))
     runs = F.coalesce(F.col("r.removed"), F.array().cast("array<struct<first:bigint,n:bigint>>"))
-    joined = keyed.alias("d").join(found.alias("r"), _same_row("d", "r"), "left")
+    same = (F.xxhash64("d.text") == F.col("r.text_hash")) & F.col("d.doc_id").eqNullSafe(F.col("r.doc_id"))
+    joined = docs.alias("d").join(found.alias("r"), same, "left")
     joined = joined.select(*(F.col(f"d.{c}") for c in columns), runs.alias("removed"))
     text = F.when(F.size("removed") > 0, _without("text", F.col("removed.first"), F.col("removed.n"))).otherwise(F.col("text"))
     return joined.withColumn("text", text)

@@ -8,7 +8,9 @@ exact weighted Jaccard similarity of both whole texts decides on each.
 
 Texts of equal words are one node from the start, so copies cost nothing further on. In a
 bucket, members are compared with a leader, those it does not match with the next one, and so
-on: a bucket of matching texts gives one pair per member. Classes are connected components.
+on: a bucket of matching texts gives one pair per member. The leader is the member that shares
+most buckets with others, as an original does with its edited copies. Classes are connected
+components.
 """
 
 import hashlib
@@ -27,7 +29,8 @@ SPACE = ((0x20, 0x20), (0x09, 0x0D))
 SHINGLE = 5
 BANDS, ROWS = 8, 2
 IDF_SLOTS = 1 << 20
-ROUNDS = 4
+ROUNDS = 5
+TASK_PAIRS = 1_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -66,7 +69,8 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def idf_table(frequencies: np.ndarray, texts: int) -> np.ndarray:
-    return (1 + np.log((1 + texts) / (1 + frequencies))).astype(np.float32)
+    """From 1 for a word of every text to 2 for a word of one, so that no word decides alone."""
+    return (1 + np.log((2 + texts) / (1 + frequencies)) / np.log(2 + texts)).astype(np.float32)
 
 
 def weighted_shingles(data, starts, ends, rows, idf):
@@ -147,26 +151,66 @@ def _sketches(idf: np.ndarray):
     return sketch
 
 
-def similarity(texts: list[bytes], idf: np.ndarray) -> float:
-    """Weighted Jaccard similarity of two whole texts."""
-    data = _LOWER[np.frombuffer(b"\n".join(texts), np.uint8)]
-    offsets = np.array([0, len(texts[0]) + 1, len(data)])
-    starts, ends, rows = _words(data, offsets)
-    row, shingle, weight = weighted_shingles(data, starts, ends, rows, idf)
-    a, b = row == 0, row == 1
-    _, i, j = np.intersect1d(shingle[a], shingle[b], assume_unique=True, return_indices=True)
-    shared = np.minimum(weight[a][i], weight[b][j]).sum()
-    total = weight.sum() - shared
+def shingle_weights(text: bytes, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingles of a whole text, sorted, and their weights."""
+    data = _LOWER[np.frombuffer(text, np.uint8)]
+    starts, ends, rows = _words(data, np.array([0, len(data)]))
+    return weighted_shingles(data, starts, ends, rows, idf)[1:]
+
+
+def similarity(one: tuple, two: tuple) -> float:
+    """Weighted Jaccard similarity of two results of ``shingle_weights``."""
+    _, i, j = np.intersect1d(one[0], two[0], assume_unique=True, return_indices=True)
+    shared = np.minimum(one[1][i], two[1][j]).sum()
+    total = one[1].sum() + two[1].sum() - shared
     return float(shared / total) if total else 0.0
 
 
-def _similarities(idf: np.ndarray):
-    @F.arrow_udf("double")
-    def compare(left: pa.Array, right: pa.Array) -> pa.Array:
-        pairs = zip(left, right, strict=True)
-        return pa.array([similarity([a.as_py().encode(), b.as_py().encode()], idf) for a, b in pairs], pa.float64())
+def _compare(idf: np.ndarray):
+    """Rows sorted by ``leader, task, is_member`` to ``node, leader, similarity``."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        leader = None
+        for batch in batches:
+            nodes, leaders, close = [], [], []
+            for r in range(batch.num_rows):
+                own = shingle_weights(batch.column(4)[r].as_py().encode(), idf)
+                if not batch.column(2)[r].as_py():
+                    leader = own
+                    continue
+                nodes.append(batch.column(3)[r])
+                leaders.append(batch.column(0)[r])
+                close.append(similarity(own, leader))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([n.as_py() for n in nodes], pa.binary()),
+                    pa.array([n.as_py() for n in leaders], pa.binary()),
+                    pa.array(close, pa.float64()),
+                ],
+                ["node", "leader", "similarity"],
+            )
+
+    return compare
+
 
-    return compare.asNondeterministic()
+def _similarities(pairs: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
+    """``node, leader, similarity`` of pairs; a leader's text is sent once per task.
+
+    A leader of many members is compared in several tasks.
+    """
+    load = pairs.groupBy("leader").agg(F.ceil(F.count("*") / TASK_PAIRS).alias("tasks"))
+    members = pairs.join(load, "leader").select(
+        "leader", F.pmod(F.xxhash64("node"), F.col("tasks")).alias("task"), F.lit(True).alias("is_member"), "node"
+    )
+    leaders = load.select(
+        "leader",
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("tasks") - 1)).alias("task"),
+        F.lit(False).alias("is_member"),
+        F.col("leader").alias("node"),
+    )
+    rows = members.unionByName(leaders).join(texts, "node").select("leader", "task", "is_member", "node", "text")
+    rows = rows.repartition("leader", "task").sortWithinPartitions("leader", "task", "is_member")
+    return rows.mapInArrow(_compare(idf), "node binary, leader binary, similarity double")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, folder: str | None = None) -> DataFrame:
@@ -182,8 +226,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, folder: str | None
     no rows; other columns are ignored.
 
     A pair of similarity ``s`` meets in a bucket with probability ``1 - (1 - s**2)**8``,
-    99.97% at 0.8. Members of a bucket that its leaders, one per round, do not match are
-    compared with the next, for ``ROUNDS`` leaders.
+    99.97% at 0.8. Members of a bucket that no leader matched yet are compared with the next,
+    for ``ROUNDS`` leaders; one that is linked already leads before one that is not.
     """
     return _classes(docs, threshold, folder).drop("root")
 
@@ -209,35 +253,37 @@ def _classes(docs: DataFrame, threshold: float, folder: str | None) -> DataFrame
     )
     nodes = stored(nodes, folder, "nodes")
     members = nodes.select("node", F.posexplode("bands").alias("band", "bucket")).select("bucket", "node")
-    shared = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    members = stored(members.join(shared, "bucket"), folder, "members_0")
+    shared = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    members = stored(members.join(shared, "bucket"), folder, "shared")
+    score = members.groupBy("node").agg(F.sum("size").alias("score"))
+    members = stored(members.drop("size").join(score, "node"), folder, "members_0")
     # The text of every node in a shared bucket, once.
     wanted = members.select("node").distinct().join(nodes, "node").select("node", "own.*").withColumnRenamed("text_hash", "own_hash")
     same = (F.col("w.own_hash") == F.col("d.text_hash")) & F.col("w.doc_id").eqNullSafe(F.col("d.doc_id"))
     node_texts = rows.where("text IS NOT NULL").alias("d").join(wanted.alias("w"), same).select("node", "text")
     node_texts = stored(node_texts.dropDuplicates(["node"]), folder, "texts")
 
+    members = members.withColumn("linked", F.lit(False))
     links, tested = None, None
     for step in range(ROUNDS):
-        leaders = members.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1")
-        led = members.join(leaders.select("bucket", "leader"), "bucket").where("node <> leader")
-        pairs = led.select("node", "leader").distinct()
+        # Who is linked already leads first: the original behind an edited copy, for one.
+        leaders = members.groupBy("bucket").agg(
+            F.max(F.struct("linked", "score", "node"))["node"].alias("leader"), F.min("linked").alias("done")
+        )
+        led = members.join(leaders.where("NOT done"), "bucket").where("node <> leader")
+        pairs = led.where("NOT linked").select("node", "leader").distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["node", "leader"], "left_anti")
-        compared = stored(
-            pairs.join(node_texts, "node")
-            .join(node_texts.select(F.col("node").alias("leader"), F.col("text").alias("leader_text")), "leader")
-            .select("node", "leader", _similarities(idf)("text", "leader_text").alias("similarity")),
-            folder,
-            f"compared_{step}",
-        )
+        compared = stored(_similarities(pairs, node_texts, idf), folder, f"compared_{step}")
         tested = compared.select("node", "leader") if tested is None else tested.union(compared.select("node", "leader"))
         close = compared.where(F.col("similarity") >= threshold).select("node", "leader")
         links = close if links is None else links.union(close)
-        members = stored(
-            led.join(links, ["node", "leader"], "left_anti").select("bucket", "node"), folder, f"members_{step + 1}"
-        )
-        if members.isEmpty():
+        if step == ROUNDS - 1:
+            break
+        found = links.withColumn("found", F.lit(True))
+        led = led.join(found, ["node", "leader"], "left").withColumn("linked", F.col("linked") | F.col("found").isNotNull())
+        members = stored(led.select(*members.columns), folder, f"members_{step + 1}")
+        if members.where("NOT linked").isEmpty():
             break
     classes = components(links.select(F.col("node").alias("a"), F.col("leader").alias("b")), folder)
     rooted = nodes.join(classes, "node", "left").select(

@@ -368,6 +368,6 @@ def remove_bytes(docs: DataFrame, size: int = 200, folder: str | None = None) ->
     found = repeated_bytes(docs, size, folder)
     remove = F.arrow_udf(_remove, "struct<n_bytes:bigint,n_removed:bigint,n_spans:bigint,kept:binary>")
     columns = [c for c in docs.columns if c != "deduplicated"]
-    keyed = docs.select(*columns, F.xxhash64("text").alias("text_hash"))
-    joined = keyed.alias("d").join(found.alias("f"), _same_row("d", "f"), "left")
+    same = (F.xxhash64("d.text") == F.col("f.text_hash")) & F.col("d.doc_id").eqNullSafe(F.col("f.doc_id"))
+    joined = docs.alias("d").join(found.alias("f"), same, "left")
     return joined.select(*(F.col(f"d.{c}") for c in columns), remove("d.text", "f.spans").alias("deduplicated"))
