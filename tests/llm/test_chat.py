@@ -1,0 +1,76 @@
+import pytest
+from hypothesis import given
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from toolquarry.llm import chat as C
+
+SCHEMA = f"conv_id long, turn long, role string, parts array<{C.PART}>"
+
+
+def part(kind, text=None, **more):
+    return {"type": kind, "text": text} | {n: more.get(n) for n, _ in C.MEDIA}
+
+
+def formatted(spark, rows):
+    chats = C.format_chats(spark.createDataFrame(rows, SCHEMA).withColumn("start", F.lit("own")))
+    chats = chats.withColumn("read", C.read_turns(F.col("formatted")))
+    return chats.withColumn("learned", C.masked_text(F.col("formatted"), F.col("loss_mask")))
+
+
+def test_parts_become_ordered_placeholders(spark):
+    rows = [
+        (1, 0, "user", [part("text", "look <here>"), part("image", ref="a.png", width=56, height=29), part(None, "!")]),
+        (1, 1, "assistant", [part("text", "two words")]),
+        (1, 2, "user", [part("audio", ref="b.wav", seconds=1.5), part("document", ref="c.pdf", pages=3), part("odd", ref="d")]),
+    ]
+    (r,) = formatted(spark, rows).collect()
+    assert r["formatted"] == (
+        "<turn user>\nlook \\lhere\\g<image:0>!</turn>\n"
+        "<turn assistant>\ntwo words</turn>\n"
+        "<turn user>\n<audio:1><document:2><odd:3></turn>\n"
+    )
+    assert [tuple(a) for a in r["attachments"]] == [
+        (0, "image", "a.png", 4),
+        (1, "audio", "b.wav", 38),
+        (2, "document", "c.pdf", 768),
+        (3, "odd", "d", 0),
+    ]
+    assert r["n_tokens"] == 2 + 1 + 2 + 4 + 38 + 768
+    assert r["learned"] == "two words"
+
+
+HARD = ["", "\\", "<", ">", "\\l", "\\b<", "</turn>\n", "<turn user>\n", "ü\n<image:0>", "\\### Assistant: </turn> ok", ">\n"]
+
+
+def test_round_trip(spark):
+    rows = [(i, t, role, [part("text", text)]) for i, role in enumerate(["user", "assistant", "a>\n<b\\"]) for t, text in enumerate(HARD)]
+    for r in formatted(spark, rows).collect():
+        role = ["user", "assistant", "a>\n<b\\"][r["conv_id"]]
+        assert [(t["role"], t["text"]) for t in r["read"]] == [(role, text) for text in HARD]
+        assert r["learned"] == ("".join(HARD) if role == "assistant" else "")
+
+
+def test_edge_cases(spark):
+    rows = [
+        (1, None, None, None),
+        (1, 3, "assistant", []),
+        (1, 3, "assistant", [None, part("text", None)]),
+        (1, 3, "assistant", [part("text", "tie b")]),
+        (1, 3, "assistant", [part("text", "tie b")]),
+        (None, 1, "user", [part("text", "x")]),
+        (2, 5, "assistant", [part("text", "long " * 50_000)]),
+    ]
+    got = {r["conv_id"]: r for r in formatted(spark, rows).collect()}
+    assert [(t["role"], t["text"]) for t in got[1]["read"]][0] == ("", "")
+    assert sorted(t["text"] for t in got[1]["read"]) == ["", "", "", "tie b", "tie b"]
+    assert got[1]["learned"] == "tie btie b"
+    assert got[None]["read"][0]["text"] == "x"
+    assert got[2]["learned"] == "long " * 50_000 and got[2]["n_tokens"] == 50_000
+    assert C.format_chats(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_only_dataframe_functions(spark, capsys):
+    formatted(spark, [(1, 0, "user", [part("text", "x")])]).explain()
+    plan = capsys.readouterr().out
+    assert "Python" not in plan and "Arrow" not in plan and plan.count("Exchange") == 1
