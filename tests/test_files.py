@@ -80,15 +80,13 @@ def test_project_languages(spark):
     }
 
 
-def test_detection_keeps_the_same_files_with_and_without_broadcast(spark, monkeypatch):
+def test_detection_keeps_files_of_detected_languages(spark):
     df = paths(spark, *PROJECTS)
     expected = [
         ("all", "A.java"), ("all", "x.js"), ("all", "x.py"), ("java", "A.java"), ("package", "x.jsx"),
         ("py", "x.py"), ("tsx and ts", "node_modules/x.ts"), ("tsx and ts", "x.tsx"),
     ]
     assert kept(S.keep_detected(S.route_files(df), df)) == expected
-    monkeypatch.setattr(S, "BROADCAST_PROJECTS", 0)
-    assert kept(S.keep_detected(S.route_files(df), df)) == expected
 
 
 def test_language_list(spark):

@@ -59,22 +59,41 @@ SELECTIONS = [
 ]
 
 
-@pytest.mark.parametrize("broadcast", [True, False])
-def test_tool_selection(spark, catalog, monkeypatch, broadcast):
-    if not broadcast:
-        monkeypatch.setattr(R, "BROADCAST_LISTS", -1)
-        monkeypatch.setattr(R, "SALTS", 3)
+def test_tool_selection(spark, catalog):
     samples = spark.createDataFrame([(i, names, []) for i, names, _ in SELECTIONS], SAMPLES)
     selected = R.select_tools(samples, catalog)
     assert selected.columns == ["id", "tool_names", "messages", "tools"]
     assert {r["id"]: r["tools"] for r in selected.collect()} == {i: t for i, _, t in SELECTIONS}
 
 
-def test_a_catalog_no_row_can_hold_is_refused(spark, catalog, monkeypatch):
-    monkeypatch.setattr(R, "ALL_TOOLS_BYTES", 10)
+def test_the_whole_catalog_is_one_list_and_only_where_it_is_asked_for(spark, catalog):
+    named = spark.createDataFrame([("x", ["a"], []), ("y", ["a", "a"], []), ("z", ["no"], [])], SAMPLES)
+    assert [tuple(r) for r in R.tool_lists(named, catalog).collect()] == [('["a"]', [A])]
+    unnamed = named.unionByName(spark.createDataFrame([("n", None, []), ("m", [], [])], SAMPLES))
+    lists = {r["tools_key"]: r["tools"] for r in R.tool_lists(unnamed, catalog).collect()}
+    assert lists == {'["a"]': [A], R.ALL_TOOLS: [Z1, A, Z2]}
+
+
+def test_a_large_catalog_costs_nothing_to_samples_that_name_their_tools(spark):
+    text = F.repeat(F.lit("long "), 20_000)
+    large = spark.range(3_000).select(  # 300 MB of descriptions
+        F.concat(F.lit("t"), "id").alias("name"), F.lit("function").alias("type"), text.alias("description"), F.lit(OBJECT).alias("parameters")
+    )
+    samples = spark.createDataFrame([("x", ["t7"], [])], SAMPLES)
+    (row,) = R.select_tools(samples, large).collect()
+    assert len(row["tools"]) == 1 and '"name":"t7"' in row["tools"][0]
+
+
+def test_no_job_runs_while_a_plan_is_built(spark, catalog):
     samples = spark.createDataFrame([("x", None, [])], SAMPLES)
-    with pytest.raises(ValueError, match="more than one sample can carry"):
-        R.select_tools(samples, catalog)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plans", "")
+    try:
+        R.format_samples(samples, catalog)
+        R.render_chat(R.add_instruction(R.assemble_turns(turns(spark), 3)))
+        assert list(tracker.getJobIdsForGroup("plans")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_rendering(spark, catalog):
@@ -107,29 +126,39 @@ def turns(spark):
     return spark.createDataFrame(TURNS, "conv_id BIGINT, turn BIGINT, role STRING, text STRING").repartition(5)
 
 
-@pytest.mark.parametrize("size, broadcast", [(100, 10), (10, 10), (10, 0), (1, 1)])
-def test_assembly_keeps_every_turn_in_order(spark, monkeypatch, size, broadcast):
-    monkeypatch.setattr(R, "BROADCAST_LONG", broadcast)
-    parts = R.assemble_turns(R.add_instruction_turns(turns(spark)), size).orderBy("conv_id", "part").collect()
+@pytest.mark.parametrize("span", [1, 4, 7, 1000])
+def test_assembly_keeps_every_turn_in_order(spark, span):
+    parts = R.assemble_turns(turns(spark), span).orderBy("conv_id", "part").collect()
     got = {}
     for r in parts:
-        assert len(r["messages"]) <= size or size == 10 and r["conv_id"] != 4
+        assert r["first"] == (r["conv_id"] not in got)
         got.setdefault(r["conv_id"], []).extend((x["role"], x["content"]) for x in r["messages"])
-    start = ("developer", R.INSTRUCTION)
-    assert got == {
-        1: [start, ("user", "a"), ("assistant", "b"), ("user", "c")],
-        2: [("system", "s"), ("user", "u")],
-        3: [start, ("user", "x"), ("developer", "y")],
-        4: [start, *[("user", str(i)) for i in range(40)]],
-    }
-    assert {r["part"] for r in parts if r["conv_id"] == 2} == ({0} if size > 1 else {0, 1})
-
-
-def test_instruction_goes_to_the_first_part_only(spark):
-    parts = R.add_instruction(R.assemble_turns(turns(spark), 10))
-    first = {(r["conv_id"], r["part"]): r["messages"][0]["role"] for r in parts.collect()}
-    assert first[4, 0] == "developer"
-    assert {first[4, p] for p in (1, 2, 3)} == {"user"}
+        assert len(r["messages"]) <= span
+    want = {}
+    for conv, _, role, text in sorted(TURNS):
+        want.setdefault(conv, []).append((role, text))
+    assert got == want
+    assert {(r["conv_id"], r["part"]) for r in parts} == {(c, t // span) for c, t, *_ in TURNS}
+
+
+def test_instruction_and_tools_stand_once(spark, catalog):
+    parts = R.assemble_turns(turns(spark), 10).withColumn("tool_names", F.array(F.lit("a")))
+    texts = {}
+    for r in R.format_samples(parts, catalog).orderBy("conv_id", "part").collect():
+        texts.setdefault(r["conv_id"], []).append(r["text"])
+    head = f"<tools>{A}</tools>\n"
+    for conv, own in texts.items():
+        assert own[0].startswith(head)
+        assert "".join(own).count("<tools>") == 1
+        assert "".join(own).count(R.INSTRUCTION) == (0 if conv == 2 else 1)
+    assert len(texts[4]) == 4 and len(texts[1]) == 2
+
+
+def test_turns_with_null_and_equal_numbers_are_kept(spark):
+    rows = [(None, None, "user", "n"), (None, None, "user", None), (9, 1, "b", "x"), (9, 1, "a", "y"), (9, 1, "a", "y")]
+    df = spark.createDataFrame(rows, "conv_id BIGINT, turn BIGINT, role STRING, text STRING")
+    got = {r["conv_id"]: [(m["role"], m["content"]) for m in r["messages"]] for r in R.assemble_turns(df, 5).collect()}
+    assert got == {None: [("user", None), ("user", "n")], 9: [("a", "y"), ("a", "y"), ("b", "x")]}
 
 
 def test_budget(spark):

@@ -1,18 +1,15 @@
-"""SQL text of common expressions, size checks, checkpoints.
+"""SQL text of common expressions, and stored steps.
 
 The expression helpers take and give SQL text. Nested lambdas built from Column objects cost
 thousands of calls into the JVM per plan; a text is one.
 """
 
 from .json_text import json_items, last_values, parameters_json, quoted
-from .lineage import checkpointed
-from .sizing import count_up_to
+from .lineage import stored
 from .text import blank_to_null, let, literal, lookup, token_count, trimmed, unix_newlines
 
 __all__ = [
     "blank_to_null",
-    "checkpointed",
-    "count_up_to",
     "json_items",
     "last_values",
     "let",
@@ -20,6 +17,7 @@ __all__ = [
     "lookup",
     "parameters_json",
     "quoted",
+    "stored",
     "token_count",
     "trimmed",
     "unix_newlines",

@@ -1,19 +1,15 @@
 """Keeping the result of a step."""
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the checkpoint folder of the session and go on from there.
+def stored(df: DataFrame, work_path: str, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet below ``work_path`` and go on from those files.
 
-    A cluster names a shared folder in ``spark.checkpoint.dir``; only a local session
-    gets one of its own.
+    ``work_path`` is a folder that all machines share. Every call writes a new folder in it.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="toolquarry-"))
-    return df.checkpoint()
+    path = f"{work_path.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -23,8 +23,8 @@ ORDER = ("project", "lang_rank", "ext_rank", "path", "pattern_rank", "ordinal")
 def scan_files(files: DataFrame, languages: Iterable[str] = LANGUAGES) -> DataFrame:
     """One row per file worth a look: its keys, ``tools``, and ``reason, detail`` if skipped.
 
-    ``files`` holds ``project, path, content``, or is already routed. Content is null
-    where it has not been read for its size.
+    ``files`` holds ``project, path, content``, or is already routed. A null content is
+    reported like one that is not UTF-8.
     """
     wanted = [lang for lang in LANGUAGES if lang in set(languages)]
     routed = files if "lang_rank" in files.columns else route_files(files)
@@ -34,8 +34,7 @@ def scan_files(files: DataFrame, languages: Iterable[str] = LANGUAGES) -> DataFr
     raw = "CAST(content AS STRING)"
     worth = [f"lang = '{lang}' AND {_HELPERS[lang].may_hold_tools(raw)}" for lang in wanted]
     kept = routed.filter(" OR ".join(["content IS NULL", f"NOT is_valid_utf8({raw})", *worth]))
-    unread = F.expr("if(content IS NULL, 'too_large', 'bad_utf8')").alias("unread")
-    texts = decode_text(kept).select(*_KEYS, "text", unread)
+    texts = decode_text(kept).select(*_KEYS, "text")
 
     def parse(lang: str) -> Column:
         needed = f"lang = '{lang}'"
@@ -43,7 +42,7 @@ def scan_files(files: DataFrame, languages: Iterable[str] = LANGUAGES) -> DataFr
             needed += f" AND {java_tools.may_hold_annotations('text')}"
         return _HELPERS[lang].parse(F.expr(f"if({needed}, text, NULL)")).alias(f"_{lang}")
 
-    parsed = texts.select(*_KEYS, "text", "unread", *map(parse, wanted))
+    parsed = texts.select(*_KEYS, "text", *map(parse, wanted))
     tools = [
         f"WHEN '{lang}' THEN "
         + (java_tools.tools("_java.found", "text") if lang == "java" else _HELPERS[lang].tools(f"_{lang}.found"))
@@ -56,7 +55,7 @@ def scan_files(files: DataFrame, languages: Iterable[str] = LANGUAGES) -> DataFr
     return parsed.select(
         *_KEYS,
         F.expr(f"CASE lang {' '.join(tools)} END").alias("tools"),
-        F.expr(f"if(text IS NULL, unread, {reason})").alias("reason"),
+        F.expr(f"if(text IS NULL, 'bad_utf8', {reason})").alias("reason"),
         F.expr(detail).alias("detail"),
     )
 

@@ -5,7 +5,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import count_up_to, lookup, unix_newlines
+from ..functions import lookup, unix_newlines
 
 # Folder names skipped unless the caller gives a list of their own.
 DEFAULT_EXCLUDES = (
@@ -32,10 +32,6 @@ FILE_TYPES = {
     "java": ("java",),
 }
 
-# More projects than this are joined by shuffle; one row is a folder name.
-BROADCAST_PROJECTS = 200_000
-
-
 def _ext(path: Column) -> Column:
     return F.regexp_extract(path, r"\.([A-Za-z]+)\z", 1)
 
@@ -105,21 +101,12 @@ def keep_detected(routed: DataFrame, all_paths: DataFrame) -> DataFrame:
     """Keep files whose language is among the detected ones of their project.
 
     A ``.py``, ``.ts``, ``.js`` or ``.java`` file proves its own language, so only
-    the other types have to look at their project. Their project list is broadcast
-    when it is short; beyond that only those files are shuffled.
+    the few files of other types are joined with the projects that have it.
     """
     sure = F.col("ext").isin("py", "ts", "js", "java")
     node_projects = all_paths.filter(_marks_node(F.col("path"))).select("project").distinct()
-    if count_up_to(node_projects, BROADCAST_PROJECTS) <= BROADCAST_PROJECTS:
-        marked = node_projects.withColumn("_node", F.lit(True))
-        return (
-            routed.join(F.broadcast(marked), "project", "left")
-            .filter(sure | F.col("_node"))
-            .drop("_node")
-            .select(*routed.columns)
-        )
     unsure = routed.filter(~sure).join(node_projects, "project", "left_semi")
-    return routed.filter(sure).unionByName(unsure)
+    return routed.filter(sure).unionByName(unsure.select(*routed.columns))
 
 
 def decode_text(files: DataFrame) -> DataFrame:

@@ -98,14 +98,37 @@ def generate_samples(catalog: DataFrame) -> DataFrame:
     )
 
 
+def message_json(message: str) -> str:
+    """JSON text of one message (SQL text); null fields are left out.
+
+    Call arguments are JSON text already and go in as the object they are; a text that is
+    no JSON is quoted.
+    """
+    arguments = f"if(try_parse_json(c.function.arguments) IS NULL, {quoted('c.function.arguments')}, c.function.arguments)"
+    call = f"""concat('{{"function":{{', concat_ws(',',
+        concat('"name":', {quoted('c.function.name')}), concat('"arguments":', {arguments})), '}}}}')"""
+    fields = [f"""concat('"{f}":', {quoted(f'{message}.{f}')})""" for f in ("role", "name", "content")]
+    calls = f"""concat('"tool_calls":[', array_join(transform({message}.tool_calls, c -> {call}), ','), ']')"""
+    return f"concat('{{', concat_ws(',', {', '.join(fields)}, {calls}), '}}')"
+
+
+def sample_json(samples: DataFrame) -> Column:
+    """A sample as one JSON line, call arguments as objects; null fields are left out."""
+    messages = f"""concat('"messages":[', array_join(transform(messages, m -> {message_json('m')}), ','), ']')"""
+    fields = [f"""concat('"id":', {quoted('id')})""", """concat('"tool_names":', to_json(tool_names))""", messages]
+    return F.expr(f"concat('{{', concat_ws(',', {', '.join(fields)}), '}}')")
+
+
 def new_samples(samples: DataFrame, known_ids: DataFrame) -> DataFrame:
     """Samples whose id is not known yet. Samples without an id always stay.
 
-    Known ids are made distinct before the join, and samples without an id, which
-    would all hash to one task, do not take part in it. Samples are not compared
-    with each other.
+    Known ids are made distinct before the join. Samples without an id, which match
+    nothing, are spread over the tasks by what they hold. Samples are not compared with
+    each other, and are read once.
     """
     has_id = F.coalesce(F.col("id"), F.lit("")) != ""
-    ids = known_ids.select("id").filter(has_id).distinct()
-    fresh = samples.filter(has_id).join(ids, "id", "left_anti").select(*samples.columns)
-    return fresh.unionByName(samples.filter(~has_id))
+    plain = [c for c, kind in samples.dtypes if "map<" not in kind and "variant" not in kind]
+    spread = F.concat(F.lit("-"), F.pmod(F.xxhash64(*plain), F.lit(10_007)).cast("string"))
+    key = F.when(has_id, F.concat(F.lit("+"), "id")).otherwise(spread)
+    ids = known_ids.select("id").filter(has_id).distinct().select(F.concat(F.lit("+"), "id").alias("_key"))
+    return samples.withColumn("_key", key).join(ids, "_key", "left_anti").select(*samples.columns)

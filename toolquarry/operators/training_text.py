@@ -5,7 +5,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import count_up_to, literal, quoted, token_count
+from ..functions import literal, quoted, token_count
 from ..schemas import MESSAGE, TOOL_CALL
 
 # Fixed value: the message put in front of a conversation that brings none.
@@ -13,17 +13,6 @@ INSTRUCTION_ROLE = "developer"
 INSTRUCTION = "You are a model that can do function calling with the following functions"
 _OPENING_ROLES = ("system", "developer")
 
-# Turns per assembled row. A conversation is one row unless it is longer than this.
-TURNS_PER_PART = 50_000
-# Longer lists of long conversations are joined by shuffle; one row is two numbers.
-BROADCAST_LONG = 500_000
-# Larger tables of resolved tool lists are joined by shuffle.
-BROADCAST_LISTS = 64 * 1024 * 1024
-# Spread of the samples that name no tools in that shuffle.
-SALTS = 10_007
-# One row cannot hold more than this much catalog.
-ALL_TOOLS_BYTES = 256 * 1024 * 1024
-
 
 class ChatTemplate(NamedTuple):
     """Markers around the parts of a rendered conversation.
@@ -47,59 +36,20 @@ class ChatTemplate(NamedTuple):
 # ---- assembling conversations from one row per turn ---------------------------------
 
 
-def add_instruction_turns(turns: DataFrame) -> DataFrame:
-    """Add an instruction turn in front of conversations that open without one.
-
-    ``turns`` holds ``conv_id, turn, role, text``. Where a conversation starts and
-    where it has an opening message are two minimums: they read no text, hash, and
-    combine map-side.
-    """
-    opens = F.coalesce(F.col("role").isin(*_OPENING_ROLES), F.lit(False))
-    first = turns.groupBy("conv_id").agg(
-        F.min("turn").alias("turn"), F.min(F.when(opens, F.col("turn"))).alias("opening")
-    )
-    missing = first.filter(F.col("opening").isNull() | (F.col("opening") > F.col("turn")))
-    instructions = missing.select(
-        "conv_id",
-        (F.col("turn") - 1).alias("turn"),
-        F.lit(INSTRUCTION_ROLE).alias("role"),
-        F.lit(INSTRUCTION).alias("text"),
-    )
-    return turns.select("conv_id", "turn", "role", "text").unionByName(instructions)
-
-
-def _overlong(turns: DataFrame, turns_per_part: int) -> DataFrame | None:
-    """``conv_id, _first`` of conversations with more rows than that, None if there are none.
-
-    Counting is a job over two columns. The result comes with a broadcast hint if it
-    has been found short enough.
-    """
-    counts = turns.groupBy("conv_id").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("turn").alias("_first")
-    )
-    overlong = counts.filter(F.col("_n") > turns_per_part).select("conv_id", "_first")
-    found = count_up_to(overlong, BROADCAST_LONG)
-    if not found:
-        return None
-    return F.broadcast(overlong) if found <= BROADCAST_LONG else overlong
-
-
-def assemble_turns(turns: DataFrame, turns_per_part: int = TURNS_PER_PART) -> DataFrame:
-    """Conversations as nested rows: ``conv_id, part, messages`` in turn order.
+def assemble_turns(turns: DataFrame, span: int) -> DataFrame:
+    """Conversations as nested rows: ``conv_id, part, first, messages`` in turn order.
 
-    ``part`` is 0, or a running number for a conversation with more rows than
-    ``turns_per_part``: it is cut by turn number, which is unique within it, so no
-    task has to hold it whole. Read the parts in order to get it back.
+    ``turns`` holds ``conv_id, turn, role, text``. ``part`` is ``floor(turn / span)``, so no
+    task has to hold more than ``span`` turn numbers of a conversation; choose a span that
+    one row can hold. Read the parts in order to get a conversation back. ``first`` marks its
+    part with the lowest turn, found by a minimum that reads no text. Turns should be
+    numbered densely: gaps give more parts and lose nothing. A null turn counts as 0, and
+    turns of equal numbers are ordered by role and text.
     """
-    overlong = _overlong(turns, turns_per_part)
-    part = F.lit(0).cast("bigint")
-    keys = ["conv_id"]
-    if overlong is not None:
-        cut = F.floor((F.col("turn") - F.col("_first")) / turns_per_part).cast("bigint")
-        turns = turns.join(overlong, "conv_id", "left").withColumn("part", F.coalesce(cut, part))
-        keys, part = ["conv_id", "part"], F.col("part")
+    part = F.floor(F.coalesce("turn", F.lit(0)) / span).cast("bigint")
+    rows = turns.select("conv_id", part.alias("part"), "turn", "role", "text")
     # Lists do not shrink map-side: shuffle the rows, then collect.
-    collected = turns.repartition(*keys).groupBy(*keys).agg(
+    collected = rows.repartition("conv_id", "part").groupBy("conv_id", "part").agg(
         F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("_turns")
     )
     message = lambda t: F.struct(
@@ -109,7 +59,11 @@ def assemble_turns(turns: DataFrame, turns_per_part: int = TURNS_PER_PART) -> Da
         F.lit(None).cast(f"array<{TOOL_CALL}>").alias("tool_calls"),
     )
     messages = F.transform("_turns", message).cast(f"array<{MESSAGE}>")
-    return collected.select("conv_id", part.alias("part"), messages.alias("messages"))
+    lowest = rows.groupBy(F.col("conv_id").alias("_conv")).agg(F.min("part").alias("_lowest"))
+    same = F.col("conv_id").eqNullSafe(F.col("_conv"))
+    return collected.join(lowest, same).select(
+        "conv_id", "part", (F.col("part") == F.col("_lowest")).alias("first"), messages.alias("messages")
+    )
 
 
 # ---- samples ------------------------------------------------------------------------
@@ -118,7 +72,7 @@ def assemble_turns(turns: DataFrame, turns_per_part: int = TURNS_PER_PART) -> Da
 def add_instruction(samples: DataFrame) -> DataFrame:
     """Put the instruction message in front unless a sample opens with one.
 
-    Of a conversation in parts only part 0 gets it.
+    Of a conversation in parts only the first one gets it.
     """
     none = F.array().cast(f"array<{MESSAGE}>")
     messages = F.coalesce("messages", none)
@@ -131,8 +85,8 @@ def add_instruction(samples: DataFrame) -> DataFrame:
     )
     with_it = F.concat(F.array(instruction).cast(f"array<{MESSAGE}>"), messages)
     has_one = F.coalesce(opening.isin(*_OPENING_ROLES), F.lit(False))
-    if "part" in samples.columns:
-        has_one = has_one | (F.col("part") > 0)
+    if "first" in samples.columns:
+        has_one = has_one | ~F.col("first")
     return samples.withColumn("messages", F.when(has_one, messages).otherwise(with_it))
 
 
@@ -166,59 +120,50 @@ def catalog_entries(catalog: DataFrame) -> DataFrame:
     return catalog.select(ord_.alias("ord"), "name", entry_json(catalog).alias("entry"))
 
 
-def _all_tools(entries: DataFrame) -> DataFrame:
-    """One row with all entries in order; refuses what no row can hold."""
-    size = entries.agg(F.coalesce(F.sum(F.octet_length("entry")), F.lit(0)).alias("n")).head()["n"]
-    if size > ALL_TOOLS_BYTES:
-        raise ValueError(
-            f"the catalog has {size} bytes, more than one sample can carry; "
-            "give every sample its tool_names"
-        )
-    tools = F.array_sort(F.collect_list(F.struct("ord", "name", "entry")))
-    return entries.agg(F.transform(tools, lambda t: t["entry"]).alias("tools"))
+#: Key of the list of all tools, for samples that name none.
+ALL_TOOLS = "*"
 
 
-def select_tools(samples: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Add ``tools``: the catalog entries (JSON text) each sample may call.
+def tools_key() -> Column:
+    """Names which tools a sample may call: its distinct names, or all of them."""
+    names = F.array_sort(F.array_distinct(F.coalesce("tool_names", F.array().cast("array<string>"))))
+    return F.when(F.size(names) > 0, F.to_json(names)).otherwise(F.lit(ALL_TOOLS))
 
-    Named tools keep catalog order, unknown names are dropped, and a sample that
-    names none gets the whole catalog. Both tables are read more than once: store a
-    catalog that is costly to derive.
 
-    Samples share few different lists of names, so the lists are made distinct
-    first (one column, map-side), resolved once, and joined back in one pass over the
-    samples. The resolved lists are measured: up to ``BROADCAST_LISTS`` bytes they are
-    broadcast and the samples are not shuffled; beyond that both sides are, a hot list
-    is divided by the adaptive skew split, and samples without names, which match
-    nothing, are spread by a salt. The whole catalog is one row of a scalar subquery.
+def tool_lists(samples: DataFrame, catalog: DataFrame) -> DataFrame:
+    """``tools_key, tools``: the catalog entries (JSON text) behind each key of ``samples``.
+
+    Samples share few different lists of names, so the lists are made distinct first (one
+    column, map-side) and resolved once. The whole catalog is one of them, and only where a
+    sample asks for it. Entries keep catalog order and unknown names are dropped; a key that
+    names no known tool has no row.
     """
     entries = catalog_entries(catalog)
-    nothing = F.array().cast("array<string>")
-    names = F.coalesce(F.col("tool_names"), nothing)
-    keyed = samples.withColumn("_list", F.array_sort(F.array_distinct(names)))
-    is_named = F.size("_list") > 0
-
-    resolved = (
-        keyed.filter(is_named)
-        .select("_list")
-        .distinct()
-        .select("_list", F.explode("_list").alias("name"))
-        .join(entries, "name")
-        .groupBy("_list")
-        .agg(F.array_sort(F.collect_list(F.struct("ord", "name", "entry"))).alias("_found"))
-        .select("_list", F.transform("_found", lambda t: t["entry"]).alias("_some"))
+    asked = samples.select(tools_key().alias("tools_key")).distinct()
+    named = asked.where(F.col("tools_key") != ALL_TOOLS)
+    named = named.select("tools_key", F.explode(F.from_json("tools_key", "array<string>")).alias("name"))
+    every = asked.where(F.col("tools_key") == ALL_TOOLS)
+    # one row of a key that is asked for beside all entries: a condition, not a product
+    entries = entries.withColumn("_all", F.lit(ALL_TOOLS))
+    found = named.join(entries, "name").select("tools_key", "ord", "name", "entry")
+    found = found.unionByName(
+        entries.join(every, F.col("_all") == F.col("tools_key")).select("tools_key", "ord", "name", "entry")
     )
-    size = F.sum(F.octet_length(F.to_json(F.struct("_list", "_some"))))
-    if (resolved.agg(size.alias("n")).head()["n"] or 0) <= BROADCAST_LISTS:
-        joined = keyed.join(F.broadcast(resolved), "_list", "left")
-    else:
-        salt = F.when(is_named, F.lit(0)).otherwise(F.pmod(F.xxhash64(*samples.columns), F.lit(SALTS)))
-        salted = resolved.withColumn("_salt", F.lit(0).cast("bigint"))
-        joined = keyed.withColumn("_salt", salt.cast("bigint")).join(salted, ["_list", "_salt"], "left")
-
-    some = F.coalesce("_some", nothing)
-    every = _all_tools(entries).scalar()
-    tools = F.when(is_named, some).otherwise(every)
+    tools = F.array_sort(F.collect_list(F.struct("ord", "name", "entry")))
+    return found.groupBy("tools_key").agg(F.transform(tools, lambda t: t["entry"]).alias("tools"))
+
+
+def select_tools(samples: DataFrame, catalog: DataFrame, lists: DataFrame | None = None) -> DataFrame:
+    """Add ``tools``: the catalog entries (JSON text) each sample may call.
+
+    A sample that names none gets the whole catalog, as a row of its own text; use
+    ``tools_key`` and ``tool_lists`` to keep both apart at scale. ``lists`` is a stored
+    ``tool_lists``, which saves deriving it from the samples once more. Nothing is measured
+    beforehand: adaptive execution chooses the join and divides a list that many share.
+    """
+    lists = tool_lists(samples, catalog) if lists is None else lists
+    joined = samples.withColumn("tools_key", tools_key()).join(lists, "tools_key", "left")
+    tools = F.coalesce("tools", F.array().cast("array<string>"))
     return joined.select(*samples.columns, tools.alias("tools"))
 
 
@@ -236,7 +181,10 @@ def render_message(message: str, template: ChatTemplate) -> str:
 
 
 def render_chat(samples: DataFrame, template: ChatTemplate = ChatTemplate()) -> DataFrame:
-    """Add ``text``: the tools, if the sample has any, then all messages."""
+    """Add ``text``: the tools, if the sample has any, then all messages.
+
+    Of a conversation in parts only the first one shows the tools.
+    """
     turns = F.expr(f"array_join(transform(messages, m -> {render_message('m', template)}), '')")
     if "tools" not in samples.columns:
         return samples.withColumn("text", turns)
@@ -245,17 +193,23 @@ def render_chat(samples: DataFrame, template: ChatTemplate = ChatTemplate()) ->
         F.array_join("tools", template.tools_separator),
         F.lit(template.tools_end),
     )
-    head = F.when(F.size("tools") > 0, listed).otherwise(F.lit(""))
+    shown = F.size("tools") > 0
+    if "first" in samples.columns:
+        shown = shown & F.col("first")
+    head = F.when(shown, listed).otherwise(F.lit(""))
     return samples.withColumn("text", F.concat(head, turns))
 
 
 def format_samples(
-    samples: DataFrame, catalog: DataFrame, template: ChatTemplate = ChatTemplate()
+    samples: DataFrame,
+    catalog: DataFrame,
+    template: ChatTemplate = ChatTemplate(),
+    lists: DataFrame | None = None,
 ) -> DataFrame:
     """Training text of each sample: instruction, tool selection, rendering."""
     return (
         samples.transform(add_instruction)
-        .transform(select_tools, catalog)
+        .transform(select_tools, catalog, lists)
         .transform(render_chat, template)
     )
 

@@ -1,5 +1,5 @@
 """The three runs, end to end."""
 
-from .runs import catalog_from_tree, discover_tools, samples_from_catalog, training_text
+from .runs import CatalogRun, catalog_from_tree, discover_tools, samples_from_catalog, training_text
 
-__all__ = ["catalog_from_tree", "discover_tools", "samples_from_catalog", "training_text"]
+__all__ = ["CatalogRun", "catalog_from_tree", "discover_tools", "samples_from_catalog", "training_text"]

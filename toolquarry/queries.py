@@ -17,6 +17,7 @@ from .operators import samples as G
 from .operators import training_text as R
 from .operators.java_tools import json_type
 from .schemas import CATALOG, EMPTY_PARAMETERS
+from .sinks import catalog_lines
 from .sources import parse_catalog
 from .sources.sample_files import line_ids
 
@@ -77,23 +78,13 @@ def _params(*fields: tuple[str, str], required: tuple[str, ...] | None = None) -
     )
 
 
-def _stored(files: DataFrame) -> DataFrame:
-    """Derived files as a scan of stored ones would deliver them.
-
-    The test tables are single splits: spread those over the cores. Larger tables come
-    in splits of their own and are left as they are.
-    """
-    cores = files.sparkSession.sparkContext.defaultParallelism
-    return files.repartition(cores, "path") if files.rdd.getNumPartitions() < cores else files
-
-
 def _part_files(spark: SparkSession, sf_dir: str, ext: str, content: Column) -> DataFrame:
     files = _table(spark, sf_dir, "part").select(
         F.col("p_brand").alias("project"),
         _text("src/f", F.col("p_partkey"), f".{ext}").alias("path"),
         content.cast("binary").alias("content"),
     )
-    return _stored(files)
+    return files
 
 
 _FOUND = ("path", "name", "description", "parameters")
@@ -489,7 +480,7 @@ def document_sources(spark, sf_dir):
         _text("d", key, _pick("doc_id", ".py", ".ts", ".java")).alias("path"),
         content.cast("binary").alias("content"),
     )
-    return X.extract_tools(_stored(files)).select("lang", "name", "description", "parameters")
+    return X.extract_tools(files).select("lang", "name", "description", "parameters")
 
 
 # ---- catalog ------------------------------------------------------------------------
@@ -511,15 +502,19 @@ _MERGED_SQL = (
 )
 
 
-def _order_tools(spark, sf_dir):
-    """Existing entries and incoming definitions from orders."""
+def _tool_rows(spark, sf_dir):
     key = F.col("o_orderkey")
-    rows = _table(spark, sf_dir, "orders").select(
+    return _table(spark, sf_dir, "orders").select(
         key.alias("id"),
         F.when(key % 3 == 0, F.lit("common")).otherwise(_text("c", F.col("o_custkey"))).alias("name"),
         F.when(F.col("o_orderstatus") == "F", F.lit("")).otherwise(_text(F.col("o_orderpriority"), key)).alias("description"),
         F.when(key % 4 == 1, F.lit("{}")).when(key % 4 > 1, F.lit(_SHAPE)).alias("parameters"),
     )
+
+
+def _order_tools(spark, sf_dir):
+    """Existing entries and incoming definitions from orders."""
+    rows = _tool_rows(spark, sf_dir)
     existing = rows.filter(F.col("id") % 5 < 2).select(
         F.col("id").alias("ord"),
         F.lit("function").alias("type"),
@@ -553,10 +548,10 @@ def merge_catalog(spark, sf_dir):
 
 @_query(
     f"SELECT 'function' AS type, {_TOOL_SQL} AS name, {_DESCRIPTION_SQL} AS description, "
-    f"coalesce(nullif({_PARAMETERS_SQL}, '{{}}'), '{EMPTY_PARAMETERS}') AS parameters FROM orders WHERE o_orderkey % 5 >= 2"
+    f"coalesce(nullif({_PARAMETERS_SQL}, '{{}}'), '{EMPTY_PARAMETERS}') AS parameters FROM orders"
 )
 def catalog_entries(spark, sf_dir):
-    return C.to_entries(_order_tools(spark, sf_dir)[1])
+    return C.to_entries(_tool_rows(spark, sf_dir))
 
 
 @_query(
@@ -589,14 +584,16 @@ def tool_params(spark, sf_dir):
 
 @_query(
     "SELECT doc, CAST(x.i AS INTEGER) AS ord, 'function' AS type, 'n' || x.k AS name, x.d AS description, "
-    "'{\"type\":\"object\",\"properties\":{\"z\":{},\"b\":{}}}' AS parameters, '{\"tier\":' || x.k || '}' AS extra, "
+    "'{\"type\":\"object\",\"properties\":{\"z\":{},\"b\":{}}}' AS parameters, "
+    "'{\"tier\":' || x.k || ',\"meta\":{\"z\":1.0,\"a\":[2,\"é\"]},\"note\":\"q\\\"' || x.k || '\",\"none\":null}' AS extra, "
     "'{\"strict\":true}' AS function_extra FROM (SELECT p_partkey // 10 AS doc, unnest(list_transform(list_sort(list({'k': p_partkey, 'd': p_name})), "
     "lambda e, i: {'i': i - 1, 'k': e.k, 'd': e.d})) AS x FROM part GROUP BY p_partkey // 10)"
 )
 def catalog_documents(spark, sf_dir):
     """Catalog files of ten entries, read back entry by entry."""
     entry = _text(
-        '{"type": "function", "tier": ', F.col("p_partkey"), ', "function": {"name": "n', F.col("p_partkey"),
+        '{"type": "function", "tier": ', F.col("p_partkey"), ', "meta": {"z": 1.0, "a": [2, "é"]}, "note": "q\\"', F.col("p_partkey"),
+        '", "none": null, "function": {"name": "n', F.col("p_partkey"),
         '", "description": "', F.col("p_name"),
         '", "parameters": {"type": "object", "properties": {"z": {}, "b": {}}}, "strict": true}}',
     )
@@ -614,14 +611,29 @@ def catalog_documents(spark, sf_dir):
     return parse_catalog(documents, "doc")
 
 
-@_query(
+_ENTRY_SQL = (
     "SELECT name, '{\"type\":\"function\",\"function\":{\"name\":\"' || name || '\",\"description\":\"' || description || "
     f"'\"' || coalesce(',\"parameters\":' || parameters, '') || '}}}}' AS entry FROM ({_MERGED_SQL})"
 )
+
+
+@_query(_ENTRY_SQL)
 def catalog_json(spark, sf_dir):
     return R.catalog_entries(_merged(spark, sf_dir)).select("name", "entry")
 
 
+@_query(
+    "SELECT left(name, 2) AS doc, '[' || chr(10) || string_agg('  ' || entry, ',' || chr(10) ORDER BY name) || chr(10) || ']' AS text "
+    f"FROM ({_ENTRY_SQL}) GROUP BY left(name, 2)"
+)
+def catalog_texts(spark, sf_dir):
+    """Whole catalog files, one for every beginning of a name."""
+    merged = _merged(spark, sf_dir).withColumn("doc", F.left("name", F.lit(2)))
+    lines = F.array_sort(F.collect_list(F.struct("position", "line")))
+    whole = catalog_lines(merged, "doc").groupBy("doc").agg(lines.alias("lines"))
+    return whole.select("doc", F.array_join(F.transform("lines", lambda x: x["line"]), "\n").alias("text"))
+
+
 # ---- samples ------------------------------------------------------------------------
 
 _EVENT_TYPES = ("string", "integer", "number", "boolean", "array", "object", "weird")
@@ -651,24 +663,37 @@ def dummy_arguments(spark, sf_dir):
     return tools.select("id", F.expr(G.dummy_arguments("p")).alias("arguments"))
 
 
-@_query(
+_GENERATED_SQL = (
     "SELECT 'auto-' || name || '-1' AS id, name AS tool_names, "
     "rtrim('Use the tool `' || name || '` to help with: ' || description) AS asked, "
-    "'{\"role\":\"assistant\",\"content\":\"\",\"tool_calls\":[{\"function\":{\"name\":\"' || name || '\",\"arguments\":\"' || "
-    "CASE WHEN parameters LIKE '%\"x\"%' THEN '{\\\"x\\\":\\\"example\\\"}' ELSE '{}' END || '\"}}]}' AS call, "
-    "'{\"role\":\"tool\",\"content\":\"{\\\"ok\\\": true}\",\"name\":\"' || name || '\"}' AS result, "
+    "'{\"role\":\"assistant\",\"content\":\"\",\"tool_calls\":[{\"function\":{\"name\":\"' || name || '\",\"arguments\":' || "
+    "CASE WHEN parameters LIKE '%\"x\"%' THEN '{\"x\":\"example\"}' ELSE '{}' END || '}}]}' AS call, "
+    "'{\"role\":\"tool\",\"name\":\"' || name || '\",\"content\":\"{\\\"ok\\\": true}\"}' AS result, "
     f"'{{\"role\":\"assistant\",\"content\":\"Done.\"}}' AS final FROM ({_MERGED_SQL})"
 )
+
+
+@_query(_GENERATED_SQL)
 def generated_samples(spark, sf_dir):
-    messages = [F.get("messages", F.lit(i)) for i in range(4)]
+    messages = [F.expr(G.message_json(f"messages[{i}]")) for i in range(4)]
     return G.generate_samples(_merged(spark, sf_dir)).select(
         "id",
         F.array_join("tool_names", ",").alias("tool_names"),
-        messages[0]["content"].alias("asked"),
-        *[F.to_json(m).alias(n) for m, n in zip(messages[1:], ("call", "result", "final"), strict=True)],
+        F.col("messages")[0]["content"].alias("asked"),
+        *[m.alias(n) for m, n in zip(messages[1:], ("call", "result", "final"), strict=True)],
     )
 
 
+@_query(
+    "SELECT '{\"id\":\"' || id || '\",\"tool_names\":[\"' || tool_names || '\"],\"messages\":[{\"role\":\"user\",\"content\":\"' || "
+    f"asked || '\"}},' || call || ',' || result || ',' || final || ']}}' AS line FROM ({_GENERATED_SQL})"
+)
+def sample_lines(spark, sf_dir):
+    """Generated samples as they are stored, call arguments as objects."""
+    samples = G.generate_samples(_merged(spark, sf_dir))
+    return samples.select(G.sample_json(samples).alias("line"))
+
+
 @_query(
     "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN NULL ELSE 'auto-' || user_id || '-1' END AS id FROM events "
     "WHERE event_id % 3 = 0 OR user_id NOT IN (SELECT p_partkey FROM part WHERE p_size % 2 = 0)"
@@ -688,7 +713,7 @@ def sample_line_ids(spark, sf_dir):
     key = F.col("event_id")
     line = _pick(
         "event_id",
-        _text('  {"tool_names": [], "id": "e', key, '", "messages": [{"role": "user"}]} '),
+        _text('\t {"tool_names": [], "id": "e', key, '", "messages": [{"role": "user"}]} '),
         _text('{"id": ', key, "}"),
         _text('{"id": "e', key, '"}{"id": "x"}'),
         _text('{"id": "e', key, '",}'),
@@ -703,28 +728,34 @@ def sample_line_ids(spark, sf_dir):
 
 # ---- training text ------------------------------------------------------------------
 
+# The conversations here have a few turns each, so that a small span gives several parts.
+_SPAN = 3
 _INSTRUCTION_TURN = f"'<turn:{R.INSTRUCTION_ROLE}>{R.INSTRUCTION}</turn>' || chr(10)"
+_PARTS_SQL = (
+    f"(SELECT *, CAST(floor(turn / {_SPAN}) AS BIGINT) AS part, "
+    f"floor(turn / {_SPAN}) = min(floor(turn / {_SPAN})) OVER (PARTITION BY conv_id) AS first FROM conversations)"
+)
+_OPEN_SQL = "NOT first OR arg_min(role, turn) IN ('system', 'developer')"
 _CHAT_SQL = (
-    "SELECT conv_id AS id, CAST(0 AS BIGINT) AS part, "
-    f"CASE WHEN arg_min(role, turn) IN ('system', 'developer') THEN '' ELSE {_INSTRUCTION_TURN} END || "
+    f"SELECT conv_id AS id, part, first, CASE WHEN {_OPEN_SQL} THEN '' ELSE {_INSTRUCTION_TURN} END || "
     "string_agg('<turn:' || role || '>' || text || '</turn>' || chr(10), '' ORDER BY turn) AS text "
-    "FROM conversations GROUP BY conv_id"
+    f"FROM {_PARTS_SQL} GROUP BY conv_id, part, first"
 )
 
 
-@_query(_CHAT_SQL)
+@_query(f"SELECT id, part, text FROM ({_CHAT_SQL})")
 def chat_text(spark, sf_dir):
-    """Flat turns: instruction turn added, assembled, rendered."""
-    turns = R.add_instruction_turns(_table(spark, sf_dir, "conversations"))
-    return R.render_chat(R.assemble_turns(turns)).select(F.col("conv_id").alias("id"), "part", "text")
+    """Flat turns: assembled in parts, instruction added to the first, rendered."""
+    parts = R.assemble_turns(_table(spark, sf_dir, "conversations"), _SPAN)
+    return R.render_chat(R.add_instruction(parts)).select(F.col("conv_id").alias("id"), "part", "text")
 
 
 def _chats(spark, sf_dir):
     names = _pick(
         "conv_id", F.lit(None).cast("array<string>"), F.array(F.lit("MEDIUM"), F.lit("none"), F.lit("ECONOMY"))
     )
-    return R.assemble_turns(_table(spark, sf_dir, "conversations")).select(
-        F.col("conv_id").alias("id"), "part", names.alias("tool_names"), "messages"
+    return R.assemble_turns(_table(spark, sf_dir, "conversations"), _SPAN).select(
+        F.col("conv_id").alias("id"), "part", "first", names.alias("tool_names"), "messages"
     )
 
 
@@ -744,12 +775,12 @@ _TYPE_ENTRY_SQL = (
 
 
 @_query(
-    "SELECT conv_id AS id, CASE WHEN arg_min(role, turn) IN ('system', 'developer') THEN '' ELSE 'developer,' END || "
-    "string_agg(role, ',' ORDER BY turn) AS roles FROM conversations GROUP BY conv_id"
+    f"SELECT conv_id AS id, part, CASE WHEN {_OPEN_SQL} THEN '' ELSE 'developer,' END || "
+    f"string_agg(role, ',' ORDER BY turn) AS roles FROM {_PARTS_SQL} GROUP BY conv_id, part, first"
 )
 def instruction_messages(spark, sf_dir):
     roles = F.array_join(F.transform("messages", lambda m: m["role"]), ",")
-    return R.add_instruction(_chats(spark, sf_dir)).select("id", roles.alias("roles"))
+    return R.add_instruction(_chats(spark, sf_dir)).select("id", "part", roles.alias("roles"))
 
 
 @_query(
@@ -773,10 +804,10 @@ def tool_selection(spark, sf_dir):
 
 
 @_query(
-    f"WITH t AS ({_TYPE_ENTRY_SQL}), c AS ({_CHAT_SQL}) SELECT id, part, '<tools>' || CASE WHEN id % 2 = 0 "
+    f"WITH t AS ({_TYPE_ENTRY_SQL}), c AS ({_CHAT_SQL}) SELECT id, part, CASE WHEN first THEN '<tools>' || CASE WHEN id % 2 = 0 "
     "THEN (SELECT string_agg(entry, chr(10) ORDER BY name) FROM t) "
     "ELSE (SELECT string_agg(entry, chr(10) ORDER BY name) FROM t WHERE name IN ('MEDIUM', 'ECONOMY')) END || "
-    "'</tools>' || chr(10) || text AS text FROM c"
+    "'</tools>' || chr(10) ELSE '' END || text AS text FROM c"
 )
 def training_texts(spark, sf_dir):
     """Samples and catalog to training text."""

@@ -1,72 +1,122 @@
 """Writing catalogs and samples."""
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .functions import stored
 from .operators.catalog import sort_catalog
-from .operators.samples import new_samples
+from .operators.samples import new_samples, sample_json
 from .operators.training_text import entry_json
+from .sources.catalog_files import catalog_format, read_catalog
 from .sources.sample_files import known_ids
 
-# An export up to this size is one file.
-ONE_FILE_BYTES = 128 * 1024 * 1024
-
 
-def save_catalog(catalog: DataFrame, path: str) -> DataFrame:
-    """Replace the catalog stored at ``path`` (Parquet, in name order).
-
-    The catalog may be derived from the one stored there: it is written next to it
-    first and copied over when that has succeeded. Returns the stored catalog.
-    """
-    spark = catalog.sparkSession
-    staged = path.rstrip("/") + "_staged"
-    sort_catalog(catalog).write.mode("overwrite").parquet(staged)
-    spark.read.parquet(staged).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+def _hadoop(spark: SparkSession, path: str):
+    """The file system of a path, and the path."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
-def export_catalog(catalog: DataFrame, path: str) -> None:
-    """Write the catalog as JSON text into the folder ``path``.
+def _put(spark: SparkSession, new: str, path: str) -> None:
+    """Put what was written at ``new`` in the place of ``path``.
 
-    The part files, joined in name order, are one JSON array. A catalog up to
-    ``ONE_FILE_BYTES`` is a single file; a larger one is written by all tasks. It is
-    measured first, so export a stored catalog rather than one still to be merged.
+    What stood there is moved aside first and deleted last: whenever a run dies, a whole old
+    or new version is at ``path`` or beside it.
     """
-    lines = catalog.select("name", entry_json(catalog).alias("entry"))
-    facts = lines.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("name").alias("first"),
-        F.max("name").alias("last"),
-        F.coalesce(F.sum(F.octet_length("entry")), F.lit(0)).alias("size"),
-    ).head()
-    if not facts["n"]:
-        empty = catalog.sparkSession.createDataFrame([("[]",)], "value STRING")
-        empty.coalesce(1).write.mode("overwrite").text(path)
-        return
-    text = F.concat(
-        F.when(F.col("name") == facts["first"], F.lit("[\n")).otherwise(F.lit("")),
+    files, target = _hadoop(spark, path)
+    old = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.old-{uuid.uuid4().hex}")
+    existed = files.exists(target)
+    if existed:
+        files.rename(target, old)
+    elif target.getParent() is not None:
+        files.mkdirs(target.getParent())
+    if not files.rename(_hadoop(spark, new)[1], target):
+        raise OSError(f"{new} could not be moved to {path}")
+    if existed:
+        files.delete(old, True)
+
+
+def catalog_lines(catalog: DataFrame, *keys: str) -> DataFrame:
+    """``*keys, line``: the lines of one JSON array of entries, in name order.
+
+    ``keys`` tell several catalogs apart. Brackets and commas go by position, so null and
+    repeated names are entries like others.
+    """
+    order = Window.partitionBy(*keys).orderBy("name", "entry")
+    rows = catalog.select(*keys, "name", entry_json(catalog).alias("entry"))
+    line = F.concat(
+        F.when(F.row_number().over(order) == 1, F.lit("[\n")).otherwise(F.lit("")),
         F.lit("  "),
         F.col("entry"),
-        F.when(F.col("name") == facts["last"], F.lit("\n]")).otherwise(F.lit(",")),
+        F.when(F.lead("entry").over(order).isNull(), F.lit("\n]")).otherwise(F.lit(",")),
     )
-    ordered = lines.orderBy("name")
-    if facts["size"] <= ONE_FILE_BYTES:
-        ordered = lines.coalesce(1).sortWithinPartitions("name")
-    ordered.select(text.alias("value")).write.mode("overwrite").text(path)
+    return rows.select(*keys, F.row_number().over(order).alias("position"), line.alias("line"))
+
+
+def save_catalog(catalog: DataFrame, path: str, fmt: str | None = None) -> DataFrame:
+    """Replace the catalog stored at ``path`` and return the stored one, in name order.
+
+    ``fmt`` is ``json`` (one file with a JSON array, written by one task) or ``parquet`` (a
+    folder, for catalogs of any size); by default a path that ends in ``.json`` is JSON. A
+    file is never replaced by a folder, nor a folder by a file. The catalog may be derived
+    from the one stored there: it is written beside it and put in its place when whole.
+    """
+    spark = catalog.sparkSession
+    fmt = catalog_format(path, fmt)
+    files, target = _hadoop(spark, path)
+    if files.exists(target) and files.getFileStatus(target).isDirectory() != (fmt == "parquet"):
+        raise ValueError(f"{path} holds a catalog of the other format; name another path or format")
+    new = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
+    if fmt == "parquet":
+        sort_catalog(catalog).write.parquet(new)
+        _put(spark, new, path)
+    else:
+        lines = catalog_lines(catalog).orderBy("position").select("line")
+        if catalog.isEmpty():
+            lines = spark.createDataFrame([("[]",)], "line STRING")
+        lines.coalesce(1).write.text(new)
+        (part,) = [str(x.getPath()) for x in files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{new}/part-*"))]
+        _put(spark, part, path)
+        files.delete(_hadoop(spark, new)[1], True)
+    return read_catalog(spark, path, fmt=fmt)
 
 
 def save_samples(samples: DataFrame, path: str, fmt: str = "json") -> None:
     """Replace the sample file: JSON lines, or Parquet."""
-    samples.write.mode("overwrite").format(fmt).save(path)
+    _write(samples, path, fmt, "overwrite")
 
 
-def append_samples(samples: DataFrame, path: str, fmt: str = "json") -> None:
+def _write(samples: DataFrame, path: str, fmt: str, mode: str) -> None:
+    if fmt == "json":
+        samples.select(sample_json(samples).alias("value")).write.mode(mode).text(path)
+    else:
+        samples.write.mode(mode).format(fmt).save(path)
+
+
+def append_samples(
+    samples: DataFrame, path: str, fmt: str = "json", ids_path: str | None = None, work_path: str | None = None
+) -> None:
     """Append the samples whose id is not in the sample file yet.
 
-    For one writer at a time: two runs at once cannot see each other's ids.
+    For one writer at a time: two runs at once cannot see each other's ids. JSON lines have
+    to be read whole for their ids. With ``ids_path`` the ids are kept there as Parquet too,
+    made from the stored lines where it does not exist yet; new samples are then stored below
+    ``work_path`` first. Only this function may then add to the samples.
     """
-    fresh = new_samples(samples, known_ids(samples.sparkSession, path, fmt))
-    fresh.write.mode("append").format(fmt).save(path)
+    spark = samples.sparkSession
+    if ids_path is None:
+        _write(new_samples(samples, known_ids(spark, path, fmt)), path, fmt, "append")
+        return
+    if work_path is None:
+        raise ValueError("a table of ids needs a work_path")
+    if not _hadoop(spark, ids_path)[0].exists(_hadoop(spark, ids_path)[1]):
+        known_ids(spark, path, fmt).write.parquet(ids_path)
+    fresh = stored(new_samples(samples, known_ids(spark, ids_path, "parquet")), work_path, "fresh")
+    # Ids come last: a run that dies before is repeated by reading the lines once more.
+    _write(fresh, path, fmt, "append")
+    fresh.select("id").where("id IS NOT NULL").write.mode("append").parquet(ids_path)
 
 
-__all__ = ["append_samples", "export_catalog", "save_catalog", "save_samples"]
+__all__ = ["append_samples", "catalog_lines", "save_catalog", "save_samples"]

@@ -2,10 +2,9 @@
 
 from .catalog_files import parse_catalog, read_catalog
 from .sample_files import known_ids, read_samples, read_valid_samples
-from .source_tree import SourceTree, list_tree, read_contents, read_tree
+from .source_tree import list_tree, read_contents, read_tree
 
 __all__ = [
-    "SourceTree",
     "known_ids",
     "list_tree",
     "parse_catalog",

@@ -4,6 +4,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import trimmed
 from ..schemas import SAMPLES
 
 _STRICT = {"allowSingleQuotes": "false"}
@@ -28,7 +29,7 @@ def _only_object(line: Column, fields: str) -> Column:
 
 def parse_lines(lines: DataFrame, fields: str) -> DataFrame:
     """Fields of the objects among ``lines`` (``value``); all other lines are passed over."""
-    found = _only_object(F.trim("value"), fields)
+    found = _only_object(F.expr(trimmed("value")), fields)
     return lines.select(found.alias("o")).filter(F.col("o").isNotNull()).select("o.*")
 
 

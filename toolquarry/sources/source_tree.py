@@ -1,9 +1,10 @@
 """Source trees as tables.
 
 Spark's own file sources pass over every name that starts with ``_`` or ``.`` and
-so lose files such as ``__init__.py``. This source lists them all. Listing and
-reading are separate steps: the listing is small and can be filtered, joined and
-spread evenly before any file is opened.
+so lose files such as ``__init__.py``. Here tasks list folders, level by level: a table
+of folders in, files and folders out, spread anew before the next level. Listing and
+reading are separate steps: the listing is small and can be filtered, joined and spread
+evenly before any file is opened.
 """
 
 import os
@@ -12,14 +13,14 @@ from collections.abc import Iterable
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql import functions as F
 
+from ..functions import stored
 from ..schemas import SOURCE_PATHS
 
-# Folders listed by the driver at most, to find enough folders for the tasks.
-_DRIVER_LISTINGS = 1_000
 # File contents handed to Spark at once.
 _BATCH_BYTES = 32 * 1024 * 1024
+_LISTED = "path STRING, uri STRING, length BIGINT, is_folder BOOLEAN"
 
 
 def _open(uri):
@@ -28,97 +29,93 @@ def _open(uri):
     return fs.LocalFileSystem(), os.path.abspath(uri)
 
 
-class _Folders(InputPartition):
-    """Folders for one task as ``(path, deep)``; a shallow one gives its files only."""
+def _lister(root: str, excludes: frozenset, prune_from: int):
+    """Folders (``path`` below the root) to what lies right below them.
 
-    def __init__(self, folders):
-        super().__init__(None)
-        self.folders = folders
-
-
-class _TreeReader(DataSourceReader):
-    def __init__(self, options):
-        self.root = options["path"]
-        self.excludes = frozenset(filter(None, options.get("excludes", "").split(",")))
-        self.tasks = int(options.get("tasks", "64"))
+    Excluded names are passed over from ``prune_from`` folders below the root on; symbolic
+    links to folders are never followed.
+    """
 
-    def _list(self, filesystem, folder):
-        """Files and folders right below a folder, symbolic links to folders left out."""
+    def entries(filesystem, base, folder):
         local = isinstance(filesystem, fs.LocalFileSystem)
-        files, folders = [], []
-        for info in filesystem.get_file_info(fs.FileSelector(folder, allow_not_found=True)):
-            if info.base_name in self.excludes:
+        for info in filesystem.get_file_info(fs.FileSelector(f"{base}/{folder}" if folder else base)):
+            path = f"{folder}/{info.base_name}" if folder else info.base_name
+            if info.base_name in excludes and path.count("/") >= prune_from:
                 continue
             if info.type == fs.FileType.File:
-                files.append(info)
+                yield path, info.path, info.size, False
             elif info.type == fs.FileType.Directory and not (local and os.path.islink(info.path)):
-                folders.append(info.path)
-        return files, folders
-
-    def partitions(self):
-        """Open folders level by level until every task can get several of them."""
-        filesystem, root = _open(self.root)
-        opened, waiting = [], [root]
-        while waiting and len(waiting) < 4 * self.tasks and len(opened) < _DRIVER_LISTINGS:
-            folder = waiting.pop(0)
-            opened.append((folder, False))
-            waiting += self._list(filesystem, folder)[1]
-        work = opened + [(folder, True) for folder in waiting]
-        return [_Folders(work[i :: self.tasks]) for i in range(min(self.tasks, len(work)))]
-
-    def read(self, partition):
-        filesystem, root = _open(self.root)
-        for start, deep in partition.folders:
-            waiting = [start]
-            while waiting:
-                files, below = self._list(filesystem, waiting.pop())
-                waiting += below if deep else []
-                for info in files:
-                    inner = info.path[len(root) :].lstrip("/")
-                    project, _, path = inner.partition("/")
-                    if path:
-                        yield project, path, info.path, info.size
-
-
-class SourceTree(DataSource):
-    """``spark.read.format("source_tree").load(root)``: files of the projects below root.
-
-    Options: ``excludes``, names not to descend into, separated by commas;
-    ``tasks``, number of listing tasks.
-    """
+                yield path, info.path, None, True
 
-    @classmethod
-    def name(cls):
-        return "source_tree"
+    def listing(batches):
+        filesystem, base = _open(root)
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                rows = []
+                for row in entries(filesystem, base, folder):
+                    rows.append(row)
+                    if len(rows) == 10_000:
+                        yield _batch(rows)
+                        rows = []
+                if rows:
+                    yield _batch(rows)
 
-    def schema(self):
-        return SOURCE_PATHS
+    def _batch(rows):
+        kinds = (pa.string(), pa.string(), pa.int64(), pa.bool_())
+        columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(columns, ["path", "uri", "length", "is_folder"])
 
-    def reader(self, schema):
-        return _TreeReader(self.options)
+    return listing
 
 
 def list_tree(
-    spark: SparkSession, root: str, excludes: Iterable[str] = (), tasks: int | None = None
+    spark: SparkSession,
+    root: str,
+    work_path: str,
+    excludes: Iterable[str] = (),
+    project: str | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
-    """Files below ``root``, whose direct subfolders are the projects.
+    """Files below ``root``: ``project, path, uri, length``; ``path`` is relative to the project.
+
+    The direct subfolders of ``root`` are the projects, and files right in ``root`` belong to
+    a project with an empty name. With ``project`` all of ``root`` is the one project of that
+    name. ``excludes`` are folder and file names not to look into, below the projects.
 
-    Returns ``project, path, uri, length``; ``path`` is relative to the project.
+    A root that does not exist is an error. Every level is stored below ``work_path``, which
+    all machines share; ``tasks`` list a level.
     """
-    spark.dataSource.register(SourceTree)
+    filesystem, base = _open(root)
+    if filesystem.get_file_info(base).type != fs.FileType.Directory:
+        raise FileNotFoundError(f"{root} is not a folder")
     tasks = tasks or 2 * spark.sparkContext.defaultParallelism
-    reader = spark.read.format("source_tree").option("tasks", tasks)
-    return reader.option("excludes", ",".join(sorted(set(excludes)))).load(root)
-
-
-def read_contents(
-    paths: DataFrame, root: str, partitions: int | None = None, max_bytes: int | None = None
-) -> DataFrame:
-    """Add ``content`` to listed files, null for files of more than ``max_bytes``.
-
-    There is no limit unless one is given. The listing is spread by file first, so a project that holds a third of all
-    files is read by all tasks. The number of tasks is fixed: by the size of the
-    listing alone, adaptive execution would merge them into a few.
+    listing = _lister(root, frozenset(excludes), 1 if project is None else 0)
+    folders = spark.createDataFrame([("",)], "path STRING")
+    files = None
+    while True:
+        level = stored(folders.repartition(tasks, "path").mapInArrow(listing, _LISTED), work_path, "level")
+        found = level.where("NOT is_folder").drop("is_folder")
+        files = found if files is None else files.unionByName(found)
+        folders = level.where("is_folder").select("path")
+        if folders.isEmpty():
+            break
+    if project is not None:
+        return files.select(F.lit(project).alias("project"), "path", "uri", "length")
+    inner = F.instr("path", "/")
+    return files.select(
+        F.when(inner > 0, F.substring_index("path", "/", 1)).otherwise(F.lit("")).alias("project"),
+        F.expr("if(instr(path, '/') > 0, substr(path, instr(path, '/') + 1), path)").alias("path"),
+        "uri",
+        "length",
+    )
+
+
+def read_contents(paths: DataFrame, root: str, partitions: int | None = None) -> DataFrame:
+    """Add ``content`` to listed files.
+
+    The listing is spread by file first, so a project that holds a third of all files is read
+    by all tasks. The number of tasks is fixed: by the size of the listing alone, adaptive
+    execution would merge them into a few.
     """
     spark = paths.sparkSession
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -127,19 +124,14 @@ def read_contents(
         filesystem, _ = _open(root)
         for batch in batches:
             contents, held, begin = [], 0, 0
-            for i, (uri, length) in enumerate(zip(batch.column("uri"), batch.column("length"), strict=True)):
-                if max_bytes is not None and length.as_py() > max_bytes:
-                    contents.append(None)
-                else:
-                    with filesystem.open_input_stream(uri.as_py()) as stream:
-                        contents.append(stream.read())
-                    held += len(contents[-1])
+            for i, uri in enumerate(batch.column("uri")):
+                with filesystem.open_input_stream(uri.as_py()) as stream:
+                    contents.append(stream.read())
+                held += len(contents[-1])
                 if held >= _BATCH_BYTES or i + 1 == batch.num_rows:
                     part = batch.slice(begin, i + 1 - begin)
                     column = pa.array(contents, type=pa.binary())
-                    yield pa.RecordBatch.from_arrays(
-                        [*part.columns, column], [*part.schema.names, "content"]
-                    )
+                    yield pa.RecordBatch.from_arrays([*part.columns, column], [*part.schema.names, "content"])
                     contents, held, begin = [], 0, i + 1
 
     wanted = paths.select("project", "path", "uri", "length").repartition(partitions, "uri")
@@ -149,10 +141,11 @@ def read_contents(
 def read_tree(
     spark: SparkSession,
     root: str,
+    work_path: str,
     excludes: Iterable[str] = (),
+    project: str | None = None,
     partitions: int | None = None,
-    max_bytes: int | None = None,
 ) -> DataFrame:
     """``source_files`` table of a tree: ``project, path, content``."""
-    listed = list_tree(spark, root, excludes)
-    return read_contents(listed, root, partitions, max_bytes).select("project", "path", "content")
+    listed = list_tree(spark, root, work_path, excludes, project)
+    return read_contents(listed, root, partitions).select("project", "path", "content")
