@@ -121,6 +121,16 @@ def _runs(row: np.ndarray, feature: np.ndarray) -> tuple[np.ndarray, list[np.nda
     return row[np.concatenate(([0], cuts))], np.split(feature, cuts)
 
 
+def _places(table: np.ndarray, features: np.ndarray) -> np.ndarray:
+    """Place of each feature in a sorted table, -1 for others; in steps, to stay small."""
+    out = np.full(len(features), -1, np.int32)
+    for a in range(0, len(features) if len(table) else 0, 1 << 20):
+        part = features[a : a + (1 << 20)]
+        at = np.minimum(np.searchsorted(table, part), len(table) - 1)
+        out[a : a + len(part)] = np.where(table[at] == part, at, -1)
+    return out
+
+
 def fit_rows(
     toxic: np.ndarray,
     plain: list[np.ndarray],
@@ -137,16 +147,23 @@ def fit_rows(
     if n == 0 or toxic.min() == toxic.max():
         return none
     # Features that lean to one label beyond chance are screened in; the fit decides on them.
-    feature, column = np.unique(np.concatenate(plain), return_inverse=True)
-    sizes = np.array([len(p) for p in plain])
-    row = np.repeat(np.arange(n), sizes)
+    # Features of one text are dropped first: they are most, and tell nothing.
+    row = np.repeat(np.arange(n, dtype=np.int32), [len(p) for p in plain])
+    flat = np.concatenate(plain)
+    ordered = np.sort(flat)
+    again = ordered[1:] == ordered[:-1]
+    feature = ordered[1:][again & ~np.append(again[1:], False)]
+    del ordered, again
+    column = _places(feature, flat)
+    del flat
+    row, column = row[column >= 0], column[column >= 0]
     seen = np.bincount(column, minlength=len(feature))
     bad = np.bincount(column, weights=toxic[row], minlength=len(feature))
     lean = (bad - rate * seen) / np.sqrt(np.maximum(seen * rate * (1 - rate), 1e-12))
-    chosen = np.flatnonzero((seen >= 2) & (np.abs(lean) >= 2.0))
+    chosen = np.flatnonzero(np.abs(lean) >= 2.0)
     if not len(chosen):
         return none
-    dense = np.full(len(feature), -1)
+    dense = np.full(len(feature), -1, np.int32)
     dense[chosen] = np.arange(len(chosen))
     column = dense[column]
     row, column = row[column >= 0], column[column >= 0]
