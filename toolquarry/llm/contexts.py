@@ -23,16 +23,16 @@ Units = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
 def window_runs(values: np.ndarray, rows: np.ndarray, size: int, gram: int):
-    """``row, start, n, anchor, context`` of the contexts of concatenated rows of units.
+    """``row, start, n, lead, anchor, context`` of the contexts of concatenated rows of units.
 
-    ``start`` is the first unit of the first of ``n`` windows within its row; ``context``
-    hashes all units of these windows. Contexts have ``size - gram + 1`` windows at most.
+    ``start`` is the first unit of the first of ``n`` windows within its row, with ``lead`` units
+    before its anchor; ``context`` hashes all units of these windows. Contexts have ``size - gram + 1`` windows at most.
     """
     width = size - gram + 1
     at = within_rows(rows, size)
     if not len(at):
         none = np.zeros(0, np.int64)
-        return none, none, none, none.astype(np.uint64), none.astype(np.uint64)
+        return none, none, none, none, none.astype(np.uint64), none.astype(np.uint64)
     grams = gram_hashes(values, gram)
     # The place in the low bits makes the leftmost of equal grams the smallest.
     place = (sliding_min((grams & ~_PLACE) | np.arange(len(grams), dtype=np.uint64), width) & _PLACE)[at]
@@ -43,32 +43,33 @@ def window_runs(values: np.ndarray, rows: np.ndarray, size: int, gram: int):
     start = at[first]
     context = span_hashes(values, start, start + n - 1 + size)
     row = np.searchsorted(rows, start, "right") - 1
-    return row, start - rows[row], n, anchor[first], context
+    return row, start - rows[row], n, place[first].astype(np.int64) - start, anchor[first], context
 
 
 def contexts(docs: DataFrame, units: Units, size: int, gram: int) -> DataFrame:
-    """``doc_id, text_hash, start, n, anchor, context`` for every row of ``docs`` with a text."""
+    """``doc_id, text_hash, start, n, lead, anchor, context`` for every row of ``docs`` with a text."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, data, offsets in text_chunks(batch.column(2)):
-                row, start, n, anchor, context = window_runs(*units(data, offsets), size, gram)
+                row, start, n, lead, anchor, context = window_runs(*units(data, offsets), size, gram)
                 take = pa.array(row + first)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(take),
                         batch.column(1).take(take),
-                        pa.array(start, pa.int64()),
+                        pa.array(start.astype(np.int32)),
                         pa.array(n.astype(np.int32)),
+                        pa.array(lead.astype(np.int32)),
                         pa.array(anchor.view(np.int64)),
                         pa.array(context.view(np.int64)),
                     ],
-                    ["doc_id", "text_hash", "start", "n", "anchor", "context"],
+                    ["doc_id", "text_hash", "start", "n", "lead", "anchor", "context"],
                 )
 
     rows = docs.where(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(find, f"doc_id {kind}, text_hash long, start long, n int, anchor long, context long")
+    return rows.mapInArrow(find, f"doc_id {kind}, text_hash long, start int, n int, lead int, anchor long, context long")
 
 
 def window_hashes(values: np.ndarray, start: int, n: int, size: int) -> np.ndarray:

@@ -18,10 +18,10 @@ from pyspark.sql import functions as F
 
 from .contexts import contexts, window_hashes
 from .hashing import separators, word_hashes, words
-from .work import stored, text_chunks, work_folder
+from .work import of_the_rest, passing, stored, text_chunks, text_filter, work_folder
 
 SPACE = ((0x20, 0x20), (0x09, 0x0D))
-GRAM = 10
+GRAM = 20
 BLOCK = 20_000  # words of one document that go to one shard
 SHARD_WORDS = 40_000
 TASK_WORDS = 400_000
@@ -164,17 +164,12 @@ def _mixed_windows(rows: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     return joined.mapInArrow(hashes, "anchor long, context long, i int, window long")
 
 
-def _assigned(rows: DataFrame, texts: DataFrame, size: int, folder: str) -> DataFrame:
+def _assigned(shared: DataFrame, texts: DataFrame, size: int, folder: str) -> DataFrame:
     """Windows that may stand in a smaller id, and the first place they are to be held against.
 
-    ``doc_id, text_hash, start, n, ref_id, ref_hash, ref_start``; ``rows``: the contexts.
+    ``doc_id, text_hash, start, n, ref_id, ref_hash, ref_start``. ``shared``: contexts whose
+    anchor stands in several documents, with the least of those and whether it is ``mixed``.
     """
-    shared = rows.groupBy("anchor").agg(
-        F.min("doc_id").alias("low"),
-        F.max("doc_id").alias("high"),
-        (F.min("context") < F.max("context")).alias("mixed"),
-    )
-    shared = stored(rows.join(shared.where("low < high"), "anchor"), folder, "shared")
     place = F.struct("doc_id", "text_hash", "start")
     # One context: the anchor's first document has these very words.
     plain = shared.where("NOT mixed")
@@ -299,14 +294,20 @@ def repeated_passages(docs: DataFrame, size: int = 50, folder: str | None = None
     spark = docs.sparkSession
     folder = folder or work_folder(spark)
     kept = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    texts = kept.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    rows = stored(contexts(kept, word_units, size, GRAM), folder, "contexts")
-    # Only documents that share an anchor are looked at again.
-    anchors = rows.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
-    rows = stored(rows.join(anchors.select("anchor"), "anchor", "left_semi").distinct(), folder, "candidates")
-    some = rows.select("doc_id", "text_hash").distinct()
+    rows = stored(contexts(kept, word_units, size, GRAM).drop("lead"), folder, "contexts")
+    # Only what shares an anchor with another document is looked at again.
+    anchors = rows.groupBy("anchor").agg(
+        F.min("doc_id").alias("low"),
+        F.max("doc_id").alias("high"),
+        F.min("context").alias("least"),
+        F.max("context").alias("most"),
+    )
+    anchors = anchors.where("low < high").select("anchor", "low", (F.col("least") < F.col("most")).alias("mixed"))
+    shared = stored(rows.join(anchors, "anchor"), folder, "shared")
+    some = shared.select("doc_id", "text_hash").distinct()
+    texts = passing(kept, text_filter(some)).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     texts = stored(texts.join(some, ["doc_id", "text_hash"], "left_semi").dropDuplicates(["doc_id", "text_hash"]), folder, "texts")
-    asked = stored(_assigned(rows, texts, size, folder), folder, "asked")
+    asked = stored(_assigned(shared, texts, size, folder), folder, "asked")
 
     block = F.floor(F.col("ref_start") / BLOCK)
     held = asked.select("ref_id", "ref_hash", "ref_start", "n").distinct()
@@ -370,9 +371,14 @@ def remove_passages(docs: DataFrame, size: int = 50, folder: str | None = None)
     ``text`` is what is left, words joined by one blank; see ``repeated_passages``. All rows
     and columns stay (a column ``deduplicated`` is replaced); a null text has no words.
     """
-    found = repeated_passages(docs, size, folder)
-    remove = F.arrow_udf(_remove, "struct<n_words:bigint,n_removed:bigint,text:string>")
+    folder = folder or work_folder(docs.sparkSession)
+    found = stored(repeated_passages(docs, size, folder), folder, "spans")
+    kind = "struct<n_words:bigint,n_removed:bigint,text:string>"
+    remove = F.arrow_udf(_remove, kind)
     columns = [c for c in docs.columns if c != "deduplicated"]
     same = (F.xxhash64("d.text") == F.col("f.text_hash")) & (F.col("d.doc_id") == F.col("f.doc_id"))
-    joined = docs.alias("d").join(found.alias("f"), same, "left")
-    return joined.select(*(F.col(f"d.{c}") for c in columns), remove("d.text", "f.spans").alias("deduplicated"))
+    test = text_filter(found)
+    joined = passing(docs.select(*columns), test).alias("d").join(found.alias("f"), same, "left")
+    joined = joined.select(*(F.col(f"d.{c}") for c in columns), remove("d.text", "f.spans").alias("deduplicated"))
+    rest = docs.select(*columns).withColumn("deduplicated", of_the_rest(_remove, kind, test))
+    return joined.unionByName(rest.where(F.col("deduplicated").isNotNull()))

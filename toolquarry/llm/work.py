@@ -2,14 +2,16 @@
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Text handed to one numpy pass; a longer text goes through alone and whole.
 CHUNK_BYTES = 1 << 20
+_BITS = 1 << 26
 
 
 def work_folder(spark: SparkSession) -> str:
@@ -32,6 +34,54 @@ def stored(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def text_filter(keys: DataFrame) -> Callable[[pa.Array], np.ndarray]:
+    """Test whether hashes may be among ``keys`` (``text_hash``).
+
+    A bitmap of hashed keys, of a fixed size however many there are, goes to the tasks, so
+    that texts without a partner stay out of the shuffle of a join. It lets some others
+    through and never holds a partner back.
+    """
+    bit = F.pmod("text_hash", F.lit(_BITS))
+    marks = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(bit, F.lit(64)).cast("int"))
+    found = keys.select(F.floor(bit / 64).alias("slot"), marks.alias("mark")).groupBy("slot").agg(F.bit_or("mark"))
+    found = found.toArrow()
+    bitmap = np.zeros(_BITS // 64, np.uint64)
+    bitmap[found.column(0).to_numpy()] = found.column(1).to_numpy().view(np.uint64)
+
+    def test(hashes: pa.Array) -> np.ndarray:
+        at = hashes.to_numpy(zero_copy_only=False).astype(np.int64) % _BITS
+        return ((bitmap[at // 64] >> (at % 64).astype(np.uint64)) & np.uint64(1)).astype(bool)
+
+    return test
+
+
+def passing(docs: DataFrame, test: Callable[[pa.Array], np.ndarray]) -> DataFrame:
+    """The rows of ``docs`` with a text that passes a ``text_filter``."""
+
+    @F.arrow_udf("boolean")
+    def passes(hashes: pa.Array) -> pa.Array:
+        return pa.array(test(hashes))
+
+    return docs.where(F.col("text").isNotNull() & passes.asNondeterministic()(F.xxhash64("text")))
+
+
+def of_the_rest(make: Callable, kind: str, test: Callable[[pa.Array], np.ndarray]) -> Column:
+    """``make(text, null)`` for texts outside of a ``text_filter`` and null ones, null for others.
+
+    One function for the test and the work, so that a task needs one Python worker.
+    """
+
+    @F.arrow_udf(kind)
+    def run(texts: pa.Array, hashes: pa.Array) -> pa.Array:
+        out = np.flatnonzero(~test(hashes) | ~texts.is_valid().to_numpy(zero_copy_only=False))
+        made = make(texts.take(pa.array(out)), pa.nulls(len(out)))
+        place = np.full(len(texts), -1)
+        place[out] = np.arange(len(out))
+        return made.take(pa.array(place, mask=place < 0))
+
+    return run.asNondeterministic()(F.col("text"), F.xxhash64("text"))
+
+
 def text_chunks(
     column: pa.Array | pa.ChunkedArray, limit: int = CHUNK_BYTES
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
