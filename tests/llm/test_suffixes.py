@@ -58,12 +58,12 @@ def texts(seed, n=60):
     return rows
 
 
-@pytest.mark.parametrize("many", [1, 1000])
+@pytest.mark.parametrize("many", [2, 5])
 def test_against_brute_force(documents, monkeypatch, many):
     monkeypatch.setattr(S, "GRAM", 6)
     monkeypatch.setattr(S, "SHARD_BYTES", 200)
     monkeypatch.setattr(S, "BLOCK", 64)
-    monkeypatch.setattr(S, "MANY_CONTEXTS", many)
+    monkeypatch.setattr(S, "UNIT", many)
     rows = texts(many)
     assert result(documents(rows), 20) == brute(rows, 20)
 
