@@ -40,7 +40,7 @@ def longest_repeats(hashed: np.ndarray, rows: np.ndarray, least: int) -> np.ndar
     row = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
     end = rows[row + 1]
     first = mix(hashed + mix(row.astype(np.uint64) + np.uint64(1)))
-    sa = np.argsort(first, kind="stable")
+    sa = np.argsort(first)
     keys = first[sa]
     new = np.concatenate(([True], keys[1:] != keys[:-1]))
     head = np.flatnonzero(new)[np.cumsum(new) - 1]

@@ -2,8 +2,8 @@
 
 Every string of ``size`` bytes that starts anywhere else too is removed where it stands.
 Contexts (``contexts``) tell which passages can repeat; of all places of a passage two go on,
-so a passage of a million copies costs as much as one of two. Passages that may agree are
-dealt to the same shard, of a bounded number of bytes. A shard's suffix array is built by the
+so a passage of a million copies costs as much as one of two. Both places are dealt to the
+same shard, of a bounded number of bytes. A shard's suffix array is built by the
 difference cover modulo 3: the suffixes at places 1 and 2 modulo 3 are sorted by triples, their
 names are sorted recursively, the remaining suffixes are sorted by one byte and a name, and
 both orders are merged. Neighbours in the array that agree in ``size`` bytes are repeats, and
@@ -17,13 +17,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .contexts import contexts, window_hashes
-from .work import stored, text_chunks, work_folder
+from .contexts import contexts
+from .hashing import mix, span_hashes
+from .work import of_the_rest, passing, stored, text_chunks, text_filter, work_folder
 
 GRAM = 64
 BLOCK = 1 << 16  # bytes of one document that go to one shard
 SHARD_BYTES = 1 << 18
-MANY_CONTEXTS = 1_000  # contexts of one anchor that go to a shard together
+UNIT = 16  # windows that are looked up together where contexts differ
 FLUSH_BYTES = 4 << 20
 _SHORT = 21  # bits of a name that packs three to a word
 
@@ -33,12 +34,12 @@ def byte_units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def _order(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Stable order of rows by several columns, and where a row differs from its predecessor."""
+    """Order of rows by several columns, and where a row differs from its predecessor."""
     if max(int(c.max(initial=0)) for c in columns).bit_length() <= _SHORT and len(columns) <= 3:
-        key = columns[0]
+        key = columns[0].astype(np.int64)
         for c in columns[1:]:
             key = (key << _SHORT) | c
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         key = key[order]
         return order, key[1:] != key[:-1]
     order = np.lexsort(columns[::-1])
@@ -53,21 +54,22 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
     n = len(symbols)
     if n < 3:
         return np.array(sorted(range(n), key=lambda i: symbols[i:].tolist()), np.int64)
-    s = np.concatenate((symbols.astype(np.int64), np.zeros(3, np.int64)))
+    s = np.concatenate((symbols.astype(np.int32), np.zeros(3, np.int32)))
     # With n = 1 modulo 3 an empty triple ends the first half, so the halves never run together.
-    ones = np.arange(1, n + (n % 3 == 1), 3)
-    twos = np.arange(2, n, 3)
+    ones = np.arange(1, n + (n % 3 == 1), 3, dtype=np.int32)
+    twos = np.arange(2, n, 3, dtype=np.int32)
     sample = np.concatenate((ones, twos))
-    order, new = _order([s[sample], s[sample + 1], s[sample + 2]])
-    names = np.empty(len(sample), np.int64)
+    ahead = lambda k: np.concatenate((s[1 + k :: 3][: len(ones)], s[2 + k :: 3][: len(twos)]))
+    order, new = _order([ahead(0), ahead(1), ahead(2)])
+    names = np.empty(len(sample), np.int32)
     names[order] = np.concatenate(([1], 1 + np.cumsum(new)))
     if len(new) and not new.all():
         order = suffix_array(names)
     sample = sample[order]
-    rank = np.zeros(n + 3, np.int64)
+    rank = np.zeros(n + 3, np.int32)
     rank[sample] = np.arange(1, len(sample) + 1)
-    rest = np.arange(0, n, 3)
-    rest = rest[_order([s[rest], rank[rest + 1]])[0]]
+    rest = np.arange(0, n, 3, dtype=np.int32)
+    rest = rest[_order([s[0:n:3], rank[1 : n + 1 : 3]])[0]]
     sample = sample[sample < n]
     # Merge: how many samples of either kind stand before each of the rest.
     first, second = sample[sample % 3 == 1], sample[sample % 3 == 2]
@@ -103,7 +105,7 @@ def repeated_starts(passages: list[bytes], size: int) -> list[np.ndarray]:
     valid = np.zeros(len(data), bool)
     for b, w in zip(begin.tolist(), windows.tolist(), strict=True):
         valid[b : b + w] = True
-    order = suffix_array(data.astype(np.int64) + 1)
+    order = suffix_array(data.astype(np.int32) + 1)
     order = order[valid[order]]
     again = np.zeros(len(data), bool)
     if len(order) > 1:
@@ -122,62 +124,111 @@ def _at(side: str, shift: Column) -> Column:
     return F.struct(f"{side}.doc_id", f"{side}.text_hash", (F.col(f"{side}.start") + shift).alias("start"))
 
 
-def _window_hashes(rows: DataFrame, texts: DataFrame, size: int) -> DataFrame:
-    """``anchor, context, windows``: the hashes of the windows of one place of each context."""
-    wanted = rows.groupBy("doc_id", "text_hash").agg(
-        F.sort_array(F.collect_list(F.struct("start", "n", "anchor", "context"))).alias("runs")
-    )
+def _same_row(left: str, right: str) -> Column:
+    ids = F.col(f"{left}.doc_id").eqNullSafe(F.col(f"{right}.doc_id"))
+    return (F.col(f"{left}.text_hash") == F.col(f"{right}.text_hash")) & ids
+
+
+def _hash_parts(rows: DataFrame, texts: DataFrame, size: int, split, keys: tuple[str, str]) -> DataFrame:
+    """``*keys, i, n, part, core``: parts of runs of windows, as ``split`` cuts and hashes them.
+
+    ``rows``: ``doc_id, text_hash, start, n, lead, *keys``.
+    """
+    run = ("start", "n", "lead", *keys)
+    wanted = rows.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_list(F.struct(*run))).alias("runs"))
     joined = texts.alias("t").join(wanted.alias("w"), _same_row("t", "w")).select("text", "runs")
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            runs = batch.column(1).to_pylist()
+            lists = batch.column(1)
+            ends = lists.offsets.to_numpy()
+            columns = [lists.values.field(name).to_numpy(zero_copy_only=False) for name in run]
             for first, data, offsets in text_chunks(batch.column(0)):
                 values, at = byte_units(data, offsets)
-                found, keys = [], []
-                for r in range(len(at) - 1):
-                    own = values[at[r] : at[r + 1]]
-                    for run in runs[first + r]:
-                        span = own[run["start"] : run["start"] + run["n"] - 1 + size]
-                        found.append(window_hashes(span, 0, run["n"], size).view(np.int64))
-                        keys.append((run["anchor"], run["context"]))
-                if keys:
-                    ends = np.cumsum([0] + [len(f) for f in found])
-                    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(found)))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([k[0] for k in keys]), pa.array([k[1] for k in keys]), lists],
-                        ["anchor", "context", "windows"],
-                    )
-
-    return joined.mapInArrow(hashes, "anchor long, context long, windows array<long>")
+                own = slice(ends[first], ends[first + len(at) - 1])
+                begin = np.repeat(at[:-1], np.diff(ends[first : first + len(at)])) + columns[0][own]
+                row, i, n, part, core = split(values, begin, columns[1][own], columns[2][own], size)
+                named = [c[own][row] for c in columns[3:]]
+                out = [*named, i, n, part.view(np.int64), core.view(np.int64)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c.astype(np.int64, copy=False)) for c in out], [*keys, "i", "n", "part", "core"]
+                )
 
+    return joined.mapInArrow(hashes, ", ".join(f"{name} long" for name in (*keys, "i", "n", "part", "core")))
 
-def _same_row(left: str, right: str) -> Column:
-    ids = F.col(f"{left}.doc_id").eqNullSafe(F.col(f"{right}.doc_id"))
-    return (F.col(f"{left}.text_hash") == F.col(f"{right}.text_hash")) & ids
+
+def _counted(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For counts ``n`` the row of each and its number within the row."""
+    row = np.repeat(np.arange(len(n)), n)
+    return row, np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
 
 
-def _runs_across(crowded: DataFrame, texts: DataFrame, size: int, folder: str) -> DataFrame:
-    """Runs of windows that several contexts of one anchor share: ``anchor, context, i, n, one, two``.
+def _units(values, begin, n, lead, size: int) -> tuple[np.ndarray, ...]:
+    """Units of ``UNIT`` windows, cut in step with the anchor, so that equal ones meet.
 
-    For anchors with so many contexts that no shard can hold them. Windows are counted one by
-    one, and what is shared is handed to the suffix arrays as two places like any copy.
+    ``lead`` is the number of bytes of the first window before its anchor. ``part`` hashes all
+    bytes of a unit, ``core`` those that each window of a whole unit has.
+    """
+    row, k = _counted(lead // UNIT - (lead - n + 1) // UNIT + 1)
+    lead, n = lead[row], n[row]
+    unit = lead // UNIT - k
+    first = np.maximum(lead - (unit * UNIT + UNIT - 1), 0)
+    count = np.minimum(n - 1, lead - unit * UNIT) - first + 1
+    start = begin[row] + first
+    part = span_hashes(values, start, start + count - 1 + size) + (lead - first).astype(np.uint64)
+    inner = begin[row] + lead - unit * UNIT
+    core = span_hashes(values, inner, inner + size - UNIT + 1) + unit.astype(np.uint64)
+    return row, first, count, mix(part), mix(core)
+
+
+def _single_windows(values, begin, n, _lead, size: int) -> tuple[np.ndarray, ...]:
+    row, i = _counted(n)
+    part = mix(span_hashes(values, begin[row] + i, begin[row] + i + size) + np.uint64(size))
+    return row, i, np.ones(len(i), np.int64), part, part
+
+
+def _runs_across(mixed: DataFrame, texts: DataFrame, size: int, folder: str) -> DataFrame:
+    """Runs of windows that differing contexts of one anchor share.
+
+    ``mixed``: ``anchor, context, n, lead, one, two``, with two places where there are. Returns
+    ``anchor, context, i, n, one, two`` for contexts with a single place. Windows are looked
+    up by units; only units that agree in their core and not in all go on by window.
     """
-    windows = _window_hashes(crowded.select("one.*", "n", "anchor", "context"), texts, size)
-    windows = stored(windows, folder, "windows").select("anchor", "context", F.posexplode("windows").alias("i", "window"))
-    several = windows.groupBy("window").agg(F.count("*").alias("times")).where("times > 1").select("window")
-    several = windows.join(several, "window").join(crowded.select("anchor", "context", "one"), ["anchor", "context"])
-    several = stored(several.withColumn("place", _at("one", F.col("i"))).drop("one"), folder, "several")
-    ends = several.groupBy("window").agg(F.min("place").alias("one"), F.max("place").alias("two"))
-    moved = several.join(ends, "window").where("one <> two")
-    moved = moved.select("anchor", "context", "i", _at("one", -F.col("i")).alias("one"), _at("two", -F.col("i")).alias("two"))
+    units = _hash_parts(mixed.select("one.*", "n", "lead", "anchor", "context"), texts, size, _units, ("anchor", "context"))
+    units = stored(units, folder, "units")
+    placed = units.join(mixed.select("anchor", "context", "one", "two"), ["anchor", "context"])
+    different = placed.groupBy("core", "part").agg(
+        F.min(_at("one", F.col("i"))).alias("one"), F.max(_at("two", F.col("i"))).alias("two"), F.first("n").alias("n")
+    )
+    different = stored(different, folder, "different_units")
+    whole = different.where("one <> two")
+    # A core of several units, one of which has a single place.
+    open_cores = different.groupBy("core").agg(
+        F.count("*").alias("units"), F.min(F.col("one") != F.col("two")).alias("settled")
+    )
+    open_cores = open_cores.where("units > 1 AND NOT settled").select("core")
+    opened = different.join(open_cores, "core").select("core", "part", "n", "one", "two")
+    opened = stored(opened, folder, "opened").withColumnRenamed("core", "unit_core").withColumnRenamed("part", "unit")
+    windows = _hash_parts(opened.select("one.*", "n", F.lit(0).alias("lead"), "unit_core", "unit"), texts, size, _single_windows, ("unit_core", "unit"))
+    windows = stored(windows.select("unit_core", "unit", "i", F.col("part").alias("window")), folder, "windows")
+    windows = windows.join(opened.select("unit_core", "unit", "one", "two"), ["unit_core", "unit"])
+    ends = windows.groupBy("window").agg(
+        F.min(_at("one", F.col("i"))).alias("low"), F.max(_at("two", F.col("i"))).alias("high")
+    )
+    found = windows.where("one = two").select("unit_core", "unit", "i", "window").join(ends.where("low <> high"), "window")
     # Windows that move in step on both sides are one run.
-    pair = ("anchor", "context", "one", "two")
+    found = found.select("unit_core", "unit", "i", _at("low", -F.col("i")).alias("one"), _at("high", -F.col("i")).alias("two"))
+    pair = ("unit_core", "unit", "one", "two")
     island = F.col("i") - F.row_number().over(Window.partitionBy(*pair).orderBy("i"))
-    runs = moved.withColumn("island", island).groupBy(*pair, "island")
-    runs = runs.agg(F.min("i").alias("i"), F.count("*").cast("int").alias("n"))
-    return runs.select(
-        "anchor", "context", "i", "n", _at("one", F.col("i")).alias("one"), _at("two", F.col("i")).alias("two")
+    found = found.withColumn("island", island).groupBy(*pair, "island").agg(F.min("i").alias("k"), F.count("*").alias("n"))
+    found = found.select(
+        F.col("unit_core").alias("core"), F.col("unit").alias("part"), "k", "n", _at("one", F.col("k")).alias("one"), _at("two", F.col("k")).alias("two")
+    )
+    whole = whole.select("core", "part", F.lit(0).cast("long").alias("k"), "n", "one", "two")
+    single = mixed.where("one = two").select("anchor", "context")
+    own = units.drop("n").join(single, ["anchor", "context"])
+    return own.join(whole.unionByName(found), ["core", "part"]).select(
+        "anchor", "context", (F.col("i") + F.col("k")).cast("int").alias("i"), F.col("n").cast("int").alias("n"), "one", "two"
     )
 
 
@@ -188,31 +239,23 @@ def _orders(rows: DataFrame, texts: DataFrame, size: int, folder: str) -> DataFr
     """
     place = F.struct("doc_id", "text_hash", "start")
     found = rows.groupBy("anchor", "context").agg(
-        F.min(place).alias("one"), F.max(place).alias("two"), F.first("n").alias("n"), F.count("*").alias("places")
+        F.min(place).alias("one"), F.max(place).alias("two"), F.first("n").alias("n"), F.first("lead").alias("lead")
     )
     found = stored(found, folder, "distinct")
-    crowds = found.groupBy("anchor").agg(
-        F.count("*").alias("contexts"), F.min("places").alias("fewest")
-    )
-    found = stored(found.join(crowds, "anchor"), folder, "distinct_counted")
+    alone = F.col("one") == F.col("two")
+    open_anchors = found.groupBy("anchor").agg(F.count("*").alias("contexts"), F.max(alone).alias("open"))
+    open_anchors = open_anchors.where("contexts > 1 AND open").select("anchor")
     # A context with two places is held against itself, in step with its neighbours.
-    pairs = found.where("places > 1").select("anchor", "context", F.lit(0).alias("i"), "n", "one", "two")
-    crowded = found.where((F.col("contexts") > MANY_CONTEXTS) & (F.col("fewest") == 1))
-    pairs = pairs.unionByName(_runs_across(crowded, texts, size, folder))
-    pairs = stored(pairs, folder, "pairs")
-    few = found.where((F.col("contexts") > 1) & (F.col("contexts") <= MANY_CONTEXTS) & (F.col("fewest") == 1))
-    sizes = pairs.agg(F.sum("n")).first()[0], few.agg(F.sum(F.col("n") + size)).first()[0]
-    counts = [max(1, int(total or 0) // SHARD_BYTES) for total in sizes]
-
+    pairs = found.where(~alone).select("anchor", "context", F.lit(0).alias("i"), "n", "one", "two")
+    mixed = stored(found.join(open_anchors, "anchor"), folder, "mixed")
+    pairs = stored(pairs.unionByName(_runs_across(mixed, texts, size, folder)), folder, "pairs")
+    shards = max(1, int(pairs.agg(F.sum("n")).first()[0] or 0) // SHARD_BYTES)
+    block = F.floor(F.col("one.start") / BLOCK)
+    pairs = pairs.withColumn("shard", F.pmod(F.xxhash64("one.doc_id", "one.text_hash", block), F.lit(shards)))
     run = F.struct("anchor", "context", "i")
-    shard = F.pmod(F.xxhash64("one.doc_id", "one.text_hash", F.floor(F.col("one.start") / BLOCK)), F.lit(counts[0]))
-    pairs = pairs.withColumn("shard", shard)
     none = F.lit(None).cast("struct<anchor:bigint,context:bigint,i:int>")
-    small = few.withColumn("i", F.lit(0)).withColumn("shard", -1 - F.pmod(F.xxhash64("anchor"), F.lit(counts[1])))
-    return (
-        pairs.select("one.*", "shard", "n", run.alias("run"))
-        .unionByName(pairs.select("two.*", "shard", "n", none.alias("run")))
-        .unionByName(small.select("one.*", "shard", "n", F.when(F.col("places") == 1, run).otherwise(none).alias("run")))
+    return pairs.select("one.*", "shard", "n", run.alias("run")).unionByName(
+        pairs.select("two.*", "shard", "n", none.alias("run"))
     )
 
 
@@ -304,9 +347,9 @@ def repeated_bytes(docs: DataFrame, size: int = 200, folder: str | None = None)
     folder = folder or work_folder(spark)
     found = stored(contexts(docs, byte_units, size, GRAM), folder, "contexts")
     shared = found.groupBy("anchor").agg(F.count("*").alias("places")).where("places > 1").select("anchor")
-    rows = stored(found.join(shared, "anchor").distinct(), folder, "candidates")
+    rows = stored(found.join(shared, "anchor"), folder, "candidates")
     some = rows.select("doc_id", "text_hash").distinct()
-    texts = docs.where(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    texts = passing(docs, text_filter(some)).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     texts = texts.alias("t").join(some.alias("s"), _same_row("t", "s"), "left_semi")
     texts = stored(texts.dropDuplicates(["doc_id", "text_hash"]), folder, "texts")
 
@@ -365,9 +408,14 @@ def remove_bytes(docs: DataFrame, size: int = 200, folder: str | None = None) ->
     run may begin or end within a character. All rows and columns stay (a column
     ``deduplicated`` is replaced); a null text has no bytes.
     """
-    found = repeated_bytes(docs, size, folder)
-    remove = F.arrow_udf(_remove, "struct<n_bytes:bigint,n_removed:bigint,n_spans:bigint,kept:binary>")
+    folder = folder or work_folder(docs.sparkSession)
+    found = stored(repeated_bytes(docs, size, folder), folder, "spans")
+    kind = "struct<n_bytes:bigint,n_removed:bigint,n_spans:bigint,kept:binary>"
+    remove = F.arrow_udf(_remove, kind)
     columns = [c for c in docs.columns if c != "deduplicated"]
     same = (F.xxhash64("d.text") == F.col("f.text_hash")) & F.col("d.doc_id").eqNullSafe(F.col("f.doc_id"))
-    joined = docs.alias("d").join(found.alias("f"), same, "left")
-    return joined.select(*(F.col(f"d.{c}") for c in columns), remove("d.text", "f.spans").alias("deduplicated"))
+    test = text_filter(found)
+    joined = passing(docs.select(*columns), test).alias("d").join(found.alias("f"), same, "left")
+    joined = joined.select(*(F.col(f"d.{c}") for c in columns), remove("d.text", "f.spans").alias("deduplicated"))
+    rest = docs.select(*columns).withColumn("deduplicated", of_the_rest(_remove, kind, test))
+    return joined.unionByName(rest.where(F.col("deduplicated").isNotNull()))
