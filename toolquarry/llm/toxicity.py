@@ -133,13 +133,18 @@ def _places(table: np.ndarray, features: np.ndarray) -> np.ndarray:
 
 def fit_rows(
     toxic: np.ndarray,
-    plain: list[np.ndarray],
-    swapped: list[np.ndarray | None],
+    flat: np.ndarray,
+    sizes: np.ndarray,
+    swapped: dict[int, np.ndarray],
     swap_penalty: float,
     l1: float,
     rounds: int = 300,
 ) -> Model:
-    """Fit the model: accelerated proximal gradient steps on log loss, swap penalty and L1."""
+    """Fit the model: accelerated proximal gradient steps on log loss, swap penalty and L1.
+
+    ``flat`` holds the features of all rows, ``sizes`` of each; ``swapped`` those of the
+    counterfactuals of some rows.
+    """
     n = len(toxic)
     rate = float(np.clip((toxic.sum() + 0.5) / (n + 1.0), 1e-4, 0.9999)) if n else 0.01
     bias = float(np.log(rate / (1 - rate)))
@@ -148,14 +153,13 @@ def fit_rows(
         return none
     # Features that lean to one label beyond chance are screened in; the fit decides on them.
     # Features of one text are dropped first: they are most, and tell nothing.
-    row = np.repeat(np.arange(n, dtype=np.int32), [len(p) for p in plain])
-    flat = np.concatenate(plain)
+    row = np.repeat(np.arange(n, dtype=np.int32), sizes)
+    ends = np.cumsum(sizes)
     ordered = np.sort(flat)
     again = ordered[1:] == ordered[:-1]
     feature = ordered[1:][again & ~np.append(again[1:], False)]
     del ordered, again
     column = _places(feature, flat)
-    del flat
     row, column = row[column >= 0], column[column >= 0]
     seen = np.bincount(column, minlength=len(feature))
     bad = np.bincount(column, weights=toxic[row], minlength=len(feature))
@@ -173,10 +177,10 @@ def fit_rows(
         at = np.minimum(np.searchsorted(kept, features), len(kept) - 1)
         return at[kept[at] == features]
 
-    pairs = [i for i in range(n) if swapped[i] is not None]
+    pairs = sorted(swapped)
     d_row, d_col, d_val = [], [], []
     for k, i in enumerate(pairs):
-        for features, sign in ((plain[i], 1.0), (swapped[i], -1.0)):
+        for features, sign in ((flat[ends[i] - sizes[i] : ends[i]], 1.0), (swapped[i], -1.0)):
             c = columns(features)
             d_row.append(np.full(len(c), k))
             d_col.append(c)
@@ -222,7 +226,7 @@ def fit_rows(
 def fit_toxicity(
     docs: DataFrame,
     labels: DataFrame,
-    max_labelled: int = 8_000,
+    max_labelled: int = 6_000,
     swap_penalty: float = 1.0,
     l1: float = 0.0005,
     folder: str | None = None,
@@ -246,14 +250,16 @@ def fit_toxicity(
     )
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        toxic, plain, swapped = [], [], []
+        toxic, flat, sizes, swapped = [], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], {}
         for batch in batches:
+            for i in np.flatnonzero(batch.column(2).is_valid().to_numpy(zero_copy_only=False)).tolist():
+                found = batch.column(2)[i].values.to_numpy(zero_copy_only=False)
+                swapped[len(toxic) + i] = found.astype(np.int64).view(np.uint64)
             toxic += batch.column(0).to_pylist()
-            for column, out in ((1, plain), (2, swapped)):
-                for value in batch.column(column):
-                    found = value.values.to_numpy(zero_copy_only=False) if value.is_valid else None
-                    out.append(None if found is None else found.astype(np.int64).view(np.uint64))
-        model = fit_rows(np.array(toxic, float), plain, swapped, swap_penalty, l1)
+            flat.append(batch.column(1).flatten().to_numpy(zero_copy_only=False).view(np.uint64))
+            sizes.append(np.diff(batch.column(1).offsets.to_numpy()))
+        flat = flat[1] if len(flat) == 2 else np.concatenate(flat)
+        model = fit_rows(np.array(toxic, float), flat, np.concatenate(sizes), swapped, swap_penalty, l1)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(np.append(model.features.view(np.int64), 0)),
