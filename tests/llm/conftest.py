@@ -1,6 +1,11 @@
 import pytest
+from hypothesis import settings
 from pyspark.sql import functions as F
 
+# A busy machine makes no example wrong.
+settings.register_profile("no_deadline", deadline=None)
+settings.load_profile("no_deadline")
+
 
 @pytest.fixture
 def documents(spark):
