@@ -88,8 +88,11 @@ def text_chunks(
     """Rows of a text column as ``(first row, bytes, row offsets)``; null texts are empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_string()).fill_null("")
-    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset :][: len(column) + 1]
+    if column.null_count:
+        column = column.fill_null("")
+    # Views of the batch: a copy of all its texts would double what a worker holds.
+    width = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    offsets = np.frombuffer(column.buffers()[1], width)[column.offset :][: len(column) + 1].astype(np.int64)
     data = column.buffers()[2]
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     first = 0
