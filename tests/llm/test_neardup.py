@@ -127,6 +127,22 @@ def test_many_copies_and_near_copies(documents):
     assert {r["class_id"] for r in found} == {0} and {r["class_size"] for r in found} == {350}
 
 
+def test_near_copies_in_pairs_that_share_a_template(documents):
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(2000)]
+    template = [rng.choice(vocabulary) for _ in range(300)]
+    rows = []
+    for i in range(200):
+        own = template + [rng.choice(vocabulary) for _ in range(100)]
+        other = list(own)
+        for e in range(6):
+            other[(2 * e + 1) * len(own) // 12] = f"edited{e}"
+        rows += [(2 * i, " ".join(own)), (2 * i + 1, " ".join(other))]
+    near, want = brute_classes(rows)
+    assert near == 200 and len(want) == 200
+    assert got_classes(N.near_duplicates(documents(rows))) == want
+
+
 def test_empty_table(documents):
     assert N.near_duplicates(documents([])).count() == 0
     assert N.keep_one(documents([])).count() == 0

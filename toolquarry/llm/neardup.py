@@ -11,6 +11,10 @@ bucket, members are compared with a leader, those it does not match with the nex
 on: a bucket of matching texts gives one pair per member. The leader is the member that shares
 most buckets with others, as an original does with its edited copies. Classes are connected
 components.
+
+What the leaders leave open is settled exactly. The texts of buckets that still hold an untested
+pair of different classes meet by the rarest shingles of each, which every matching pair shares;
+lengths and places of these bound the similarity, and the pairs left are compared like the others.
 """
 
 import hashlib
@@ -31,6 +35,10 @@ BANDS, ROWS = 8, 2
 IDF_SLOTS = 1 << 20
 ROUNDS = 5
 TASK_PAIRS = 1_000
+# Pairs of two classes compared before classes are joined again; more each time.
+FIRST_PAIRS, MORE_PAIRS = 100, 16
+ORDER_SLOTS = 1 << 20
+SLACK = 1e-6
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -213,6 +221,144 @@ def _similarities(pairs: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFr
     return rows.mapInArrow(_compare(idf), "node binary, leader binary, similarity double")
 
 
+def _shingle_order(texts: DataFrame, idf: np.ndarray) -> np.ndarray:
+    """How often the shingles of each slot occur; slots that are shared only cost time."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(ORDER_SLOTS, np.int64)
+        for batch in batches:
+            for _, data, offsets in text_chunks(batch.column(0)):
+                data = _LOWER[data]
+                _, shingle, _ = weighted_shingles(data, *_words(data, offsets), idf)
+                slot = (shingle % np.uint64(ORDER_SLOTS)).astype(np.int64)
+                total += np.bincount(slot, minlength=ORDER_SLOTS)
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["slot", "n"])
+
+    counts = texts.select("text").mapInArrow(count, "slot long, n long")
+    table = counts.groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(ORDER_SLOTS, np.int64)
+    out[table["slot"].to_numpy()] = table["n"].to_numpy()
+    return out
+
+
+def _prefixes(idf: np.ndarray, order: np.ndarray, threshold: float):
+    """``node, root, text`` to the shingles of each text that a matching one may share first.
+
+    Shingles stand in one order for all texts, rare ones first. What two texts share lies at or
+    behind the first shared shingle, so there at least ``threshold`` of each weight is left.
+    """
+
+    def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, data, offsets in text_chunks(batch.column(2)):
+                data = _LOWER[data]
+                row, shingle, weight = weighted_shingles(data, *_words(data, offsets), idf)
+                if not len(row):
+                    continue
+                rank = order[(shingle % np.uint64(ORDER_SLOTS)).astype(np.int64)]
+                by = np.lexsort((shingle, rank, row))
+                row, shingle, weight = row[by], shingle[by], weight[by]
+                first = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))
+                size = np.diff(np.append(first, len(row)))
+                total = np.repeat(np.add.reduceat(weight, first), size)
+                before = np.concatenate(([0.0], np.cumsum(weight)))[:-1]
+                rest = total - (before - np.repeat(before[first], size))
+                keep = np.flatnonzero(rest >= threshold * total * (1 - SLACK))
+                rows = pa.array(at + row[keep])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(rows),
+                        batch.column(1).take(rows),
+                        pa.array(shingle[keep].view(np.int64)),
+                        pa.array(total[keep]),
+                        pa.array(rest[keep]),
+                    ],
+                    ["node", "root", "shingle", "total", "rest"],
+                )
+
+    return prefix
+
+
+def _open_buckets(members: DataFrame, asked: DataFrame, roots: DataFrame) -> DataFrame:
+    """``bucket`` of each that holds a pair of different classes which no leader tested.
+
+    Leaders settle buckets of up to three members, so only larger ones are looked at.
+    """
+    large = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 3").select("bucket")
+    named = members.join(large, "bucket").join(roots, "node", "left").select("bucket", F.coalesce("root", "node").alias("root"))
+    count = named.groupBy("bucket", "root").agg(F.count("*").alias("n")).groupBy("bucket")
+    count = count.agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs")).where("pairs > 0")
+    own = roots.select("node", F.col("root").alias("node_root"))
+    lead = roots.select(F.col("node").alias("leader"), F.col("root").alias("leader_root"))
+    apart = asked.join(count.select("bucket"), "bucket").join(own, "node", "left").join(lead, "leader", "left")
+    apart = apart.where(F.coalesce("node_root", "node") != F.coalesce("leader_root", "leader"))
+    done = apart.groupBy("bucket").agg(F.count("*").alias("done"))
+    return count.join(done, "bucket", "left").where(F.col("pairs") > F.coalesce("done", F.lit(0))).select("bucket")
+
+
+def _possible_pairs(texts: DataFrame, idf: np.ndarray, threshold: float, folder: str) -> DataFrame:
+    """``node, leader``: all pairs of ``texts`` (``node, root, text``) of different roots that may match."""
+    order = _shingle_order(texts, idf)
+    keys = texts.select("node", "root", "text").mapInArrow(
+        _prefixes(idf, order, threshold), "node binary, root binary, shingle long, total double, rest double"
+    )
+    keys = stored(keys, folder, "prefixes")
+    counts = keys.groupBy("shingle", "root").agg(F.count("*").alias("n"))
+    mixed = counts.groupBy("shingle").agg(
+        F.max_by("root", "n").alias("major"), F.sum("n").alias("n"), F.count("*").alias("roots")
+    )
+    mixed = mixed.where("roots > 1").select("shingle", "major", F.ceil(F.col("n") / TASK_PAIRS).alias("parts"))
+    share = threshold / (1 + threshold) * (1 - SLACK)
+    # Of two matching texts the one of less weight has this much left at the first shared shingle.
+    keys = keys.withColumn("early", F.col("rest") >= 2 * share * F.col("total"))
+    keys = stored(keys.join(mixed, "shingle"), folder, "prefixes_mixed")
+    # The largest class of a shingle is never held against itself; a hot shingle is dealt out by node.
+    left = keys.where("root <> major").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    right = keys.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
+    found = None
+    for early in (True, False):
+        one = left.where(F.col("early") == early).alias("l")
+        two = (right if early else right.where("early")).alias("r")
+        close = (
+            (F.col("l.shingle") == F.col("r.shingle"))
+            & (F.col("l.part") == F.col("r.part"))
+            & (F.col("l.root") != F.col("r.root"))
+            & (F.least("l.rest", "r.rest") >= share * (F.col("l.total") + F.col("r.total")))
+        )
+        pairs = one.join(two, close).select(
+            F.greatest("l.node", "r.node").alias("node"), F.least("l.node", "r.node").alias("leader")
+        )
+        found = pairs if found is None else found.union(pairs)
+    return found.distinct()
+
+
+def _settle(pairs: DataFrame, links: DataFrame, roots: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: float, folder: str):
+    """Roots after all of ``pairs`` are compared, but for those whose texts are of one class by then."""
+    limit, step = FIRST_PAIRS, 0
+    while True:
+        own = roots.select("node", F.col("root").alias("node_root"))
+        lead = roots.select(F.col("node").alias("leader"), F.col("root").alias("leader_root"))
+        named = pairs.join(own, "node", "left").join(lead, "leader", "left").select(
+            "node", "leader", F.coalesce("node_root", "node").alias("one"), F.coalesce("leader_root", "leader").alias("two")
+        )
+        named = named.where("one <> two").select("node", "leader", F.least("one", "two").alias("one"), F.greatest("one", "two").alias("two"))
+        named = stored(named, folder, f"open_{step}")
+        if named.isEmpty():
+            return roots
+        parts = named.groupBy("one", "two").agg(F.ceil(F.count("*") / limit).alias("parts"))
+        turn = named.join(parts, ["one", "two"]).withColumn("now", F.pmod(F.xxhash64("node", "leader"), F.col("parts")) == 0)
+        turn = stored(turn.select("node", "leader", "now"), folder, f"turn_{step}")
+        compared = stored(
+            _similarities(turn.where("now").select("node", "leader"), texts, idf), folder, f"settled_{step}"
+        )
+        close = compared.where(F.col("similarity") >= threshold).select("node", "leader")
+        if not close.isEmpty():
+            links = links.union(close)
+            roots = components(links.select(F.col("node").alias("a"), F.col("leader").alias("b")), f"{folder}/classes_{step}")
+        pairs, limit, step = turn.where("NOT now").select("node", "leader"), limit * MORE_PAIRS, step + 1
+
+
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, folder: str | None = None) -> DataFrame:
     """``doc_id, text_hash, class_id, class_size``, one row per row of ``docs``.
 
@@ -227,7 +373,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, folder: str | None
 
     A pair of similarity ``s`` meets in a bucket with probability ``1 - (1 - s**2)**8``,
     99.97% at 0.8. Members of a bucket that no leader matched yet are compared with the next,
-    for ``ROUNDS`` leaders; one that is linked already leads before one that is not.
+    for ``ROUNDS`` leaders; one that is linked already leads before one that is not. Pairs that
+    no leader tested are then all settled, but for those within a class already.
     """
     return _classes(docs, threshold, folder).drop("root")
 
@@ -263,14 +410,19 @@ def _classes(docs: DataFrame, threshold: float, folder: str | None) -> DataFrame
     node_texts = rows.where("text IS NOT NULL").alias("d").join(wanted.alias("w"), same).select("node", "text")
     node_texts = stored(node_texts.dropDuplicates(["node"]), folder, "texts")
 
+    first_members = members.select("bucket", "node")
     members = members.withColumn("linked", F.lit(False))
-    links, tested = None, None
+    links, tested, asked = None, None, None
     for step in range(ROUNDS):
         # Who is linked already leads first: the original behind an edited copy, for one.
         leaders = members.groupBy("bucket").agg(
             F.max(F.struct("linked", "score", "node"))["node"].alias("leader"), F.min("linked").alias("done")
         )
-        led = members.join(leaders.where("NOT done"), "bucket").where("node <> leader")
+        led = stored(
+            members.join(leaders.where("NOT done"), "bucket").where("node <> leader"), folder, f"led_{step}"
+        )
+        own = led.where("NOT linked").select("bucket", "node", "leader")
+        asked = own if asked is None else asked.union(own)
         pairs = led.where("NOT linked").select("node", "leader").distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["node", "leader"], "left_anti")
@@ -286,6 +438,16 @@ def _classes(docs: DataFrame, threshold: float, folder: str | None) -> DataFrame
         if members.where("NOT linked").isEmpty():
             break
     classes = components(links.select(F.col("node").alias("a"), F.col("leader").alias("b")), folder)
+    left_open = stored(_open_buckets(first_members, asked, classes), folder, "open_buckets")
+    if not left_open.isEmpty():
+        kept = first_members.join(left_open, "bucket").select("node").distinct()
+        kept = kept.join(classes, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+        open_texts = stored(kept.join(node_texts, "node"), folder, "open_texts")
+        pairs = _possible_pairs(open_texts, idf, threshold, folder)
+        # Leaders may have tested a pair either way round.
+        known = tested.select(F.greatest("node", "leader").alias("node"), F.least("node", "leader").alias("leader"))
+        pairs = stored(pairs.join(known, ["node", "leader"], "left_anti"), folder, "possible")
+        classes = _settle(pairs, links, classes, open_texts.select("node", "text"), idf, threshold, folder)
     rooted = nodes.join(classes, "node", "left").select(
         "node", F.coalesce("root", "node").alias("root"), F.col("own.doc_id").alias("own_id"), "n"
     )
