@@ -69,3 +69,16 @@ def test_rows_columns_and_empty_table(documents):
     assert left.columns == [*docs.columns, "removed"]
     assert left.count() == len(ROWS)
     assert L.dedup_lines(documents([])).count() == 0
+
+
+def test_further_cuttings_find_short_passages(documents):
+    """Passages of five lines in two documents each."""
+    rows = []
+    for i in range(40):
+        passage = "\n".join(f"passage {i} line {k}" for k in range(5))
+        rows += [(2 * i, f"head {i}\n{passage}\ntail {i}"), (2 * i + 1, f"other {i}\n{passage}\nend {i}")]
+    found = L.dedup_lines(documents(rows), cuttings=8).collect()
+    left = {r["doc_id"]: r["text"].split("\n") for r in found}
+    assert all(left[2 * i] == rows[2 * i][1].split("\n") for i in range(40))
+    assert all({f"other {i}", f"end {i}"} <= set(left[2 * i + 1]) for i in range(40))
+    assert sum(7 - len(left[2 * i + 1]) for i in range(40)) > 100

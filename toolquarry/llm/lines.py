@@ -4,6 +4,11 @@ A rolling hash over the hashes of the last lines decides after which lines a chu
 boundaries depend on nothing but those lines and fall into step again after an insertion.
 Chunks of several lines that occur more than once anywhere are compared byte by byte with
 their first occurrence, and all but that one are removed.
+
+Boundaries of one cutting may leave a short passage without a whole chunk inside. Further
+cuttings of the same text end a chunk after every line of which one bit of its hash is set, a
+bit of their own each; a chunk repeated under any of them goes. What goes has an equal at an
+earlier place, so one copy of it always stays.
 """
 
 import hashlib
@@ -39,28 +44,44 @@ def chunk_bounds(lines: list[str]) -> list[int]:
     return ends
 
 
-def multi_line_chunks(text: str) -> list[tuple[int, int, str]]:
+def more_bounds(lines: list[str], cuttings: int) -> list[list[int]]:
+    """The ends of chunks under each further cutting, by bits of MD5 that ``line_hash`` leaves."""
+    bits = [int.from_bytes(hashlib.md5(x.encode()).digest()[4:]) for x in lines]
+    return [
+        [i + 1 for i, b in enumerate(bits) if b >> k & 1 or i == len(lines) - 1] for k in range(cuttings)
+    ]
+
+
+def multi_line_chunks(text: str, cuttings: int = 0) -> list[tuple[int, int, str]]:
     """``(first line, lines, text)`` of every chunk with two lines or more that are not blank."""
-    lines, out, first = text.split("\n"), [], 0
-    for end in chunk_bounds(lines):
-        part = lines[first:end]
-        if len(part) > 1 and sum(bool(x.strip(BLANK)) for x in part) > 1:
-            out.append((first, end - first, "\n".join(part)))
-        first = end
-    return out
-
-
-@F.arrow_udf(T.ArrayType(CHUNK))
-def _chunks(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    kind = pa.list_(pa.struct([("first", pa.int64()), ("n", pa.int64()), ("digest", pa.binary())]))
-    for column in texts:
-        yield pa.array(
-            [
-                [{"first": f, "n": n, "digest": hashlib.sha256(t.encode()).digest()} for f, n, t in multi_line_chunks(x or "")]
-                for x in column.to_pylist()
-            ],
-            kind,
-        )
+    lines, out = text.split("\n"), {}
+    full = [bool(x.strip(BLANK)) for x in lines]
+    for ends in [chunk_bounds(lines), *more_bounds(lines, cuttings)]:
+        first = 0
+        for end in ends:
+            if end - first > 1 and (first, end) not in out and sum(full[first:end]) > 1:
+                out[first, end] = "\n".join(lines[first:end])
+            first = end
+    return [(first, end - first, part) for (first, end), part in out.items()]
+
+
+def _chunks(cuttings: int):
+    @F.arrow_udf(T.ArrayType(CHUNK))
+    def chunks(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        kind = pa.list_(pa.struct([("first", pa.int64()), ("n", pa.int64()), ("digest", pa.binary())]))
+        for column in texts:
+            yield pa.array(
+                [
+                    [
+                        {"first": f, "n": n, "digest": hashlib.sha256(t.encode()).digest()}
+                        for f, n, t in multi_line_chunks(x or "", cuttings)
+                    ]
+                    for x in column.to_pylist()
+                ],
+                kind,
+            )
+
+    return chunks.asNondeterministic()
 
 
 @F.arrow_udf(T.ArrayType(T.StringType()))
@@ -92,7 +113,7 @@ def _same_row(left: str, right: str) -> Column:
     return (F.col(f"{left}.text_hash") == F.col(f"{right}.text_hash")) & ids
 
 
-def repeated_chunks(docs: DataFrame, folder: str | None = None) -> DataFrame:
+def repeated_chunks(docs: DataFrame, folder: str | None = None, cuttings: int = 0) -> DataFrame:
     """``doc_id, text_hash, removed``: the runs ``first, n`` of lines to remove from a text.
 
     Chunks are compared over all documents; the first occurrence by ``doc_id`` (null first),
@@ -102,7 +123,7 @@ def repeated_chunks(docs: DataFrame, folder: str | None = None) -> DataFrame:
     folder = folder or work_folder(docs.sparkSession)
     rows = docs.where(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     chunks = stored(
-        rows.select("doc_id", "text_hash", F.explode(_chunks.asNondeterministic()("text")).alias("c")).select(
+        rows.select("doc_id", "text_hash", F.explode(_chunks(cuttings)("text")).alias("c")).select(
             "doc_id", "text_hash", "c.*"
         ),
         folder,
@@ -144,7 +165,7 @@ def repeated_chunks(docs: DataFrame, folder: str | None = None) -> DataFrame:
     )
 
 
-def dedup_lines(docs: DataFrame, folder: str | None = None) -> DataFrame:
+def dedup_lines(docs: DataFrame, folder: str | None = None, cuttings: int = 0) -> DataFrame:
     """``docs`` with repeated multi-line chunks taken out of ``text``; and ``removed``.
 
     ``removed`` lists the runs ``first, n`` of lines that went, empty where nothing did. What
@@ -152,8 +173,10 @@ def dedup_lines(docs: DataFrame, folder: str | None = None) -> DataFrame:
     its row stays. Null and empty texts, single lines and chunks with fewer than two lines
     that are not blank never change. Rows that repeat both id and text change alike. An empty
     table stays empty; other columns stay (a column ``removed`` is replaced).
+
+    ``cuttings`` is the number of further cuttings of each text; their runs may overlap.
     """
-    found = repeated_chunks(docs, folder)
+    found = repeated_chunks(docs, folder, cuttings)
     columns = [c for c in docs.columns if c != "removed"]
     runs = F.coalesce(F.col("r.removed"), F.array().cast("array<struct<first:bigint,n:bigint>>"))
     same = (F.xxhash64("d.text") == F.col("r.text_hash")) & F.col("d.doc_id").eqNullSafe(F.col("r.doc_id"))
