@@ -1,3 +1,4 @@
+import inspect
 import random
 
 import numpy as np
@@ -78,3 +79,7 @@ def test_held_out_accuracy(spark):
     hit = sum(r["predicted"] and r["toxic"] for r in rows)
     assert hit / sum(r["predicted"] for r in rows) > 0.9
     assert hit / sum(r["toxic"] for r in rows) > 0.8
+
+
+def test_as_many_labels_are_read_as_before():
+    assert inspect.signature(X.fit_toxicity).parameters["max_labelled"].default == 8_000
