@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, lines, neardup, packing, quality, secrets, substrings, suffixes, toxicity
+from . import chat, decontam, exactdup, lines, neardup, packing, quality, secrets, substrings, suffixes, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -161,6 +161,11 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exactdup.exact_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
 _WORDS_5 = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -258,6 +263,16 @@ SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_
 FROM w LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)
 """
 
+OP13_SQL = r"""
+WITH n AS (
+  SELECT doc_id, length(coalesce(text, '')) AS points, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS form
+  FROM documents
+)
+SELECT doc_id, first_value(doc_id) OVER longest AS keep_id, count(*) OVER (PARTITION BY form) AS group_size,
+  row_number() OVER longest = 1 AS kept, sha256(form) AS text_sha256
+FROM n WINDOW longest AS (PARTITION BY form ORDER BY points DESC, doc_id)
+"""
+
 _QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -271,6 +286,7 @@ _QUERIES: dict[str, Query] = {
         op8_chat_formatting,
         op9_suffix_array_dedup,
         op10_secret_scan,
+        op13_exact_dedup,
     )
 }
 _SQL = {
@@ -278,6 +294,7 @@ _SQL = {
     "op3_line_dedup": OP3_SQL,
     "op5_decontamination": OP5_SQL,
     "op8_chat_formatting": OP8_SQL,
+    "op13_exact_dedup": OP13_SQL,
 }
 
 
