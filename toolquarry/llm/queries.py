@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, exactdup, lines, neardup, packing, quality, secrets, substrings, suffixes, toxicity
+from . import chat, decontam, divergence, exactdup, lines, neardup, packing, quality, secrets, substrings, suffixes, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -161,6 +161,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exactdup.exact_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -263,6 +267,40 @@ SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_
 FROM w LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)
 """
 
+OP12_SQL = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents
+), k AS (
+  SELECT lang, term FROM d GROUP BY lang, term HAVING count(DISTINCT id) >= 3
+), groups AS (
+  SELECT DISTINCT coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents
+), c AS (
+  SELECT lang, source, term, count(*) AS n FROM d SEMI JOIN k USING (lang, term) GROUP BY lang, source, term
+), a AS (
+  SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n, CAST(1000000000 AS HUGEINT) AS e,
+    sum(coalesce(n, 0)) OVER (PARTITION BY g.lang, g.source) + count(*) OVER (PARTITION BY g.lang, g.source) AS whole,
+    sum(coalesce(n, 0)) OVER (PARTITION BY g.lang, k.term) AS lang_n
+  FROM groups g JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), t AS (
+  SELECT lang, sum(n) + count(DISTINCT term) AS lang_whole FROM a GROUP BY lang
+), p AS (
+  SELECT lang, source, term, n, 1 + e * (n + 1) // whole AS p, 1 + e * (lang_n + 1) // lang_whole AS q FROM a JOIN t USING (lang)
+), pairs AS (
+  SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // y.p) AS value
+  FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL
+), every AS (
+  SELECT g.lang, g.source, 'pair' AS part, h.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM groups g JOIN groups h ON g.lang = h.lang AND g.source <> h.source
+    LEFT JOIN pairs v ON v.lang = g.lang AND v.source = g.source AND v.item = h.source
+  UNION ALL SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // q AS BIGINT) FROM p WHERE n > 0 AND p > q
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM every
+)
+SELECT * FROM r WHERE part = 'pair' OR rank <= 200
+"""
+
 OP13_SQL = r"""
 WITH n AS (
   SELECT doc_id, length(coalesce(text, '')) AS points, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS form
@@ -286,6 +324,7 @@ _QUERIES: dict[str, Query] = {
         op8_chat_formatting,
         op9_suffix_array_dedup,
         op10_secret_scan,
+        op12_source_divergence,
         op13_exact_dedup,
     )
 }
@@ -294,6 +333,7 @@ _SQL = {
     "op3_line_dedup": OP3_SQL,
     "op5_decontamination": OP5_SQL,
     "op8_chat_formatting": OP8_SQL,
+    "op12_source_divergence": OP12_SQL,
     "op13_exact_dedup": OP13_SQL,
 }
 
