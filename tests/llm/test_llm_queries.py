@@ -20,7 +20,7 @@ def sql():
 
 def test_one_query_per_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in llm.queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert "pipeline" in driver.queries()
 
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, divergence, exactdup, lines, neardup, packing, quality, secrets, substrings, suffixes, toxicity
+from . import chat, decontam, divergence, exactdup, lines, neardup, packing, quality, secrets, spelling, substrings, suffixes, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -161,6 +161,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(_table(spark, sf_dir, "documents"))
 
@@ -267,6 +271,45 @@ SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_
 FROM w LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)
 """
 
+# crc32 is computed from its polynomial, byte by byte.
+OP11_SQL = rf"""
+WITH RECURSIVE crc AS MATERIALIZED (
+  SELECT list_transform(range(256), lambda x: list_reduce(list_prepend(x, range(8)),
+    lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+), runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[a-z\x{{C0}}-\x{{FF}}]+')) AS run
+  FROM documents
+), placed AS (
+  SELECT run, hex(encode(doc_id::VARCHAR || ':' || run)) AS x, count(*) AS n FROM runs GROUP BY run, x
+), hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+    list_transform(range(1, length(x), 2), lambda i: ('0x' || substr(x, i, 2))::BIGINT)),
+    lambda c, v: xor(c >> 8, t[xor(c, v) % 256 + 1]))) AS h
+  FROM placed, crc
+), words AS (
+  SELECT CASE WHEN h % 199 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+    CAST(sum(n) AS BIGINT) AS n
+  FROM hashed GROUP BY 1 HAVING length(word) >= 6 AND sum(n) >= 5
+), cut AS (
+  SELECT word, i, left(word, i - 1) AS a, substr(word, i + 1) AS b FROM words, unnest(range(1, length(word) + 1)) AS t(i)
+), near AS (
+  SELECT x.word, y.word AS near FROM cut x JOIN cut y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+  UNION SELECT cut.word, words.word FROM cut JOIN words ON cut.a || cut.b = words.word
+  UNION SELECT words.word, cut.word FROM cut JOIN words ON cut.a || cut.b = words.word
+), best AS (
+  SELECT near.word, count(*) AS n_near, arg_min(near, (-n, near)) AS form, max(n) AS form_n
+  FROM near JOIN words ON words.word = near.near GROUP BY near.word
+), forms AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 5 * n THEN form END AS form,
+    CASE WHEN form_n >= 5 * n THEN form_n END AS form_n
+  FROM words LEFT JOIN best USING (word)
+), ways AS (
+  SELECT word, form, word AS root FROM forms
+  UNION ALL SELECT ways.word, forms.form, forms.word FROM ways JOIN forms ON ways.form = forms.word
+)
+SELECT forms.word, forms.form, root, n, n_near, form_n FROM forms JOIN ways ON ways.word = forms.word AND ways.form IS NULL
+"""
+
 OP12_SQL = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
@@ -324,6 +367,7 @@ _QUERIES: dict[str, Query] = {
         op8_chat_formatting,
         op9_suffix_array_dedup,
         op10_secret_scan,
+        op11_spelling_variants,
         op12_source_divergence,
         op13_exact_dedup,
     )
@@ -333,6 +377,7 @@ _SQL = {
     "op3_line_dedup": OP3_SQL,
     "op5_decontamination": OP5_SQL,
     "op8_chat_formatting": OP8_SQL,
+    "op11_spelling_variants": OP11_SQL,
     "op12_source_divergence": OP12_SQL,
     "op13_exact_dedup": OP13_SQL,
 }
