@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions import literal, lookup, parameters_json, trimmed
 from ..schemas import EMPTY_PARAMETERS, struct
-from .brackets import PARENS, QUOTED, closing
+from .brackets import PARENS, QUOTED, bracket_index, closing
 from .per_file import parsed
 
 # JSON type by Java type; all else is a string.
@@ -60,13 +60,14 @@ def _plain_params(text):
 
 def _find(text):
     rows, at, method = [], -1, None
+    index, last = bracket_index(text, PARENS), text.rfind(")")
     for mark in _ANNOTATION.finditer(text):
         if at < mark.end():  # else the method found before still lies ahead
             method = _METHOD.search(text, mark.end())
             at = method.start() if method else len(text)
         row = {"arguments": mark[1], "method": None, "params": None}
         if method:
-            end = closing(text, method.end() - 1, PARENS) or text.find(")", method.end()) + 1
+            end = closing(text, method.end() - 1, PARENS, index) or (method.end() <= last and text.find(")", method.end()) + 1)
             if end:
                 row["method"] = method[1]
                 row["params"] = _plain_params(text[method.end() : end - 1])
