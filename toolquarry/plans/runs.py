@@ -3,7 +3,7 @@
 from collections.abc import Iterable
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ..functions import stored
 from ..operators.catalog import merge_tools, nameless_entries
@@ -80,8 +80,9 @@ def catalog_from_tree(
         skipped_files(scanned).write.mode("overwrite").parquet(skipped_path)
     existing = read_catalog(spark, catalog_path, missing_ok=True, fmt=fmt)
     dropped = nameless_entries(existing).head()["nameless"]
-    catalog = save_catalog(merge_tools(existing, tool_defs(scanned)), catalog_path, fmt)
-    return CatalogRun(catalog, catalog.count(), dropped)
+    counted = Observation()  # entries are counted while they are written
+    catalog = save_catalog(merge_tools(existing, tool_defs(scanned)), catalog_path, fmt, counted)
+    return CatalogRun(catalog, counted.get["entries"], dropped)
 
 
 def samples_from_catalog(

@@ -5,6 +5,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import let, quoted
+from ..functions.places import recover
 from ..schemas import CATALOG
 
 _STRICT = {"allowSingleQuotes": "false"}
@@ -59,8 +60,10 @@ def read_catalog(
     """Read a catalog: one JSON array in a file, or a Parquet folder.
 
     A JSON array is one document and is read as one row. Keep large catalogs as
-    Parquet. With ``missing_ok`` a path that does not exist is an empty catalog.
+    Parquet. With ``missing_ok`` a path that does not exist is an empty catalog. A version that
+    a killed run had moved aside and not replaced is taken up again.
     """
+    recover(spark, path)
     try:
         if catalog_format(path, fmt) == "json":
             return parse_catalog(spark.read.text(path, wholetext=True))

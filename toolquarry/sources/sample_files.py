@@ -8,6 +8,7 @@ from ..functions import trimmed
 from ..schemas import SAMPLES
 
 _STRICT = {"allowSingleQuotes": "false"}
+IDS = "id STRING, part STRING"
 
 
 def read_samples(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
@@ -27,10 +28,13 @@ def _only_object(line: Column, fields: str) -> Column:
     return F.when(one, F.get(items, F.lit(0)))
 
 
-def parse_lines(lines: DataFrame, fields: str) -> DataFrame:
-    """Fields of the objects among ``lines`` (``value``); all other lines are passed over."""
+def parse_lines(lines: DataFrame, fields: str, *keys: str) -> DataFrame:
+    """Fields of the objects among ``lines`` (``value``); all other lines are passed over.
+
+    ``keys`` are columns to carry along.
+    """
     found = _only_object(F.expr(trimmed("value")), fields)
-    return lines.select(found.alias("o")).filter(F.col("o").isNotNull()).select("o.*")
+    return lines.select(found.alias("o"), *keys).filter(F.col("o").isNotNull()).select("o.*", *keys)
 
 
 def read_valid_samples(spark: SparkSession, path: str) -> DataFrame:
@@ -56,3 +60,13 @@ def known_ids(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
         if e.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], "id STRING")
         raise
+
+
+def ids_by_part(spark: SparkSession, files: list[str], fmt: str = "json") -> DataFrame:
+    """``id, part``: the ids in some sample files, with the name of the file that holds them."""
+    part = F.col("_metadata.file_name").alias("part")
+    if fmt == "parquet":
+        found = spark.read.parquet(*files).select("id", part)
+    else:
+        found = parse_lines(spark.read.text(files).select("value", part), "id: string", "part")
+    return found.filter(F.col("id").isNotNull())
