@@ -1,0 +1,131 @@
+"""The ``srctree`` data source."""
+
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from toolquarry.operators.extract import extract_tools
+from toolquarry.operators.files import DEFAULT_EXCLUDES, FILE_TYPES, drop_excluded
+from toolquarry.sources import load_tree, not_below, read_tree
+from toolquarry.sources.tree_source import Files, SourceTreeReader
+
+PUSH = "spark.sql.python.filterPushdown.enabled"
+TYPES = [e for exts in FILE_TYPES.values() for e in exts]
+
+
+@pytest.fixture
+def pushing(spark):
+    spark.conf.set(PUSH, "true")
+    yield
+    spark.conf.unset(PUSH)
+
+
+@pytest.fixture
+def tree(folder):
+    files = {
+        "one/__init__.py": "@tool\ndef a(): pass\n",
+        "one/.hidden/b.py": "@tool\ndef b(): pass\n",
+        "one/build/c.py": "@tool\ndef c(): pass\n",
+        "one/builder/d.ts": "tool('d', {})",
+        "one/x/node_modules/e.js": "tool('e', {})",
+        "two/F.java": '@Tool(name = "f")\npublic void m(int a) {}',
+        "two/data.json": "{}",
+        "two/empty.py": "",
+        "stray.py": "@tool\ndef g(): pass\n",
+    }
+    for path, text in files.items():
+        target = Path(folder, "src", path)
+        target.parent.mkdir(parents=True, exist_ok=True)
+        target.write_text(text)
+    return f"{folder}/src"
+
+
+def rows(df):
+    return sorted((r["project"], r["path"], bytes(r["content"])) for r in df.collect())
+
+
+def tools(files):
+    return sorted(map(str, extract_tools(files.select("project", "path", "content")).collect()))
+
+
+def test_same_files_as_read_tree(spark, tree, folder):
+    loaded = load_tree(spark, tree, f"{folder}/work", files=2)
+    assert loaded.columns == ["project", "path", "parts", "ext", "length", "content"]
+    assert rows(loaded) == rows(read_tree(spark, tree, f"{folder}/work"))
+    mine = load_tree(spark, f"{tree}/one", f"{folder}/work", project="mine")
+    assert {(r["project"], r["path"]) for r in mine.collect()} >= {("mine", "__init__.py"), ("mine", "builder/d.ts")}
+
+
+def test_same_tools(spark, tree, folder):
+    want = tools(drop_excluded(read_tree(spark, tree, f"{folder}/work")))
+    assert len(want) == 5
+    loaded = load_tree(spark, tree, f"{folder}/work", DEFAULT_EXCLUDES, TYPES)
+    assert tools(loaded) == want
+    assert not {r["path"] for r in loaded.collect()} & {"build/c.py", "x/node_modules/e.js", "data.json"}
+    # one load may stand in a query several times
+    both = loaded.where("ext = 'py'").select("path").join(loaded.where("ext = 'ts'").select(F.col("path").alias("other")))
+    assert {(r["path"], r["other"]) for r in both.collect()} == {(p, "builder/d.ts") for p in ("__init__.py", ".hidden/b.py", "empty.py", "stray.py")}
+
+
+def test_pushed_filters_stand_in_the_plan(spark, tree, folder, pushing):
+    loaded = load_tree(spark, tree, f"{folder}/work", push=True).where(not_below(*DEFAULT_EXCLUDES)).where(F.col("ext").isin(TYPES))
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    plan = loaded._jdf.queryExecution().explainString(mode)
+    assert "PushedFilters" in plan and "/node_modules/" in plan
+    assert "Filter" not in plan.replace("PushedFilters", "")  # nothing is left to Spark
+    assert tools(loaded) == tools(drop_excluded(read_tree(spark, tree, f"{folder}/work")))
+
+
+@pytest.mark.parametrize("push", [True, False])
+def test_filtered_files_are_not_opened(spark, tree, folder, pushing, push):
+    few = load_tree(spark, tree, f"{folder}/work", () if push else ["build"], push=push)
+    Path(tree, "one", "build", "c.py").unlink()  # after the listing
+    assert few.where(not_below("build")).count() == 8
+    with pytest.raises(Exception, match="__init__.py"):
+        every = load_tree(spark, tree, f"{folder}/work")
+        Path(tree, "one", "__init__.py").unlink()
+        every.count()
+
+
+CONDITIONS = [
+    "ext = 'py'", "ext <> 'py'", "ext IN ('ts', 'java', 'none')", "NOT ext IN ('ts')", "length > 18 AND length <= 30", "length = 0",
+    "path LIKE '%.js'", "path LIKE 'x/%'", "project = 'two' OR ext = 'ts'", "ext IS NOT NULL", "ext IS NULL", "length < size(split(path, ''))",
+    "NOT contains(parts, '/build/') AND NOT startswith(path, '.')", "ext IN ('py', NULL)", "ext = NULL", "length >= 1 AND content IS NOT NULL",
+]
+
+
+def test_pushed_and_plain_filters_agree(spark, tree, folder, pushing):
+    plain = load_tree(spark, tree, f"{folder}/work", files=3)
+    results = [rows(plain.where(c)) for c in CONDITIONS]
+    (listing,) = Path(folder, "work").glob("listing-*")
+    source = spark.read.format("srctree").options(listing=str(listing), root=tree, files=3, push=True)
+    assert results == [rows(source.load().where(c)) for c in CONDITIONS]
+    assert sum(map(bool, results)) >= 11
+
+
+def test_a_flat_folder_of_many_files_makes_many_partitions(spark, folder):
+    listing = f"{folder}/listing"
+    files = spark.range(100_000).select(
+        F.lit("p").alias("project"), F.format_string("f%d.py", "id").alias("path"), F.format_string("/r/f%d.py", "id").alias("uri"), F.col("id").alias("length")
+    )
+    files.coalesce(1).write.parquet(listing)
+    planned = [p.value for p in SourceTreeReader({"root": "/r", "listing": listing}).partitions()]
+    assert len(planned) >= 100 and max(p.n for p in planned) <= 1000
+    assert sum(p.n for p in planned) == 100_000 and len(set(planned)) == len(planned)
+    assert all(isinstance(p, Files) for p in planned)
+
+
+def test_files_of_one_folder_are_read_by_several_tasks(spark, folder):
+    Path(folder, "src", "one").mkdir(parents=True)
+    for i in range(300):
+        Path(folder, "src", "one", f"f{i}.py").write_text(f"{i}")
+    loaded = load_tree(spark, f"{folder}/src", f"{folder}/work", files=40)
+    sizes = loaded.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"))
+    sizes = [r["n"] for r in sizes.collect()]
+    assert sum(sizes) == 300 and len(sizes) >= 8 and max(sizes) <= 40
+
+
+def test_an_empty_tree(spark, folder):
+    Path(folder, "src").mkdir()
+    assert load_tree(spark, f"{folder}/src", f"{folder}/work").count() == 0

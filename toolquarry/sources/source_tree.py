@@ -8,7 +8,7 @@ evenly before any file is opened.
 """
 
 import os
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyarrow import fs
@@ -23,7 +23,8 @@ _BATCH_BYTES = 32 * 1024 * 1024
 _LISTED = "path STRING, uri STRING, length BIGINT, is_folder BOOLEAN"
 
 
-def _open(uri):
+def open_root(uri: str):
+    """File system and plain path of a folder."""
     if "://" in uri:
         return fs.FileSystem.from_uri(uri)
     return fs.LocalFileSystem(), os.path.abspath(uri)
@@ -48,7 +49,7 @@ def _lister(root: str, excludes: frozenset, prune_from: int):
                 yield path, info.path, None, True
 
     def listing(batches):
-        filesystem, base = _open(root)
+        filesystem, base = open_root(root)
         for batch in batches:
             for folder in batch.column(0).to_pylist():
                 rows = []
@@ -85,7 +86,7 @@ def list_tree(
     A root that does not exist is an error. Every level is stored below ``work_path``, which
     all machines share; ``tasks`` list a level.
     """
-    filesystem, base = _open(root)
+    filesystem, base = open_root(root)
     if filesystem.get_file_info(base).type != fs.FileType.Directory:
         raise FileNotFoundError(f"{root} is not a folder")
     tasks = tasks or 2 * spark.sparkContext.defaultParallelism
@@ -110,6 +111,20 @@ def list_tree(
     )
 
 
+def with_contents(filesystem, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Add ``content`` to listed files (``uri``), as batches of bounded size."""
+    contents, held, begin = [], 0, 0
+    for i, uri in enumerate(batch.column("uri")):
+        with filesystem.open_input_stream(uri.as_py()) as stream:
+            contents.append(stream.read())
+        held += len(contents[-1])
+        if held >= _BATCH_BYTES or i + 1 == batch.num_rows:
+            part = batch.slice(begin, i + 1 - begin)
+            column = pa.array(contents, type=pa.binary())
+            yield pa.RecordBatch.from_arrays([*part.columns, column], [*part.schema.names, "content"])
+            contents, held, begin = [], 0, i + 1
+
+
 def read_contents(paths: DataFrame, root: str, partitions: int | None = None) -> DataFrame:
     """Add ``content`` to listed files.
 
@@ -121,18 +136,9 @@ def read_contents(paths: DataFrame, root: str, partitions: int | None = None) ->
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def read(batches):
-        filesystem, _ = _open(root)
+        filesystem, _ = open_root(root)
         for batch in batches:
-            contents, held, begin = [], 0, 0
-            for i, uri in enumerate(batch.column("uri")):
-                with filesystem.open_input_stream(uri.as_py()) as stream:
-                    contents.append(stream.read())
-                held += len(contents[-1])
-                if held >= _BATCH_BYTES or i + 1 == batch.num_rows:
-                    part = batch.slice(begin, i + 1 - begin)
-                    column = pa.array(contents, type=pa.binary())
-                    yield pa.RecordBatch.from_arrays([*part.columns, column], [*part.schema.names, "content"])
-                    contents, held, begin = [], 0, i + 1
+            yield from with_contents(filesystem, batch)
 
     wanted = paths.select("project", "path", "uri", "length").repartition(partitions, "uri")
     return wanted.mapInArrow(read, SOURCE_PATHS + ", content BINARY")
