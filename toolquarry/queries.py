@@ -79,7 +79,10 @@ def _params(*fields: tuple[str, str], required: tuple[str, ...] | None = None) -
 
 
 def _part_files(spark: SparkSession, sf_dir: str, ext: str, content: Column) -> DataFrame:
-    files = _table(spark, sf_dir, "part").select(
+    """A source file per part. The few columns of part are spread before any text is made of them,
+    so that files are parsed by all tasks, however few splits the table has."""
+    parts = _table(spark, sf_dir, "part").repartition(spark.sparkContext.defaultParallelism, "p_partkey")
+    files = parts.select(
         F.col("p_brand").alias("project"),
         _text("src/f", F.col("p_partkey"), f".{ext}").alias("path"),
         content.cast("binary").alias("content"),
