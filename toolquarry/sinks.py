@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import stored
+from .functions.id_filter import id_filter
 from .functions.places import beside, file_system, join_parts, put, recover
 from .operators.catalog import sort_catalog
 from .operators.samples import new_samples, sample_json
@@ -123,19 +124,21 @@ def append_samples(
 
     For one writer at a time: two runs at once cannot see each other's ids. JSON lines have
     to be read whole for their ids. With ``ids_path`` the ids are kept there as Parquet too
-    (``index_ids``), so that every line is read for its id once. A run that dies, at whatever
-    step, may be repeated: samples that it stored count as stored, even if their ids were not
-    kept, and no sample with an id is stored twice. With ``work_path`` the new samples are
-    stored there first.
+    (``index_ids``), so that every line is read for its id once, and only ids that a Bloom filter
+    of the new ones lets through take part in the join. A run that dies, at whatever step, may
+    be repeated: samples that it stored count as stored, even if their ids were not kept, and
+    no sample with an id is stored twice. The samples are worked out twice, for their ids and for
+    writing them; with ``work_path`` once, and stored there.
     """
     spark = samples.sparkSession
     if ids_path is None:
         _write(new_samples(samples, known_ids(spark, path, fmt)), path, fmt, "append")
         return
-    fresh = new_samples(samples, index_ids(spark, path, ids_path, fmt))
+    known = index_ids(spark, path, ids_path, fmt)
     if work_path is not None:
-        fresh = stored(fresh, work_path, "fresh")
-    _write(fresh, path, fmt, "append")
+        samples = stored(samples, work_path, "samples")
+    known = known.where(id_filter(samples)("id"))
+    _write(new_samples(samples, known), path, fmt, "append")
     index_ids(spark, path, ids_path, fmt)
 
 
