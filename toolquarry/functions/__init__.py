@@ -5,7 +5,7 @@ thousands of calls into the JVM per plan; a text is one.
 """
 
 from .json_text import json_items, last_values, parameters_json, quoted
-from .lineage import stored
+from .lineage import stored, work_folder
 from .text import blank_to_null, let, literal, lookup, token_count, trimmed, unix_newlines
 
 __all__ = [
@@ -21,4 +21,5 @@ __all__ = [
     "token_count",
     "trimmed",
     "unix_newlines",
+    "work_folder",
 ]

@@ -9,17 +9,17 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions import unix_newlines
+from .functions import unix_newlines, work_folder
 from .operators import catalog as C
 from .operators import extract as X
 from .operators import files as S
 from .operators import samples as G
 from .operators import training_text as R
 from .operators.java_tools import json_type
-from .schemas import CATALOG, EMPTY_PARAMETERS
-from .sinks import catalog_lines
+from .schemas import CATALOG, EMPTY_PARAMETERS, MESSAGE
+from .sinks import append_samples, catalog_lines, save_catalog, save_samples
 from .sources import parse_catalog
-from .sources.sample_files import line_ids
+from .sources.sample_files import line_ids, read_samples
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -678,8 +678,12 @@ _GENERATED_SQL = (
 
 @_query(_GENERATED_SQL)
 def generated_samples(spark, sf_dir):
+    return _sample_fields(G.generate_samples(_merged(spark, sf_dir)))
+
+
+def _sample_fields(samples):
     messages = [F.expr(G.message_json(f"messages[{i}]")) for i in range(4)]
-    return G.generate_samples(_merged(spark, sf_dir)).select(
+    return samples.select(
         "id",
         F.array_join("tool_names", ",").alias("tool_names"),
         F.col("messages")[0]["content"].alias("asked"),
@@ -697,6 +701,45 @@ def sample_lines(spark, sf_dir):
     return samples.select(G.sample_json(samples).alias("line"))
 
 
+@_query(_MERGED_SQL)
+def stored_catalog(spark, sf_dir):
+    """The merged catalog, written as one JSON array in two steps and read back."""
+    path = f"{work_folder(spark)}/tools.json"
+    merged = _merged(spark, sf_dir)
+    first = save_catalog(merged.where("name < 't3'"), path)
+    rest = merged.where("NOT name < 't3'").withColumn("ord", F.lit(0))
+    return save_catalog(first.unionByName(rest, allowMissingColumns=True), path).select("name", "description", "parameters")
+
+
+@_query(_GENERATED_SQL)
+def stored_samples(spark, sf_dir):
+    """Generated samples, written as JSON lines and read back."""
+    path = f"{work_folder(spark)}/samples"
+    save_samples(G.generate_samples(_merged(spark, sf_dir)), path)
+    return _sample_fields(read_samples(spark, path))
+
+
+@_query(
+    "WITH k AS (SELECT 'auto-' || p_partkey || '-1' AS id FROM part WHERE p_size % 2 = 0), "
+    "e AS (SELECT event_id, CASE WHEN event_id % 3 > 0 THEN 'auto-' || user_id || '-1' END AS id FROM events), "
+    "a AS (SELECT id FROM e WHERE event_id % 2 = 0 AND (id IS NULL OR id NOT IN (SELECT id FROM k))), "
+    "b AS (SELECT id FROM e WHERE event_id % 2 = 1 AND (id IS NULL OR id NOT IN "
+    "(SELECT id FROM k UNION ALL SELECT id FROM a WHERE id IS NOT NULL))) "
+    "SELECT id, count(*) AS n FROM (SELECT * FROM k UNION ALL SELECT * FROM a UNION ALL SELECT * FROM b) GROUP BY id"
+)
+def appended_samples(spark, sf_dir):
+    """Samples stored in one go, then two batches appended with a table of known ids."""
+    folder = work_folder(spark)
+    sample = lambda i: (i.alias("id"), F.array(F.lit("t")).alias("tool_names"), F.expr(f"CAST(array() AS ARRAY<{MESSAGE}>)").alias("messages"))
+    known = _table(spark, sf_dir, "part").where("p_size % 2 = 0")
+    save_samples(known.select(*sample(_text("auto-", F.col("p_partkey"), "-1"))), f"{folder}/samples")
+    event_id = F.when(F.col("event_id") % 3 > 0, _text("auto-", F.col("user_id"), "-1"))
+    for half in (0, 1):
+        batch = _table(spark, sf_dir, "events").where(f"event_id % 2 = {half}").select(*sample(event_id))
+        append_samples(batch, f"{folder}/samples", ids_path=f"{folder}/ids")
+    return read_samples(spark, f"{folder}/samples").groupBy("id").agg(F.count("*").alias("n"))
+
+
 @_query(
     "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN NULL ELSE 'auto-' || user_id || '-1' END AS id FROM events "
     "WHERE event_id % 3 = 0 OR user_id NOT IN (SELECT p_partkey FROM part WHERE p_size % 2 = 0)"
