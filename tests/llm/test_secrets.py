@@ -1,6 +1,7 @@
 import base64
 import json
 import re
+import time
 
 import pytest
 from hypothesis import given
@@ -61,6 +62,39 @@ def test_embedded_checks(text, kinds):
     assert [s[0] for s in S.find_secrets(text, AUTOMATON)] == kinds
 
 
+def plain_part(part):
+    try:
+        return isinstance(json.loads(base64.urlsafe_b64decode(part + "=" * (-len(part) % 4))), dict)
+    except ValueError:
+        return False
+
+
+def plain_signed(text):
+    spans, at = [], 0
+    for m in re.finditer("(?=eyJ)", text):
+        found = re.compile(r"(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+").match(text, m.start())
+        if m.start() >= at and found and plain_part(found[1]) and plain_part(found[2]):
+            at = found.end()
+            spans.append(("signed", m.start(), at))
+    return spans
+
+
+HEAD = jwt({"alg": "HS256"}).split(".")[0]
+LONG = jwt({"alg": "x" * 90, "n": [1.5, True, None, {"é": "\u1234"}] * 9}).split(".")[0]
+
+
+@given(st.lists(st.sampled_from([HEAD, LONG, "eyJ", ".", ".", "a", "-", " ", "eyJ9", LONG[:70], HEAD + "." + HEAD + ".s"]), max_size=9).map("".join))
+def test_signed_tokens_are_those_of_plain_restarts(text):
+    assert [s for s in S.find_secrets(text, AUTOMATON) if s[0] == "signed"] == plain_signed(text)
+
+
+@pytest.mark.parametrize("text", ["eyJ" * 340_000, "eyJ" * 340_000 + "." + HEAD + ".s", "eyJa" * 250_000 + ".eyJ", "eyJ." * 250_000])
+def test_long_runs_take_a_moment(text):
+    began = time.process_time()
+    S.find_secrets(text, AUTOMATON)
+    assert time.process_time() - began < 10  # plain restarts take many minutes
+
+
 def test_table(documents):
     long = "prose words here " * 30_000 + "token = abcdefgh"
     rows = [(1, None), (2, ""), (3, "Üé password: hunter2hunter2"), (3, "Üé password: hunter2hunter2"), (4, long), (None, "x")]

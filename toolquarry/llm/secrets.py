@@ -32,7 +32,8 @@ HEX_WORDS = tuple(map("".join, itertools.product("0123456789abcdef", repeat=4)))
 # Tokens that end in six base-62 digits of the CRC-32 of their middle.
 CHECKED = re.compile(r"(?:gh[pousr]|npm)_([0-9A-Za-z]{30})([0-9A-Za-z]{6})(?![0-9A-Za-z])")
 CHECKED_WORDS = ("ghp_", "gho_", "ghu_", "ghs_", "ghr_", "npm_")
-SIGNED = re.compile(r"(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+")
+SIGNED_HEAD = re.compile(r"[A-Za-z0-9_-]+")
+SIGNED_TAIL = re.compile(r"\.(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+")
 PRIVATE = re.compile(r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----")
 BASE62 = string.digits + string.ascii_uppercase + string.ascii_lowercase
 
@@ -51,10 +52,27 @@ def crc_digits(middle: str) -> str:
     return digits
 
 
-def _json_part(part: str) -> bool:
+_LOOK = 64  # characters that tell most parts that are no JSON
+
+
+def _begins_json(part: str) -> bool:
+    """False if the first ``_LOOK`` characters of a part show that it is no JSON."""
+    start = base64.urlsafe_b64decode(part).decode(errors="replace")
+    try:
+        json.loads(start)
+    except json.JSONDecodeError as e:
+        # What the cut may have caused proves nothing: an open string, or anything near the end.
+        return e.msg.startswith("Unterminated") or e.pos > len(start) - 16
+    return False  # a whole document, and more after it
+
+
+def _json_part(text: str, start: int, end: int) -> bool:
     try:
+        if end - start > _LOOK and not _begins_json(text[start : start + _LOOK]):
+            return False
+        part = text[start:end]
         return isinstance(json.loads(base64.urlsafe_b64decode(part + "=" * (-len(part) % 4))), dict)
-    except ValueError:
+    except (ValueError, RecursionError):
         return False
 
 
@@ -84,6 +102,7 @@ def find_secrets(text: str, automaton) -> list[tuple[str, int, int]]:
         lowered = text.translate(_LOWER)
     spans = []
     over = dict.fromkeys(KINDS, 0)  # no match of a kind begins before the end of its last
+    head_end, tail = 0, None  # of the run of base-64 letters that signed tokens begin in
     for last, (kind, size) in automaton.iter(lowered):
         start = last + 1 - size
         if start < over[kind]:
@@ -113,10 +132,19 @@ def find_secrets(text: str, automaton) -> list[tuple[str, int, int]]:
                 over[kind] = match.end()
                 spans.append((kind, start, match.end()))
         elif kind == "signed":
-            match = SIGNED.match(text, start)
-            if match is not None and _json_part(match[1]) and _json_part(match[2]):
-                over[kind] = match.end()
-                spans.append((kind, start, match.end()))
+            if not text.startswith("eyJ", start):
+                continue
+            if start >= head_end:
+                # What follows a run is the same for all tokens that could begin in it.
+                head_end = SIGNED_HEAD.match(text, start).end()
+                tail = SIGNED_TAIL.match(text, head_end)
+                if tail is not None and not _json_part(text, *tail.span(1)):
+                    tail = None
+            if tail is None:
+                over[kind] = head_end
+            elif head_end - start > 3 and _json_part(text, start, head_end):
+                over[kind] = tail.end()
+                spans.append((kind, start, tail.end()))
         elif (match := PRIVATE.match(text, start)) is not None:
             over[kind] = match.end()
             spans.append((kind, start, match.end()))
