@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import literal, quoted, token_count
+from ..functions.positions import numbered_within
 from ..schemas import MESSAGE, TOOL_CALL
 
 # Fixed value: the message put in front of a conversation that brings none.
@@ -44,7 +45,7 @@ def assemble_turns(turns: DataFrame, span: int) -> DataFrame:
     one row can hold. Read the parts in order to get a conversation back. ``first`` marks its
     part with the lowest turn, found by a minimum that reads no text. Turns should be
     numbered densely: gaps give more parts and lose nothing. A null turn counts as 0, and
-    turns of equal numbers are ordered by role and text.
+    turns of equal numbers are ordered by role and text; many of them are for ``number_turns``.
     """
     part = F.floor(F.coalesce("turn", F.lit(0)) / span).cast("bigint")
     rows = turns.select("conv_id", part.alias("part"), "turn", "role", "text")
@@ -66,6 +67,17 @@ def assemble_turns(turns: DataFrame, span: int) -> DataFrame:
     )
 
 
+def number_turns(turns: DataFrame, work_path: str) -> DataFrame:
+    """``turns`` with dense turn numbers, so that ``assemble_turns`` cuts parts by position.
+
+    Turns are numbered from 0 in the order of their own numbers (null first), roles and texts,
+    within each conversation: null, equal and sparse numbers split into parts of ``span`` turns
+    like others. The sorted turns are kept below ``work_path``.
+    """
+    numbered = numbered_within(turns, ["conv_id"], [F.asc_nulls_first("turn"), "role", "text"], work_path, "_number")
+    return numbered.withColumn("turn", F.col("_number")).drop("_number")
+
+
 # ---- samples ------------------------------------------------------------------------
 
 

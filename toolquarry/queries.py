@@ -789,6 +789,17 @@ _CHAT_SQL = (
 )
 
 
+@_query(
+    "SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn // 2 NULLS FIRST, role, text) - 1 AS turn, role, text "
+    "FROM (SELECT conv_id, CASE WHEN turn % 3 > 0 THEN turn END AS turn, role, text FROM conversations)"
+)
+def numbered_turns(spark, sf_dir):
+    """Null and equal turn numbers made dense."""
+    odd = F.when(F.col("turn") % 3 > 0, F.floor(F.col("turn") / 2))
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", odd.alias("turn"), "role", "text")
+    return R.number_turns(turns, work_folder(spark))
+
+
 @_query(f"SELECT id, part, text FROM ({_CHAT_SQL})")
 def chat_text(spark, sf_dir):
     """Flat turns: assembled in parts, instruction added to the first, rendered."""
