@@ -40,11 +40,11 @@ def seconds(find, text):
 
 
 CALLS = {
-    "unclosed": (node_tools._find, "tool(\"n\"\n"),
-    "unclosed in comments": (node_tools._find, "// tool('n'\n{ x([\n"),
-    "unclosed in quotes": (node_tools._find, "it's tool(\"n\" [ {\n"),
-    "nested": (node_tools._find, "tool([ 'n'\n"),
-    "methods": (java_tools._find, "@Tool\nvoid f(int a\n"),
+    "unclosed": (node_tools.find, "tool(\"n\"\n"),
+    "unclosed in comments": (node_tools.find, "// tool('n'\n{ x([\n"),
+    "unclosed in quotes": (node_tools.find, "it's tool(\"n\" [ {\n"),
+    "nested": (node_tools.find, "tool([ 'n'\n"),
+    "methods": (java_tools.find, "@Tool\nvoid f(int a\n"),
 }
 
 

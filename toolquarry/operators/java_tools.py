@@ -47,7 +47,7 @@ _BUILT = r'(?U)\bTool\s*\.\s*builder\s*\(\s*"([^"]+)"'
 _QUOTED = re.compile(QUOTED, re.DOTALL)
 _INNERMOST = re.compile(r"\([^()]*\)|<[^<>]*>")
 
-_FOUND = struct(arguments=T.StringType(), method=T.StringType(), params=T.StringType())
+FOUND = struct(arguments=T.StringType(), method=T.StringType(), params=T.StringType())
 
 
 def _plain_params(text):
@@ -58,7 +58,7 @@ def _plain_params(text):
     return text
 
 
-def _find(text):
+def find(text):
     rows, at, method = [], -1, None
     index, last = bracket_index(text, PARENS), text.rfind(")")
     for mark in _ANNOTATION.finditer(text):
@@ -75,7 +75,7 @@ def _find(text):
     return rows
 
 
-parse = parsed(_find, _FOUND)
+parse = parsed(find, FOUND)
 
 
 def may_hold_tools(text: str) -> str:

@@ -11,11 +11,12 @@ from pyspark.sql.pandas.types import to_arrow_type
 from ..schemas import struct
 
 
-def parsed(find, found: T.StructType):
+def parsed(find, found: T.StructType, once: bool = True):
     """Arrow UDF ``text -> struct<reason, detail, found: array<found>>``.
 
     ``find`` maps one text to a list of rows. A file that cannot be parsed becomes
-    a row with a reason; it never fails the task. Null texts stay null.
+    a row with a reason; it never fails the task. Null texts stay null. ``once`` keeps the
+    optimizer from copying it, which SQL functions cannot have.
     """
     shape = struct(reason=T.StringType(), detail=T.StringType(), found=T.ArrayType(found))
     arrow_shape = to_arrow_type(shape)
@@ -38,4 +39,4 @@ def parsed(find, found: T.StructType):
         return pa.array(rows, type=arrow_shape)
 
     # Evaluated once: a filter on its result must not run it a second time below.
-    return run.asNondeterministic()
+    return run.asNondeterministic() if once else run

@@ -44,7 +44,7 @@ ANNOTATION_TYPES = {
 _NESTING = (ast.stmt, ast.excepthandler, ast.match_case)
 
 _PARAM = struct(name=T.StringType(), annotation=T.StringType(), required=T.BooleanType())
-_FOUND = struct(
+FOUND = struct(
     name=T.StringType(), description=T.StringType(), params=T.ArrayType(_PARAM)
 )
 
@@ -100,7 +100,7 @@ def _statements(tree):
         waiting += [c for c in ast.iter_child_nodes(node) if isinstance(c, _NESTING)]
 
 
-def _find(text):
+def find(text):
     rows = []
     for fn in _statements(ast.parse(text)):
         if not isinstance(fn, ast.FunctionDef):
@@ -118,7 +118,7 @@ def _find(text):
     return rows
 
 
-parse = parsed(_find, _FOUND)
+parse = parsed(find, FOUND)
 
 
 def may_hold_tools(text: str) -> str:

@@ -20,6 +20,7 @@ from .schemas import CATALOG, EMPTY_PARAMETERS, MESSAGE
 from .sinks import append_samples, catalog_lines, save_catalog, save_samples
 from .sources import parse_catalog
 from .sources.sample_files import line_ids, read_samples
+from .table_functions import register_table_functions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -271,6 +272,17 @@ def skipped_files(spark, sf_dir):
     return X.skipped_files(scanned).select("path", "reason")
 
 
+def _found_in_sql(spark, files, function):
+    register_table_functions(spark)
+    query = f"SELECT f.path, t.name, t.description, t.parameters FROM {{files}} f, LATERAL {function}(CAST(f.content AS STRING)) t"
+    return spark.sql(query, files=files)
+
+
+@_query(_SQL["python_tools"])
+def sql_python_tools(spark, sf_dir):
+    return _found_in_sql(spark, _python_files(spark, sf_dir), "python_tools")
+
+
 _ANNOTATIONS = {
     "str": "string",
     "int": "integer",
@@ -318,6 +330,10 @@ def python_annotations(spark, sf_dir):
     )
 )
 def node_json_tools(spark, sf_dir):
+    return _found(_node_files(spark, sf_dir), "node")
+
+
+def _node_files(spark, sf_dir):
     size = F.col("p_size")
     schema = _pick(
         "p_partkey",
@@ -329,7 +345,7 @@ def node_json_tools(spark, sf_dir):
         "// it's a comment (\nserver.registerTool(\n  'n", F.col("p_partkey"), "',\n  {\n    /* }, */ description: \"",
         F.col("p_name"), "\",\n    inputSchema: ", schema, ",\n    note: `), }`\n  },\n  async (a) => ({ ok: [1, 2] })\n);\n",
     )
-    return _found(_part_files(spark, sf_dir, "ts", content), "node")
+    return _part_files(spark, sf_dir, "ts", content)
 
 
 @_query(
@@ -372,6 +388,10 @@ def node_zod_tools(spark, sf_dir):
     )
 )
 def java_annotated_tools(spark, sf_dir):
+    return _found(_java_files(spark, sf_dir), "java")
+
+
+def _java_files(spark, sf_dir):
     key = F.col("p_partkey")
     content = _pick(
         "p_partkey",
@@ -382,7 +402,17 @@ def java_annotated_tools(spark, sf_dir):
         _text("@Tool\n  @Override\n  protected static double m", key, "(double price) {}\n@ToolParam int x(int y) {}"),
         _text('@Tool(description = "', F.col("p_name"), '")\nvoid run() {}'),
     )
-    return _found(_part_files(spark, sf_dir, "java", content), "java")
+    return _part_files(spark, sf_dir, "java", content)
+
+
+@_query(_SQL["node_json_tools"])
+def sql_node_tools(spark, sf_dir):
+    return _found_in_sql(spark, _node_files(spark, sf_dir), "node_tools")
+
+
+@_query(_SQL["java_annotated_tools"])
+def sql_java_tools(spark, sf_dir):
+    return _found_in_sql(spark, _java_files(spark, sf_dir), "java_tools")
 
 
 @_query(
