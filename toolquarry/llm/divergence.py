@@ -27,7 +27,7 @@ LEAST_DOCS = 3
 SCALE = 1_000_000_000
 TOP = 200
 
-MERGE_ROWS = 1 << 20  # partial counts that a task holds
+MERGE_ROWS = 1 << 19  # partial counts that a task holds
 TILE = 512  # sources on one side of a matrix of pairs
 SHARD_ROWS = 1 << 18  # counts of one shard, as long as there are tasks for more shards
 BLOCK = 1 << 20  # cells of one matrix block
