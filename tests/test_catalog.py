@@ -8,7 +8,8 @@ from toolquarry.operators import catalog as C
 from toolquarry.schemas import CATALOG, EMPTY_PARAMETERS, TOOL_DEFS
 from toolquarry.sources import parse_catalog
 
-X = '{"type":"object","properties":{"x":{"type":"string"}},"required":["x"]}'
+X = '{"type":"object","properties":{"days":{"type":"array"},"lowest":{"type":"number"}},"required":["days"]}'
+Y = '{"type":"object","properties":{"days":{"type":"integer"}},"required":[]}'
 
 
 def existing(spark, *rows):
@@ -26,9 +27,10 @@ def merged(old, new):
     return [(r["name"], r["description"], r["parameters"]) for r in rows]
 
 
-def test_missing_fields_are_filled(spark):
-    old = existing(spark, ("t", "", None))
-    assert merged(old, incoming(spark, ("t", "desc", X))) == [("t", "desc", X)]
+def test_each_gap_is_filled_for_itself(spark):
+    old = existing(spark, ("tide", "High water", None), ("moon", None, Y), ("wind", "", "{}"), ("swell", "", X))
+    new = incoming(spark, ("wind", "", Y), ("moon", "Phases", X), ("tide", "Low water", Y), ("wind", "Gusts", X))
+    assert merged(old, new) == [("moon", "Phases", Y), ("swell", "", X), ("tide", "High water", Y), ("wind", "Gusts", Y)]
 
 
 def test_existing_wins_and_the_first_incoming_fills(spark):
@@ -79,17 +81,17 @@ def test_discovery_order_decides_between_incoming(spark):
     assert merged(existing(spark), new) == [("t", "nine", X)]
 
 
-def plain_merge(old, new):
-    """The merge by hand, row by row."""
-    catalog = {}
-    for name, description, parameters in old:
-        if name:
-            catalog[name] = [description, parameters]
-    for name, description, parameters in new:
-        entry = catalog.setdefault(name, [description, parameters])
-        entry[0] = entry[0] or description or entry[0]
-        entry[1] = entry[1] if entry[1] not in (None, "{}") else parameters
-    return [(n, *catalog[n]) for n in sorted(catalog)]
+def by_the_rule(old, new):
+    """The last existing value if it is filled, else the first filled incoming one, else what there is."""
+
+    def value(name, field, empty):
+        kept = [r[field] for r in old if r[0] == name][-1:]
+        offered = [r[field] for r in new if r[0] == name]
+        filled = [v for v in kept + offered if v not in empty]
+        return (filled or kept or offered)[0]
+
+    names = {r[0] for r in old + new} - {None, ""}
+    return [(n, value(n, 1, (None, "")), value(n, 2, (None, "{}"))) for n in sorted(names)]
 
 
 NAMES = st.sampled_from(["a", "b", "B", "é", "c d"])
@@ -99,10 +101,10 @@ NEW = st.lists(st.tuples(NAMES, st.sampled_from(["", "p", "q"]), st.sampled_from
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(OLD, NEW)
-def test_merge_equals_the_merge_by_hand(spark, old, new):
+def test_merge_follows_the_rule(spark, old, new):
     once = C.merge_tools(existing(spark, *old), incoming(spark, *new).repartition(3))
     rows = [(r["name"], r["description"], r["parameters"]) for r in C.sort_catalog(once).collect()]
-    assert rows == plain_merge(old, new)
+    assert rows == by_the_rule(old, new)
     # Merging the same tools again changes nothing.
     again = [(n, d, p) for n, d, p in rows]
     assert merged(existing(spark, *again), incoming(spark, *new)) == rows
