@@ -32,5 +32,7 @@ def components(links: DataFrame, folder: str) -> DataFrame:
         if now == last:
             break
         last = now
+    else:
+        raise RuntimeError("components did not settle")  # roots would be wrong
     roots = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.union(edges.select(F.col("b"), F.col("b"))).distinct()
