@@ -53,7 +53,7 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         F.coalesce(size("whole"), F.lit(0)).cast("long").alias("n_lines"),
         gone.alias("n_removed"),
-        F.size("removed").cast("long").alias("n_chunks"),
+        F.size("removed").cast("long").alias("n_runs"),
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
     )
 
@@ -225,31 +225,38 @@ SELECT conv_id, count(*) AS n_turns,
 FROM s GROUP BY conv_id
 """
 
+# Cutting 0 rolls over two lines; cutting k takes two digits of each line's hash.
 OP3_SQL = r"""
 WITH l AS (
   SELECT doc_id, i, string_split(text, chr(10))[i] AS line
   FROM documents, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS t(i) WHERE text IS NOT NULL
 ), h AS (
-  SELECT *, CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) AS h FROM l
+  SELECT *, sha256(line) AS m, lag(m) OVER w AS before, lead(m) OVER w AS after FROM l WINDOW w AS (PARTITION BY doc_id ORDER BY i)
 ), r AS (
-  SELECT *, (coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0) * 31 + h) % 4 = 0 AS last FROM h
+  SELECT doc_id, i, line, k, CASE WHEN k = 0
+    THEN (coalesce(CAST('0x' || substr(before, 1, 8) AS BIGINT), 0) * 31 + CAST('0x' || substr(m, 1, 8) AS BIGINT)) % 4 = 0
+    ELSE substr(m, 2 * k, 1) < '6' OR coalesce(substr(after, 2 * k - 1, 1) < '6', false) END AS last
+  FROM h, unnest(range(0, 25)) AS t(k)
 ), c AS (
-  SELECT *, coalesce(sum(last::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk
+  SELECT *, coalesce(sum(last::INT) OVER (PARTITION BY doc_id, k ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk
   FROM r
-), k AS (
-  SELECT doc_id, chunk, string_agg(line, chr(10) ORDER BY i) AS body,
-    sum((trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) <> '')::INT) AS full_lines
-  FROM c GROUP BY doc_id, chunk
+), p AS (
+  SELECT doc_id, min(i) AS first, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS body
+  FROM c GROUP BY doc_id, k, chunk
+  HAVING sum((trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) <> '')::INT) > 1
 ), g AS (
-  SELECT doc_id, chunk, full_lines > 1 AND row_number() OVER (PARTITION BY body, full_lines > 1 ORDER BY doc_id, chunk) > 1 AS gone
-  FROM k
+  SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, first) > 1 AS again FROM (SELECT DISTINCT * FROM p)
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(first, first + n)) AS i FROM g WHERE again
+), e AS (
+  SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) IS DISTINCT FROM i - 1 AS opens FROM gone
 ), o AS (
-  SELECT doc_id, count(*) AS n_lines, CAST(sum(gone::INT) AS BIGINT) AS n_removed,
-    count(DISTINCT chunk) FILTER (gone) AS n_chunks, string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone) AS kept
-  FROM c JOIN g USING (doc_id, chunk) GROUP BY doc_id
+  SELECT l.doc_id, count(*) AS n_lines, count(e.i) AS n_removed, count(*) FILTER (e.opens) AS n_runs,
+    string_agg(line, chr(10) ORDER BY l.i) FILTER (e.i IS NULL) AS kept
+  FROM l LEFT JOIN e ON l.doc_id = e.doc_id AND l.i = e.i GROUP BY l.doc_id
 )
 SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
-  coalesce(n_chunks, 0) AS n_chunks, sha256(coalesce(kept, '')) AS kept_sha256
+  coalesce(n_runs, 0) AS n_runs, sha256(coalesce(kept, '')) AS kept_sha256
 FROM documents d LEFT JOIN o USING (doc_id)
 """
 
