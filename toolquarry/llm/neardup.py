@@ -10,7 +10,9 @@ Texts of equal words are one node from the start, so copies cost nothing further
 bucket, members are compared with a leader, those it does not match with the next one, and so
 on: a bucket of matching texts gives one pair per member. The leader is the member that shares
 most buckets with others, as an original does with its edited copies. Classes are connected
-components.
+components. Where a bucket still holds several, members of the smaller ones are compared with
+the hub of the largest, the text with most links in it, so that a text left over costs one pair
+and not one per text of the class.
 
 What the leaders leave open is settled exactly. The texts of buckets that still hold an untested
 pair of different classes meet by the rarest shingles of each, which every matching pair shares;
@@ -22,18 +24,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
 from .hashing import gram_hashes, mix, separators, within_rows, word_hashes, words
-from .work import stored, text_chunks, work_folder
+from .work import appended, stored, text_chunks, work_folder
 
 SPACE = ((0x20, 0x20), (0x09, 0x0D))
 SHINGLE = 5
 BANDS, ROWS = 8, 2
 IDF_SLOTS = 1 << 20
-ROUNDS = 5
+ROUNDS = 3
 TASK_PAIRS = 1_000
 # Pairs of two classes compared before classes are joined again; more each time.
 FIRST_PAIRS, MORE_PAIRS = 100, 16
@@ -132,7 +135,7 @@ def weighted_samples(row: np.ndarray, shingle: np.ndarray, weight: np.ndarray, n
     return row[first], out
 
 
-def _sketches(idf: np.ndarray):
+def _sketches(idf: Broadcast):
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, bands = [None] * batch.num_rows, [None] * batch.num_rows
@@ -140,10 +143,10 @@ def _sketches(idf: np.ndarray):
                 data = _LOWER[data]
                 starts, ends, rows = _words(data, offsets)
                 raw = data.tobytes()
-                for r in np.flatnonzero(np.diff(rows) >= SHINGLE):
+                for r in np.flatnonzero(np.diff(rows) > 0):
                     own = raw[offsets[r] : offsets[r + 1]]
                     keys[at + r] = hashlib.md5(b" ".join(own.split())).digest()
-                found, samples = weighted_samples(*weighted_shingles(data, starts, ends, rows, idf), BANDS * ROWS)
+                found, samples = weighted_samples(*weighted_shingles(data, starts, ends, rows, idf.value), BANDS * ROWS)
                 for b in range(BANDS):
                     key = samples[:, b * ROWS].copy()
                     for s in range(1, ROWS):
@@ -174,7 +177,7 @@ def similarity(one: tuple, two: tuple) -> float:
     return float(shared / total) if total else 0.0
 
 
-def _compare(idf: np.ndarray):
+def _compare(idf: Broadcast):
     """Rows sorted by ``leader, task, is_member`` to ``node, leader, similarity``."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,7 +185,7 @@ def _compare(idf: np.ndarray):
         for batch in batches:
             nodes, leaders, close = [], [], []
             for r in range(batch.num_rows):
-                own = shingle_weights(batch.column(4)[r].as_py().encode(), idf)
+                own = shingle_weights(batch.column(4)[r].as_py().encode(), idf.value)
                 if not batch.column(2)[r].as_py():
                     leader = own
                     continue
@@ -201,7 +204,7 @@ def _compare(idf: np.ndarray):
     return compare
 
 
-def _similarities(pairs: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
+def _similarities(pairs: DataFrame, texts: DataFrame, idf: Broadcast) -> DataFrame:
     """``node, leader, similarity`` of pairs; a leader's text is sent once per task.
 
     A leader of many members is compared in several tasks.
@@ -221,7 +224,7 @@ def _similarities(pairs: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFr
     return rows.mapInArrow(_compare(idf), "node binary, leader binary, similarity double")
 
 
-def _shingle_order(texts: DataFrame, idf: np.ndarray) -> np.ndarray:
+def _shingle_order(texts: DataFrame, idf: Broadcast) -> np.ndarray:
     """How often the shingles of each slot occur; slots that are shared only cost time."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,7 +232,7 @@ def _shingle_order(texts: DataFrame, idf: np.ndarray) -> np.ndarray:
         for batch in batches:
             for _, data, offsets in text_chunks(batch.column(0)):
                 data = _LOWER[data]
-                _, shingle, _ = weighted_shingles(data, *_words(data, offsets), idf)
+                _, shingle, _ = weighted_shingles(data, *_words(data, offsets), idf.value)
                 slot = (shingle % np.uint64(ORDER_SLOTS)).astype(np.int64)
                 total += np.bincount(slot, minlength=ORDER_SLOTS)
         used = np.flatnonzero(total)
@@ -242,7 +245,7 @@ def _shingle_order(texts: DataFrame, idf: np.ndarray) -> np.ndarray:
     return out
 
 
-def _prefixes(idf: np.ndarray, order: np.ndarray, threshold: float):
+def _prefixes(idf: Broadcast, order: np.ndarray, threshold: float):
     """``node, root, text`` to the shingles of each text that a matching one may share first.
 
     Shingles stand in one order for all texts, rare ones first. What two texts share lies at or
@@ -253,7 +256,7 @@ def _prefixes(idf: np.ndarray, order: np.ndarray, threshold: float):
         for batch in batches:
             for at, data, offsets in text_chunks(batch.column(2)):
                 data = _LOWER[data]
-                row, shingle, weight = weighted_shingles(data, *_words(data, offsets), idf)
+                row, shingle, weight = weighted_shingles(data, *_words(data, offsets), idf.value)
                 if not len(row):
                     continue
                 rank = order[(shingle % np.uint64(ORDER_SLOTS)).astype(np.int64)]
@@ -281,23 +284,47 @@ def _prefixes(idf: np.ndarray, order: np.ndarray, threshold: float):
 
 
 def _open_buckets(members: DataFrame, asked: DataFrame, roots: DataFrame) -> DataFrame:
-    """``bucket`` of each that holds a pair of different classes which no leader tested.
+    """``bucket, major`` of each that holds a pair of different classes which no leader tested.
 
-    Leaders settle buckets of up to three members, so only larger ones are looked at.
+    ``asked`` are the pairs that leaders tested without a match, ``major`` is the class of most
+    members. Leaders settle buckets of up to three members, so only larger ones are looked at.
     """
     large = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 3").select("bucket")
     named = members.join(large, "bucket").join(roots, "node", "left").select("bucket", F.coalesce("root", "node").alias("root"))
     count = named.groupBy("bucket", "root").agg(F.count("*").alias("n")).groupBy("bucket")
-    count = count.agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs")).where("pairs > 0")
+    count = count.agg(
+        ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs"),
+        F.max(F.struct("n", "root"))["root"].alias("major"),
+    ).where("pairs > 0")
     own = roots.select("node", F.col("root").alias("node_root"))
     lead = roots.select(F.col("node").alias("leader"), F.col("root").alias("leader_root"))
-    apart = asked.join(count.select("bucket"), "bucket").join(own, "node", "left").join(lead, "leader", "left")
-    apart = apart.where(F.coalesce("node_root", "node") != F.coalesce("leader_root", "leader"))
-    done = apart.groupBy("bucket").agg(F.count("*").alias("done"))
-    return count.join(done, "bucket", "left").where(F.col("pairs") > F.coalesce("done", F.lit(0))).select("bucket")
+    # Counted by class before leaders get theirs: one row per leader and class of a bucket.
+    tests = asked.join(count.select("bucket"), "bucket").join(own, "node", "left")
+    tests = tests.groupBy("bucket", "leader", F.coalesce("node_root", "node").alias("class")).agg(F.count("*").alias("n"))
+    apart = tests.join(lead, "leader", "left").where(F.col("class") != F.coalesce("leader_root", "leader"))
+    done = apart.groupBy("bucket").agg(F.sum("n").alias("done"))
+    still = count.join(done, "bucket", "left").where(F.col("pairs") > F.coalesce("done", F.lit(0)))
+    return still.select("bucket", "major")
 
 
-def _possible_pairs(texts: DataFrame, idf: np.ndarray, threshold: float, folder: str) -> DataFrame:
+def _hub_pairs(members: DataFrame, still: DataFrame, links: DataFrame, roots: DataFrame) -> DataFrame:
+    """``node, leader``: members of open buckets with the hub of the class that prevails there."""
+    degree = links.groupBy(F.col("leader").alias("node")).agg(F.count("*").alias("degree"))
+    hubs = degree.join(roots, "node").groupBy("root").agg(F.max(F.struct("degree", "node"))["node"].alias("hub"))
+    named = members.join(still, "bucket").join(roots, "node", "left")
+    apart = named.where(F.coalesce("root", "node") != F.col("major")).select("node", "major").distinct()
+    lead = hubs.select(F.col("root").alias("major"), "hub")
+    return apart.join(lead, "major", "left").select("node", F.coalesce("hub", "major").alias("leader")).distinct()
+
+
+def _untested(pairs: DataFrame, tested: DataFrame) -> DataFrame:
+    """``pairs`` that were not compared, either way round."""
+    known = tested.select(F.greatest("node", "leader").alias("high"), F.least("node", "leader").alias("low"))
+    pairs = pairs.withColumn("high", F.greatest("node", "leader")).withColumn("low", F.least("node", "leader"))
+    return pairs.join(known, ["high", "low"], "left_anti").dropDuplicates(["high", "low"]).select("node", "leader")
+
+
+def _possible_pairs(texts: DataFrame, idf: Broadcast, threshold: float, folder: str) -> DataFrame:
     """``node, leader``: all pairs of ``texts`` (``node, root, text``) of different roots that may match."""
     order = _shingle_order(texts, idf)
     keys = texts.select("node", "root", "text").mapInArrow(
@@ -333,7 +360,7 @@ def _possible_pairs(texts: DataFrame, idf: np.ndarray, threshold: float, folder:
     return found.distinct()
 
 
-def _settle(pairs: DataFrame, links: DataFrame, roots: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: float, folder: str):
+def _settle(pairs: DataFrame, roots: DataFrame, texts: DataFrame, idf: Broadcast, threshold: float, folder: str):
     """Roots after all of ``pairs`` are compared, but for those whose texts are of one class by then."""
     limit, step = FIRST_PAIRS, 0
     while True:
@@ -354,8 +381,9 @@ def _settle(pairs: DataFrame, links: DataFrame, roots: DataFrame, texts: DataFra
         )
         close = compared.where(F.col("similarity") >= threshold).select("node", "leader")
         if not close.isEmpty():
-            links = links.union(close)
-            roots = components(links.select(F.col("node").alias("a"), F.col("leader").alias("b")), f"{folder}/classes_{step}")
+            # classes so far stand for the links that made them
+            links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(close)
+            roots = components(links, f"{folder}/classes_{step}")
         pairs, limit, step = turn.where("NOT now").select("node", "leader"), limit * MORE_PAIRS, step + 1
 
 
@@ -366,8 +394,9 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, folder: str | None
     or through others, by a similarity of ``threshold`` or more, ``class_size`` the number of
     its rows. ``text_hash`` is ``xxhash64(text)``.
 
-    Texts with fewer than five words, null ones among them, are alone in a class of their
-    row (two such rows of one id share it). A null ``doc_id`` takes part; it names a class
+    Texts of fewer than five words have no shingle and match only texts of the same words. Texts
+    without a word, null ones among them, are alone in a class of their row (two such rows of
+    one id share it). A null ``doc_id`` takes part; it names a class
     only where no other id does. Repeated rows are members like others. An empty table gives
     no rows; other columns are ignored.
 
@@ -384,7 +413,7 @@ def _classes(docs: DataFrame, threshold: float, folder: str | None) -> DataFrame
     spark = docs.sparkSession
     folder = folder or work_folder(spark)
     frequencies, texts = document_frequencies(docs)
-    idf = idf_table(frequencies, texts)
+    idf = spark.sparkContext.broadcast(idf_table(frequencies, texts))
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     id_type = docs.schema["doc_id"].dataType.simpleString()
     sketched = stored(
@@ -412,7 +441,7 @@ def _classes(docs: DataFrame, threshold: float, folder: str | None) -> DataFrame
 
     first_members = members.select("bucket", "node")
     members = members.withColumn("linked", F.lit(False))
-    links, tested, asked = None, None, None
+    asked, tested = None, None
     for step in range(ROUNDS):
         # Who is linked already leads first: the original behind an edited copy, for one.
         leaders = members.groupBy("bucket").agg(
@@ -421,33 +450,39 @@ def _classes(docs: DataFrame, threshold: float, folder: str | None) -> DataFrame
         led = stored(
             members.join(leaders.where("NOT done"), "bucket").where("node <> leader"), folder, f"led_{step}"
         )
-        own = led.where("NOT linked").select("bucket", "node", "leader")
-        asked = own if asked is None else asked.union(own)
         pairs = led.where("NOT linked").select("node", "leader").distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["node", "leader"], "left_anti")
-        compared = stored(_similarities(pairs, node_texts, idf), folder, f"compared_{step}")
-        tested = compared.select("node", "leader") if tested is None else tested.union(compared.select("node", "leader"))
-        close = compared.where(F.col("similarity") >= threshold).select("node", "leader")
-        links = close if links is None else links.union(close)
-        if step == ROUNDS - 1:
-            break
+        tested = appended(_similarities(pairs, node_texts, idf), folder, "compared")
+        links = tested.where(F.col("similarity") >= threshold).select("node", "leader")
         found = links.withColumn("found", F.lit(True))
-        led = led.join(found, ["node", "leader"], "left").withColumn("linked", F.col("linked") | F.col("found").isNotNull())
-        members = stored(led.select(*members.columns), folder, f"members_{step + 1}")
+        led = led.join(found, ["node", "leader"], "left").withColumn("found", F.col("found").isNotNull())
+        led = stored(led, folder, f"found_{step}")
+        asked = appended(led.where("NOT linked AND NOT found").select("bucket", "node", "leader"), folder, "asked")
+        members = led.withColumn("linked", F.col("linked") | F.col("found")).select(*members.columns)
         if members.where("NOT linked").isEmpty():
             break
-    classes = components(links.select(F.col("node").alias("a"), F.col("leader").alias("b")), folder)
-    left_open = stored(_open_buckets(first_members, asked, classes), folder, "open_buckets")
+    for step in range(ROUNDS + 1):
+        classes = components(links.select(F.col("node").alias("a"), F.col("leader").alias("b")), f"{folder}/rooted_{step}")
+        left_open = stored(_open_buckets(first_members, asked, classes), folder, f"open_buckets_{step}")
+        if step == ROUNDS or left_open.isEmpty():
+            break
+        pairs = stored(_untested(_hub_pairs(first_members, left_open, links, classes), tested), folder, f"hub_pairs_{step}")
+        if pairs.isEmpty():
+            break
+        now = stored(_similarities(pairs, node_texts, idf), folder, f"hub_compared_{step}")
+        tested = appended(now, folder, "compared")
+        links = tested.where(F.col("similarity") >= threshold).select("node", "leader")
+        if now.where(F.col("similarity") >= threshold).isEmpty():
+            break
     if not left_open.isEmpty():
         kept = first_members.join(left_open, "bucket").select("node").distinct()
         kept = kept.join(classes, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
         open_texts = stored(kept.join(node_texts, "node"), folder, "open_texts")
         pairs = _possible_pairs(open_texts, idf, threshold, folder)
-        # Leaders may have tested a pair either way round.
-        known = tested.select(F.greatest("node", "leader").alias("node"), F.least("node", "leader").alias("leader"))
-        pairs = stored(pairs.join(known, ["node", "leader"], "left_anti"), folder, "possible")
-        classes = _settle(pairs, links, classes, open_texts.select("node", "text"), idf, threshold, folder)
+        pairs = stored(_untested(pairs, tested), folder, "possible")
+        classes = _settle(pairs, classes, open_texts.select("node", "text"), idf, threshold, folder)
+    idf.destroy()  # all that needs it is stored
     rooted = nodes.join(classes, "node", "left").select(
         "node", F.coalesce("root", "node").alias("root"), F.col("own.doc_id").alias("own_id"), "n"
     )
@@ -466,8 +501,7 @@ def keep_one(docs: DataFrame, threshold: float = 0.8, folder: str | None = None)
     """``docs`` with one document of each class of near-duplicates, that of the smallest id.
 
     Ties of id go to the smaller text hash, and null ids come last. Rows that repeat both id
-    and text are one document and stay or go together; rows with fewer than five words all
-    stay. Columns stay as they are.
+    and text are one document and stay or go together; rows without a word all stay. Columns stay as they are.
     """
     found = _classes(docs, threshold, folder).where("class_size > 1")
     key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")

@@ -34,6 +34,13 @@ def stored(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def appended(df: DataFrame, folder: str, name: str) -> DataFrame:
+    """Add ``df`` to what rounds before stored under ``name``; all of it, as one table."""
+    path = f"{folder}/{name}"
+    df.write.mode("append").option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def text_filter(keys: DataFrame) -> Callable[[pa.Array], np.ndarray]:
     """Test whether hashes may be among ``keys`` (``text_hash``).
 
