@@ -1,7 +1,9 @@
 import hashlib
 import os
 import random
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -131,3 +133,18 @@ def test_recall_of_repeated_lines(spark):
         found += sum(len(own[k].split()) for k in repeated & gone)
     assert words > 1000
     assert found >= 0.9 * words
+
+
+def test_a_large_batch_is_cut_in_pieces():
+    """What a worker holds follows the size of a piece, not that of the batch."""
+    rng = random.Random(5)
+    texts = ["\n".join(f"line {rng.randrange(10**6)} of it" for _ in range(40)) for _ in range(8_000)]
+    tracemalloc.start()
+    whole = L._chunks(L.CUTTINGS).func(pa.array(texts))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6
+    for at in (0, 3_999, 7_999):
+        _, first, n, digests = L.multi_line_chunks([texts[at]])
+        want = zip(first.tolist(), n.tolist(), digests, strict=True)
+        assert [tuple(c.values()) for c in whole[at].as_py()] == list(want)

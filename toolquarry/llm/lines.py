@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .work import stored, work_folder
+from .work import stored, text_chunks, work_folder
 
 # First cutting: the hashes of two lines, combined by this factor, are a multiple of DIVISOR.
 WIDTH, FACTOR, DIVISOR = 2, 31, 4
@@ -63,26 +63,39 @@ def multi_line_chunks(texts: list[str], cuttings: int = CUTTINGS) -> tuple[np.nd
     hashes = np.frombuffer(raw, np.uint8).reshape(-1, 32)
     full = np.array([bool(line.strip(BLANK)) for own in split for line in own], bool)
     before = np.concatenate(([0], np.cumsum(full)))
-    found = [np.zeros((0, 2), np.int64)]
+    found, size = [np.zeros(0, np.int64)], len(full) + 1
     for ends in chunk_ends(hashes, firsts, cuttings).T if len(full) else ():
         end = np.flatnonzero(ends) + 1
-        runs = np.stack((np.concatenate(([0], end[:-1])), end), 1)
-        found.append(runs[before[runs[:, 1]] - before[runs[:, 0]] > 1])
-    runs = np.unique(np.concatenate(found), axis=0)
+        begin = np.concatenate(([0], end[:-1]))
+        found.append((begin * size + end)[before[end] - before[begin] > 1])
+    runs = np.stack(np.divmod(np.unique(np.concatenate(found)), size), 1)
     text = np.searchsorted(firsts, runs[:, 0], "right") - 1
     digests = [hashlib.sha256(raw[32 * a : 32 * b]).digest()[:16] for a, b in runs.tolist()]
     return text, runs[:, 0] - firsts[text], runs[:, 1] - runs[:, 0], digests
 
 
-def _chunks(cuttings: int):
-    @F.arrow_udf(T.ArrayType(CHUNK))
-    def chunks(texts: pa.Array) -> pa.Array:
-        text, first, n, digests = multi_line_chunks(texts.to_pylist(), cuttings)
-        offsets = np.searchsorted(text, np.arange(len(texts) + 1)).astype(np.int32)
+def chunk_lists(texts: pa.Array, cuttings: int = CUTTINGS) -> pa.Array:
+    """The chunks of each text.
+
+    Lines under all cuttings take many times the bytes of their texts, so a batch goes through in
+    pieces of bounded size.
+    """
+    out = [pa.array([], pa.list_(_CHUNK))]
+    for start, _, offsets in text_chunks(texts):
+        part = texts.slice(start, len(offsets) - 1).to_pylist()
+        text, first, n, digests = multi_line_chunks(part, cuttings)
+        offsets = np.searchsorted(text, np.arange(len(part) + 1)).astype(np.int32)
         parts = pa.StructArray.from_arrays(
             [pa.array(first), pa.array(n), pa.array(digests, pa.binary())], fields=list(_CHUNK)
         )
-        return pa.ListArray.from_arrays(pa.array(offsets), parts)
+        out.append(pa.ListArray.from_arrays(pa.array(offsets), parts))
+    return pa.concat_arrays(out)
+
+
+def _chunks(cuttings: int):
+    @F.arrow_udf(T.ArrayType(CHUNK))
+    def chunks(texts: pa.Array) -> pa.Array:
+        return chunk_lists(texts, cuttings)
 
     return chunks.asNondeterministic()
 
@@ -105,7 +118,7 @@ def covering(runs: list[dict]) -> list[dict]:
 
 @F.arrow_udf(T.ArrayType(CHUNK))
 def _covering(runs: pa.Array) -> pa.Array:
-    return pa.array([covering(own) for own in runs.to_pylist()], pa.list_(_CHUNK))
+    return pa.array([covering(own.as_py()) for own in runs], pa.list_(_CHUNK))
 
 
 @F.arrow_udf(T.ArrayType(RUN))
