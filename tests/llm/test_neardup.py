@@ -162,6 +162,28 @@ def test_pair_rows_grow_with_a_group_of_edited_copies(spark, documents, tmp_path
     assert pairs < 8 * len(rows)
 
 
+def test_texts_left_open_meet_one_text_of_a_class_first(spark, tmp_path):
+    """Half of the copies are in the class of the original; the others join it before pairs are made."""
+    rng = random.Random(4)
+    words = [f"word{i}" for i in range(150)]
+    rows = [(b"node000", " ".join(words))]
+    for i in range(1, 201):
+        own = list(words)
+        for at in (30, 75, 120):
+            own[at + rng.randrange(-25, 25)] = f"other{rng.randrange(10_000)}"
+        rows.append((b"node%03d" % i, " ".join(own)))
+    rows.append((b"node999", " ".join(f"far{i}" for i in range(100)) + " " + " ".join(words[:50])))
+    texts = spark.createDataFrame(rows, "node binary, text string")
+    roots = texts.where("node <= 'node100'").selectExpr("node", "CAST('node000' AS binary) AS root")
+    tested = spark.createDataFrame([], "node binary, leader binary, similarity double")
+    frequencies, n = N.document_frequencies(texts)
+    idf = spark.sparkContext.broadcast(N.idf_table(frequencies, n))
+    found = N._settled(texts, roots, tested, idf, 0.8, str(tmp_path)).collect()
+    assert {bytes(r["node"]) for r in found if bytes(r["root"]) == b"node000"} == {x for x, _ in rows[:-1]}
+    pairs = sum(spark.read.parquet(str(tmp_path / x)).count() for x in ("partners_0", "possible"))
+    assert pairs < 4 * len(rows)
+
+
 def test_empty_table(documents):
     assert N.near_duplicates(documents([])).count() == 0
     assert N.keep_one(documents([])).count() == 0

@@ -16,7 +16,9 @@ and not one per text of the class.
 
 What the leaders leave open is settled exactly. The texts of buckets that still hold an untested
 pair of different classes meet by the rarest shingles of each, which every matching pair shares;
-lengths and places of these bound the similarity, and the pairs left are compared like the others.
+lengths and places of these bound the similarity. First each text is compared with one text of the
+largest class at each such shingle, one pair per text and shingle however large the class, and
+classes that this links are joined. Only then all pairs of the classes left are made and compared.
 """
 
 import hashlib
@@ -246,7 +248,7 @@ def _shingle_order(texts: DataFrame, idf: Broadcast) -> np.ndarray:
 
 
 def _prefixes(idf: Broadcast, order: np.ndarray, threshold: float):
-    """``node, root, text`` to the shingles of each text that a matching one may share first.
+    """``node, text`` to the shingles of each text that a matching one may share first.
 
     Shingles stand in one order for all texts, rare ones first. What two texts share lies at or
     behind the first shared shingle, so there at least ``threshold`` of each weight is left.
@@ -254,7 +256,7 @@ def _prefixes(idf: Broadcast, order: np.ndarray, threshold: float):
 
     def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, data, offsets in text_chunks(batch.column(2)):
+            for at, data, offsets in text_chunks(batch.column(1)):
                 data = _LOWER[data]
                 row, shingle, weight = weighted_shingles(data, *_words(data, offsets), idf.value)
                 if not len(row):
@@ -272,12 +274,11 @@ def _prefixes(idf: Broadcast, order: np.ndarray, threshold: float):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(rows),
-                        batch.column(1).take(rows),
                         pa.array(shingle[keep].view(np.int64)),
                         pa.array(total[keep]),
                         pa.array(rest[keep]),
                     ],
-                    ["node", "root", "shingle", "total", "rest"],
+                    ["node", "shingle", "total", "rest"],
                 )
 
     return prefix
@@ -324,22 +325,51 @@ def _untested(pairs: DataFrame, tested: DataFrame) -> DataFrame:
     return pairs.join(known, ["high", "low"], "left_anti").dropDuplicates(["high", "low"]).select("node", "leader")
 
 
-def _possible_pairs(texts: DataFrame, idf: Broadcast, threshold: float, folder: str) -> DataFrame:
-    """``node, leader``: all pairs of ``texts`` (``node, root, text``) of different roots that may match."""
+def _prefix_keys(texts: DataFrame, idf: Broadcast, threshold: float, folder: str) -> DataFrame:
+    """``node, shingle, total, rest`` of ``texts`` (``node, text``), for shingles of several texts."""
     order = _shingle_order(texts, idf)
-    keys = texts.select("node", "root", "text").mapInArrow(
-        _prefixes(idf, order, threshold), "node binary, root binary, shingle long, total double, rest double"
+    keys = texts.select("node", "text").mapInArrow(
+        _prefixes(idf, order, threshold), "node binary, shingle long, total double, rest double"
     )
     keys = stored(keys, folder, "prefixes")
+    shared = keys.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").select("shingle")
+    return stored(keys.join(shared, "shingle"), folder, "prefixes_shared")
+
+
+def _mixed_keys(keys: DataFrame, roots: DataFrame) -> DataFrame:
+    """``keys`` of shingles in several classes, with ``root``, the largest class (``major``) and ``parts``."""
+    keys = keys.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     counts = keys.groupBy("shingle", "root").agg(F.count("*").alias("n"))
     mixed = counts.groupBy("shingle").agg(
         F.max_by("root", "n").alias("major"), F.sum("n").alias("n"), F.count("*").alias("roots")
     )
     mixed = mixed.where("roots > 1").select("shingle", "major", F.ceil(F.col("n") / TASK_PAIRS).alias("parts"))
-    share = threshold / (1 + threshold) * (1 - SLACK)
+    return keys.join(mixed, "shingle")
+
+
+def _least_share(threshold: float) -> float:
+    """Of the weight of both, what two matching texts share at least."""
+    return threshold / (1 + threshold) * (1 - SLACK)
+
+
+def _partners(keys: DataFrame, threshold: float, step: int) -> DataFrame:
+    """``node, leader``: texts outside of the largest class of a shingle with one text in it.
+
+    First that with least of its own, as an original has; another one at each further step.
+    """
+    choice = F.col("rest") / F.col("total") if step == 0 else F.xxhash64("node", "shingle", F.lit(step))
+    one = F.max(F.struct(choice.alias("choice"), "node", "total", "rest")).alias("p")
+    partner = keys.where("root = major").groupBy("shingle").agg(one)
+    pairs = keys.where("root <> major").join(partner, "shingle")
+    close = F.least("rest", "p.rest") >= _least_share(threshold) * (F.col("total") + F.col("p.total"))
+    return pairs.where(close).select("node", F.col("p.node").alias("leader"))
+
+
+def _possible_pairs(keys: DataFrame, threshold: float) -> DataFrame:
+    """``node, leader``: all pairs of different roots in ``_mixed_keys`` that may match."""
+    share = _least_share(threshold)
     # Of two matching texts the one of less weight has this much left at the first shared shingle.
     keys = keys.withColumn("early", F.col("rest") >= 2 * share * F.col("total"))
-    keys = stored(keys.join(mixed, "shingle"), folder, "prefixes_mixed")
     # The largest class of a shingle is never held against itself; a hot shingle is dealt out by node.
     left = keys.where("root <> major").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     right = keys.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
@@ -360,6 +390,13 @@ def _possible_pairs(texts: DataFrame, idf: Broadcast, threshold: float, folder:
     return found.distinct()
 
 
+def _joined_classes(roots: DataFrame, links: DataFrame, folder: str) -> DataFrame:
+    """Roots once ``links`` (``node, leader``) have joined classes."""
+    # classes so far stand for the links that made them
+    before = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    return components(before.union(links.select("node", "leader")), folder)
+
+
 def _settle(pairs: DataFrame, roots: DataFrame, texts: DataFrame, idf: Broadcast, threshold: float, folder: str):
     """Roots after all of ``pairs`` are compared, but for those whose texts are of one class by then."""
     limit, step = FIRST_PAIRS, 0
@@ -381,12 +418,30 @@ def _settle(pairs: DataFrame, roots: DataFrame, texts: DataFrame, idf: Broadcast
         )
         close = compared.where(F.col("similarity") >= threshold).select("node", "leader")
         if not close.isEmpty():
-            # classes so far stand for the links that made them
-            links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(close)
-            roots = components(links, f"{folder}/classes_{step}")
+            roots = _joined_classes(roots, close, f"{folder}/classes_{step}")
         pairs, limit, step = turn.where("NOT now").select("node", "leader"), limit * MORE_PAIRS, step + 1
 
 
+def _settled(texts: DataFrame, roots: DataFrame, tested: DataFrame, idf: Broadcast, threshold: float, folder: str):
+    """Roots once all pairs of ``texts`` (``node, text``) of different classes are settled."""
+    keys = _prefix_keys(texts, idf, threshold, folder)
+    for step in range(ROUNDS + 1):
+        mixed = stored(_mixed_keys(keys, roots), folder, f"prefixes_mixed_{step}")
+        if step == ROUNDS:
+            break
+        pairs = stored(_untested(_partners(mixed, threshold, step), tested), folder, f"partners_{step}")
+        if pairs.isEmpty():
+            break
+        now = stored(_similarities(pairs, texts, idf), folder, f"partners_compared_{step}")
+        tested = appended(now, folder, "compared")
+        close = now.where(F.col("similarity") >= threshold)
+        if close.isEmpty():
+            break
+        roots = _joined_classes(roots, close, f"{folder}/partnered_{step}")
+    pairs = stored(_untested(_possible_pairs(mixed, threshold), tested), folder, "possible")
+    return _settle(pairs, roots, texts, idf, threshold, folder)
+
+
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, folder: str | None = None) -> DataFrame:
     """``doc_id, text_hash, class_id, class_size``, one row per row of ``docs``.
 
@@ -477,11 +532,8 @@ def _classes(docs: DataFrame, threshold: float, folder: str | None) -> DataFrame
             break
     if not left_open.isEmpty():
         kept = first_members.join(left_open, "bucket").select("node").distinct()
-        kept = kept.join(classes, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
         open_texts = stored(kept.join(node_texts, "node"), folder, "open_texts")
-        pairs = _possible_pairs(open_texts, idf, threshold, folder)
-        pairs = stored(_untested(pairs, tested), folder, "possible")
-        classes = _settle(pairs, classes, open_texts.select("node", "text"), idf, threshold, folder)
+        classes = _settled(open_texts, classes, tested, idf, threshold, folder)
     idf.destroy()  # all that needs it is stored
     rooted = nodes.join(classes, "node", "left").select(
         "node", F.coalesce("root", "node").alias("root"), F.col("own.doc_id").alias("own_id"), "n"
