@@ -90,3 +90,18 @@ def test_edge_cases(documents):
 
 def test_empty_table(documents):
     assert result(documents([]), 200) == []
+
+
+def test_a_unit_of_many_contexts_is_certified_once(spark, documents, tmp_path):
+    """Edited copies of one text share its units; what goes to the shards does not grow with the copies."""
+    rng = random.Random(9)
+    piece = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    base = piece(1_000)
+    rows = []
+    for i in range(120):
+        at = rng.randrange(100, 900)
+        rows.append((i, base[:at] + f"<{i}>" + base[at:] + piece(30)))
+    assert result(spark.createDataFrame(rows, "doc_id long, text string"), 200) == brute(rows, 200)
+    S.repeated_bytes(documents(rows), 200, str(tmp_path)).count()
+    runs = spark.read.parquet(str(tmp_path / "pairs")).count()
+    assert runs < 7 * len(rows)  # 1187 when every context had its own

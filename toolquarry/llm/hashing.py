@@ -79,8 +79,12 @@ def gram_hashes(values: np.ndarray, n: int) -> np.ndarray:
     """Hash of ``n`` values from each position on; no rows are told apart here."""
     if len(values) < n:
         return np.zeros(0, np.uint64)
-    starts = np.arange(len(values) - n + 1)
-    return span_hashes(values, starts, starts + n, _OTHER)
+    # as span_hashes gives them, from slices instead of gathers
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * _power_table(_OTHER, len(sums))[: len(values)], dtype=np.uint64, out=sums[1:])
+    inverse = _power_table(pow(_OTHER, -1, 1 << 64), len(sums))
+    hashed = (sums[n:] - sums[:-n]) * inverse[: len(values) - n + 1]
+    return mix(hashed + np.uint64(n * _OTHER & 0xFFFFFFFFFFFFFFFF))
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:

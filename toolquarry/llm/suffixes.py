@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,12 +34,17 @@ def byte_units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return data.astype(np.uint64) + np.uint64(1), offsets
 
 
+def _packed(columns: list[np.ndarray]) -> np.ndarray:
+    key = columns[0].astype(np.int64)
+    for c in columns[1:]:
+        key = (key << _SHORT) | c
+    return key
+
+
 def _order(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Order of rows by several columns, and where a row differs from its predecessor."""
     if max(int(c.max(initial=0)) for c in columns).bit_length() <= _SHORT and len(columns) <= 3:
-        key = columns[0].astype(np.int64)
-        for c in columns[1:]:
-            key = (key << _SHORT) | c
+        key = _packed(columns)
         order = np.argsort(key)
         key = key[order]
         return order, key[1:] != key[:-1]
@@ -89,6 +95,8 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
 def _smaller(sorted_rows: list[np.ndarray], rows: list[np.ndarray]) -> np.ndarray:
     """How many of ``sorted_rows`` come before each of ``rows``; both are sorted, none tie."""
     n = len(sorted_rows[0])
+    if len(rows) <= 3 and max(int(c.max(initial=0)) for c in (*sorted_rows, *rows)).bit_length() <= _SHORT:
+        return np.searchsorted(_packed(sorted_rows), _packed(rows))
     both = [np.concatenate(c) for c in zip(sorted_rows, rows, strict=True)]
     order, _ = _order(both)
     own = order >= n
@@ -96,15 +104,18 @@ def _smaller(sorted_rows: list[np.ndarray], rows: list[np.ndarray]) -> np.ndarra
     return counts
 
 
-def repeated_starts(passages: list[bytes], size: int) -> list[np.ndarray]:
-    """For every passage, which of its ``len - size + 1`` windows occur twice in all of them."""
+def repeated_starts(passages: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """First byte of each passage in all of them together, and where in these a window starts that occurs twice.
+
+    Windows do not cross passages.
+    """
     data = np.frombuffer(b"".join(passages), np.uint8)
     lengths = np.array([len(p) for p in passages], np.int64)
     begin = np.cumsum(lengths) - lengths
     windows = np.maximum(lengths - size + 1, 0)
+    row, i = _counted(windows)
     valid = np.zeros(len(data), bool)
-    for b, w in zip(begin.tolist(), windows.tolist(), strict=True):
-        valid[b : b + w] = True
+    valid[begin[row] + i] = True
     order = suffix_array(data.astype(np.int32) + 1)
     order = order[valid[order]]
     again = np.zeros(len(data), bool)
@@ -116,7 +127,7 @@ def repeated_starts(passages: list[bytes], size: int) -> list[np.ndarray]:
             equal = np.flatnonzero((text[1:] == text[:-1]).all(axis=1))
             again[part[equal]] = True
             again[part[equal + 1]] = True
-    return [again[b : b + w] for b, w in zip(begin.tolist(), windows.tolist(), strict=True)]
+    return begin, again
 
 
 def _at(side: str, shift: Column) -> Column:
@@ -187,21 +198,25 @@ def _single_windows(values, begin, n, _lead, size: int) -> tuple[np.ndarray, ...
     return row, i, np.ones(len(i), np.int64), part, part
 
 
-def _runs_across(mixed: DataFrame, texts: DataFrame, size: int, folder: str) -> DataFrame:
+def _runs_across(mixed: DataFrame, texts: DataFrame, size: int, folder: str) -> tuple[DataFrame, DataFrame]:
     """Runs of windows that differing contexts of one anchor share.
 
     ``mixed``: ``anchor, context, n, lead, one, two``, with two places where there are. Returns
-    ``anchor, context, i, n, one, two`` for contexts with a single place. Windows are looked
-    up by units; only units that agree in their core and not in all go on by window.
+    units ``anchor, context, i, core, part`` of contexts with a single place, and the runs in
+    them, ``core, part, k, n, one, two``, each once however many contexts hold the unit. Windows
+    are looked up by units; only units that agree in their core and not in all go on by window.
     """
     units = _hash_parts(mixed.select("one.*", "n", "lead", "anchor", "context"), texts, size, _units, ("anchor", "context"))
     units = stored(units, folder, "units")
     placed = units.join(mixed.select("anchor", "context", "one", "two"), ["anchor", "context"])
     different = placed.groupBy("core", "part").agg(
-        F.min(_at("one", F.col("i"))).alias("one"), F.max(_at("two", F.col("i"))).alias("two"), F.first("n").alias("n")
+        F.min(_at("one", F.col("i"))).alias("one"),
+        F.max(_at("two", F.col("i"))).alias("two"),
+        F.first("n").alias("n"),
+        F.max(F.col("one") == F.col("two")).alias("single"),
     )
     different = stored(different, folder, "different_units")
-    whole = different.where("one <> two")
+    whole = different.where("one <> two AND single")
     # A core of several units, one of which has a single place.
     open_cores = different.groupBy("core").agg(
         F.count("*").alias("units"), F.min(F.col("one") != F.col("two")).alias("settled")
@@ -226,16 +241,14 @@ def _runs_across(mixed: DataFrame, texts: DataFrame, size: int, folder: str) ->
     )
     whole = whole.select("core", "part", F.lit(0).cast("long").alias("k"), "n", "one", "two")
     single = mixed.where("one = two").select("anchor", "context")
-    own = units.drop("n").join(single, ["anchor", "context"])
-    return own.join(whole.unionByName(found), ["core", "part"]).select(
-        "anchor", "context", (F.col("i") + F.col("k")).cast("int").alias("i"), F.col("n").cast("int").alias("n"), "one", "two"
-    )
+    return units.drop("n").join(single, ["anchor", "context"]), whole.unionByName(found)
 
 
-def _orders(rows: DataFrame, texts: DataFrame, size: int, folder: str) -> DataFrame:
-    """What to cut from which text: ``doc_id, text_hash, shard, start, n, run``.
+def _orders(rows: DataFrame, texts: DataFrame, size: int, folder: str) -> tuple[DataFrame, DataFrame]:
+    """What to cut from which text: ``doc_id, text_hash, shard, start, n, run``; and the units of ``_runs_across``.
 
-    ``run`` names the windows to certify, ``anchor, context, i``; null only bears witness.
+    ``run`` names the windows to certify, ``anchor, context`` or, if ``across``, ``core, part`` of
+    a unit, and the first window ``k`` in it; null only bears witness.
     """
     place = F.struct("doc_id", "text_hash", "start")
     found = rows.groupBy("anchor", "context").agg(
@@ -245,88 +258,116 @@ def _orders(rows: DataFrame, texts: DataFrame, size: int, folder: str) -> DataFr
     alone = F.col("one") == F.col("two")
     open_anchors = found.groupBy("anchor").agg(F.count("*").alias("contexts"), F.max(alone).alias("open"))
     open_anchors = open_anchors.where("contexts > 1 AND open").select("anchor")
-    # A context with two places is held against itself, in step with its neighbours.
-    pairs = found.where(~alone).select("anchor", "context", F.lit(0).alias("i"), "n", "one", "two")
     mixed = stored(found.join(open_anchors, "anchor"), folder, "mixed")
-    pairs = stored(pairs.unionByName(_runs_across(mixed, texts, size, folder)), folder, "pairs")
+    units, runs = _runs_across(mixed, texts, size, folder)
+    # A context with two places is held against itself, in step with its neighbours.
+    pairs = found.where(~alone).select(
+        F.col("anchor").alias("key"), F.col("context").alias("part"), F.lit(0).cast("long").alias("k"),
+        F.col("n").cast("long").alias("n"), "one", "two", F.lit(False).alias("across"),
+    )
+    runs = runs.select(
+        F.col("core").alias("key"), "part", F.col("k").cast("long").alias("k"), F.col("n").cast("long").alias("n"),
+        "one", "two", F.lit(True).alias("across"),
+    )
+    pairs = stored(pairs.unionByName(runs), folder, "pairs")
     shards = max(1, int(pairs.agg(F.sum("n")).first()[0] or 0) // SHARD_BYTES)
     block = F.floor(F.col("one.start") / BLOCK)
     pairs = pairs.withColumn("shard", F.pmod(F.xxhash64("one.doc_id", "one.text_hash", block), F.lit(shards)))
-    run = F.struct("anchor", "context", "i")
-    none = F.lit(None).cast("struct<anchor:bigint,context:bigint,i:int>")
-    return pairs.select("one.*", "shard", "n", run.alias("run")).unionByName(
+    run = F.struct("key", "part", "k", "across")
+    none = F.lit(None).cast("struct<key:bigint,part:bigint,k:bigint,across:boolean>")
+    orders = pairs.select("one.*", "shard", "n", run.alias("run")).unionByName(
         pairs.select("two.*", "shard", "n", none.alias("run"))
     )
+    return orders, units
 
 
-_RUN = pa.struct([("start", pa.int64()), ("n", pa.int64()), ("anchor", pa.int64()), ("context", pa.int64()), ("i", pa.int64())])
+_NAMES = ("key", "part", "k", "across")
+_RUN = pa.struct([(name, pa.int64()) for name in ("start", "n", *_NAMES[:3])] + [("across", pa.bool_())])
 
 
 def _cut_passages(size: int):
-    """Texts and their orders to passages, each with the runs to certify in it."""
+    """Texts and their sorted orders to passages, each with the runs to certify in it."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush(rows):
-            shard, passage, runs = zip(*rows, strict=True)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(shard, pa.int64()), pa.array(passage, pa.binary()), pa.array(runs, pa.list_(_RUN))],
-                ["shard", "passage", "runs"],
-            )
-
-        rows, held = [], 0
         for batch in batches:
-            for text, orders in zip(batch.column(0), batch.column(1), strict=True):
-                data = text.as_py().encode()
-                merged: list[list] = []
-                for o in orders.as_py():
-                    end = o["start"] + o["n"] - 1 + size
-                    if merged and merged[-1][0] == o["shard"] and o["start"] <= merged[-1][2] - size + 1:
-                        merged[-1][2] = max(merged[-1][2], end)
-                    else:
-                        merged.append([o["shard"], o["start"], end, []])
-                    if o["run"] is not None:
-                        merged[-1][3].append({"start": o["start"] - merged[-1][1], "n": o["n"]} | o["run"])
-                for shard, start, end, runs in merged:
-                    rows.append((shard, data[start:end], runs))
-                    held += end - start + 48 * len(runs)
-                    if held > FLUSH_BYTES:
-                        yield flush(rows)
-                        rows, held = [], 0
-        if rows:
-            yield flush(rows)
+            lists = batch.column(1)
+            orders, doc = lists.flatten(), np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+            if not len(doc):
+                continue
+            shard, start, n = (orders.field(x).to_numpy(zero_copy_only=False) for x in ("shard", "start", "n"))
+            end = start + n - 1 + size
+            # Orders of a text and shard whose windows touch or overlap are one passage.
+            group = np.concatenate(([0], np.cumsum((doc[1:] != doc[:-1]) | (shard[1:] != shard[:-1]))))
+            reach = np.maximum.accumulate(end + group * (end.max() + 1)) - group * (end.max() + 1)
+            new = np.concatenate(([True], (group[1:] != group[:-1]) | (start[1:] > reach[:-1] - size + 1)))
+            first = np.flatnonzero(new)
+            begin, stop = start[first], reach[np.append(first[1:], len(doc)) - 1]
+            passage = np.cumsum(new) - 1
+            run = orders.field("run")
+            asked = np.flatnonzero(run.is_valid().to_numpy(zero_copy_only=False))
+            columns = [pa.array(start[asked] - begin[passage[asked]]), pa.array(n[asked])]
+            runs = pa.StructArray.from_arrays(columns + [run.field(x).take(pa.array(asked)) for x in _NAMES], fields=list(_RUN))
+            at = np.searchsorted(passage[asked], np.arange(len(first) + 1))
+            held = np.cumsum(stop - begin + 48 * np.diff(at))
+            texts, number, data = batch.column(0), -1, b""
+            a = 0
+            while a < len(first):
+                b = max(a + 1, int(np.searchsorted(held, (held[a - 1] if a else 0) + FLUSH_BYTES, "right")))
+                cuts = []
+                for d, x, y in zip(doc[first[a:b]].tolist(), begin[a:b].tolist(), stop[a:b].tolist(), strict=True):
+                    if d != number:
+                        number, data = d, texts[d].as_py().encode()
+                    cuts.append(data[x:y])
+                own = pa.ListArray.from_arrays(
+                    pa.array((at[a : b + 1] - at[a]).astype(np.int32)), runs.slice(at[a], at[b] - at[a])
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(shard[first[a:b]]), pa.array(cuts, pa.binary()), own], ["shard", "passage", "runs"]
+                )
+                a = b
 
     return cut
 
 
 def _certify(size: int):
     """Passages, sorted by shard, to the runs of windows that occur twice in their shard."""
-    names = ["anchor", "context", "i", "n"]
-
-    def islands(again: np.ndarray) -> tuple[list[int], list[int]]:
-        edge = np.flatnonzero(np.diff(np.concatenate(([0], again.astype(np.int8), [0]))))
-        return edge[::2].tolist(), edge[1::2].tolist()
 
-    def certified(passages: list[bytes], runs: list) -> pa.RecordBatch:
-        out: list[list[int]] = [[], [], [], []]
-        for again, own in zip(repeated_starts(passages, size), runs, strict=True):
-            for r in own:
-                for a, b in zip(*islands(again[r["start"] : r["start"] + r["n"]]), strict=True):
-                    for column, value in zip(out, (r["anchor"], r["context"], r["i"] + a, b - a), strict=True):
-                        column.append(value)
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names)
+    def certified(passages: list[bytes], counts: list[np.ndarray], runs: list[pa.Array]) -> pa.RecordBatch:
+        begin, again = repeated_starts(passages, size)
+        runs = pa.concat_arrays(runs)
+        start, n, *names, across = runs.flatten()
+        start, n = start.to_numpy(), n.to_numpy()
+        row, i = _counted(n)
+        found = again[np.repeat(begin, np.concatenate(counts))[row] + start[row] + i]
+        same = row[1:] == row[:-1]
+        # Windows in a row that occur twice are one run again.
+        low = np.flatnonzero(found & np.concatenate(([True], ~(found[:-1] & same)))[: len(row)])
+        high = np.flatnonzero(found & np.concatenate((~(found[1:] & same), [True]))[: len(row)])
+        of = pa.array(row[low])
+        key, part, k = (x.take(of) for x in names)
+        moved = pa.array(k.to_numpy() + i[low])
+        return pa.RecordBatch.from_arrays(
+            [key, part, moved, pa.array(high - low + 1), across.take(of)], ["key", "part", "k", "n", "across"]
+        )
 
     def certify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, passages, runs = None, [], []
+        shard, passages, counts, runs = None, [], [], []
         for batch in batches:
-            for s, passage, own in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if s != shard:
+            shards, lists = batch.column(0).to_numpy(), batch.column(2)
+            cuts = np.flatnonzero(shards[1:] != shards[:-1]) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(shards)], strict=True):
+                if a == b:
+                    continue
+                if shards[a] != shard:
                     if passages:
-                        yield certified(passages, runs)
-                    shard, passages, runs = s, [], []
-                passages.append(passage)
-                runs.append(own)
+                        yield certified(passages, counts, runs)
+                    shard, passages, counts, runs = shards[a], [], [], []
+                own = lists.slice(a, b - a)
+                passages += batch.column(1).slice(a, b - a).to_pylist()
+                counts.append(np.diff(own.offsets.to_numpy()))
+                runs.append(own.flatten())
         if passages:
-            yield certified(passages, runs)
+            yield certified(passages, counts, runs)
 
     return certify
 
@@ -353,18 +394,26 @@ def repeated_bytes(docs: DataFrame, size: int = 200, folder: str | None = None)
     texts = texts.alias("t").join(some.alias("s"), _same_row("t", "s"), "left_semi")
     texts = stored(texts.dropDuplicates(["doc_id", "text_hash"]), folder, "texts")
 
-    orders = _orders(rows, texts, size, folder).groupBy("doc_id", "text_hash").agg(
+    orders, units = _orders(rows, texts, size, folder)
+    orders = orders.groupBy("doc_id", "text_hash").agg(
         F.sort_array(F.collect_list(F.struct("shard", "start", "n", "run"))).alias("orders")
     )
     passages = texts.alias("t").join(orders.alias("o"), _same_row("t", "o")).select("text", "orders")
-    kind = "struct<start:bigint,n:bigint,anchor:bigint,context:bigint,i:bigint>"
+    kind = "struct<start:bigint,n:bigint,key:bigint,part:bigint,k:bigint,across:boolean>"
     passages = passages.mapInArrow(_cut_passages(size), f"shard long, passage binary, runs array<{kind}>")
     certified = (
         passages.repartition("shard")
         .sortWithinPartitions("shard")
-        .mapInArrow(_certify(size), "anchor long, context long, i long, n long")
+        .mapInArrow(_certify(size), "key long, part long, k long, n long, across boolean")
+    )
+    certified = stored(certified, folder, "certified")
+    # Only now every context gets what was certified of its units.
+    across = certified.where("across").select(F.col("key").alias("core"), "part", "k", "n")
+    across = units.join(across, ["core", "part"]).select("anchor", "context", (F.col("i") + F.col("k")).alias("i"), "n")
+    plain = certified.where("NOT across").select(
+        F.col("key").alias("anchor"), F.col("part").alias("context"), F.col("k").alias("i"), "n"
     )
-    certified = stored(certified, folder, "certified").groupBy("anchor", "context").agg(
+    certified = plain.unionByName(across).groupBy("anchor", "context").agg(
         F.collect_set(F.struct("i", "n")).alias("runs")
     )
     spans = rows.drop("n").join(certified, ["anchor", "context"]).select(
@@ -381,24 +430,28 @@ def repeated_bytes(docs: DataFrame, size: int = 200, folder: str | None = None)
 
 
 def _remove(texts: pa.Array, spans: pa.Array) -> pa.Array:
-    out = []
-    for text, own in zip(texts.to_pylist(), spans.to_pylist(), strict=True):
-        data = (text or "").encode()
-        merged: list[list[int]] = []
-        for s in own or []:
-            if merged and s["start"] <= merged[-1][1]:
-                merged[-1][1] = max(merged[-1][1], s["end"])
-            else:
-                merged.append([s["start"], s["end"]])
-        kept, at = [], 0
-        for a, b in merged:
-            kept.append(data[at:a])
-            at = b
-        kept = b"".join([*kept, data[at:]])
-        out.append((len(data), len(data) - len(kept), len(merged), kept))
-    kinds = {"n_bytes": pa.int64(), "n_removed": pa.int64(), "n_spans": pa.int64(), "kept": pa.binary()}
-    columns = [pa.array([x[i] for x in out], k) for i, k in enumerate(kinds.values())]
-    return pa.StructArray.from_arrays(columns, list(kinds))
+    """``spans`` are sorted by start; null where there are none."""
+    data = texts.fill_null("").cast(pa.binary()).to_pylist()
+    n = np.array([len(x) for x in data], np.int64)
+    kept, removed, counts = list(data), np.zeros(len(data), np.int64), np.zeros(len(data), np.int64)
+    if spans.null_count < len(spans):
+        doc = np.repeat(np.arange(len(spans)), pc.list_value_length(spans).fill_null(0).to_numpy())
+        start, end = (spans.flatten().field(x).to_numpy() for x in ("start", "end"))
+        # Spans that touch or overlap are one.
+        step = end.max(initial=0) + 1
+        reach = np.maximum.accumulate(end + doc * step) - doc * step
+        new = np.concatenate(([True], (doc[1:] != doc[:-1]) | (start[1:] > reach[:-1])))[: len(doc)]
+        first = np.flatnonzero(new)
+        doc, start, end = doc[first], start[first], reach[np.append(first[1:], len(doc))[: len(first)] - 1]
+        counts = np.bincount(doc, minlength=len(data))
+        np.add.at(removed, doc, end - start)
+        cuts, ends = np.cumsum(counts) - counts, np.cumsum(counts)
+        for d in np.flatnonzero(counts).tolist():
+            text, own = data[d], slice(cuts[d], ends[d])
+            begins = [0, *end[own].tolist()]
+            kept[d] = b"".join([text[a:b] for a, b in zip(begins, [*start[own].tolist(), len(text)], strict=True)])
+    columns = [pa.array(n), pa.array(removed), pa.array(counts, pa.int64()), pa.array(kept, pa.binary())]
+    return pa.StructArray.from_arrays(columns, ["n_bytes", "n_removed", "n_spans", "kept"])
 
 
 def remove_bytes(docs: DataFrame, size: int = 200, folder: str | None = None) -> DataFrame:
