@@ -1,6 +1,9 @@
 import random
 import re
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from toolquarry.llm import substrings as S
@@ -95,3 +98,20 @@ def test_automaton_knows_the_smallest_id():
     assert automaton.matches(list("zbcabcab"), 3, 4) == [4, 5, 7, 8]
     assert automaton.matches(list("zbcabcab"), 3, 6) == [4, 5, 6, 7, 8]
     assert automaton.matches(list("abc"), 3, 5) == []
+
+
+def test_windows_are_hashed_a_piece_of_the_batch_at_a_time():
+    texts = [" ".join(f"w{(i * 7 + k) % 311}" for k in range(200)) for i in range(2_000)]
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("n", pa.int32()), ("anchor", pa.int64()), ("context", pa.int64())]))
+    runs = [[{"start": a, "n": 15, "anchor": i, "context": a} for a in range(0, 150, 15)] for i in range(len(texts))]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(runs, kind)], ["text", "runs"])
+    tracemalloc.start()
+    found = sum(len(x) for x in S._window_rows(50)([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == 2_000 * 150 and peak < 12e6
+    rows = [r for x in S._window_rows(50)([batch.slice(0, 1)]) for r in x.to_pylist()]
+    values, _ = S.word_units(np.frombuffer(texts[0].encode(), np.uint8), np.array([0, len(texts[0])]))
+    assert [r["context"] + r["i"] for r in rows] == list(range(150))
+    want = S.window_hashes(values, np.arange(150), 50).view(np.int64).tolist()
+    assert [r["window"] for r in rows] == want

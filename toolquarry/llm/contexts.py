@@ -74,7 +74,6 @@ def contexts(docs: DataFrame, units: Units, size: int, gram: int) -> DataFrame:
     return rows.mapInArrow(find, f"doc_id {kind}, text_hash long, start int, n int, lead int, anchor long, context long")
 
 
-def window_hashes(values: np.ndarray, start: int, n: int, size: int) -> np.ndarray:
-    """One hash for each of ``n`` windows."""
-    at = np.arange(start, start + n)
+def window_hashes(values: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """One hash for the window at each of the places ``at``."""
     return mix(span_hashes(values, at, at + size) + np.uint64(size))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .contexts import contexts, window_hashes
+from .contexts import PIECE_BYTES, contexts, window_hashes
 from .hashing import separators, word_hashes, words
 from .work import of_the_rest, passing, stored, text_chunks, text_filter, work_folder
 
@@ -125,6 +125,30 @@ def _spans(ends: list[int], size: int) -> list[tuple[int, int]]:
     return [tuple(s) for s in spans]
 
 
+def _window_rows(size: int):
+    """Texts and runs ``start, n, anchor, context`` to ``anchor, context, i, window``, a piece of the batch at a time."""
+
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            ends = lists.offsets.to_numpy()
+            columns = [lists.values.field(x).to_numpy() for x in ("start", "n", "anchor", "context")]
+            for first, data, offsets in text_chunks(batch.column(0), PIECE_BYTES):
+                values, at = word_units(data, offsets)
+                own = slice(ends[first], ends[first + len(at) - 1])
+                start, n, anchor, context = (c[own] for c in columns)
+                begin = np.repeat(at[:-1], np.diff(ends[first : first + len(at)])) + start
+                run = np.repeat(np.arange(len(n)), n)
+                i = np.arange(len(run)) - np.repeat(np.cumsum(n) - n, n)
+                window = window_hashes(values, begin[run] + i, size)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(anchor[run]), pa.array(context[run]), pa.array(i.astype(np.int32)), pa.array(window.view(np.int64))],
+                    ["anchor", "context", "i", "window"],
+                )
+
+    return hashes
+
+
 def _mixed_windows(rows: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     """``anchor, context, i, window`` for contexts whose anchor has several of them.
 
@@ -135,33 +159,7 @@ def _mixed_windows(rows: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     )
     joined = texts.join(wanted, ["doc_id", "text_hash"]).select("text", "runs")
 
-    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            runs = batch.column(1).to_pylist()
-            for first, data, offsets in text_chunks(batch.column(0)):
-                values, at = word_units(data, offsets)
-                out = ([], [], [], [])
-                for r in range(len(at) - 1):
-                    own = values[at[r] : at[r + 1]]
-                    for run in runs[first + r]:
-                        found = window_hashes(own, run["start"], run["n"], size)
-                        for column, part in zip(
-                            out,
-                            (
-                                np.full(len(found), run["anchor"]),
-                                np.full(len(found), run["context"]),
-                                np.arange(len(found), dtype=np.int32),
-                                found.view(np.int64),
-                            ),
-                            strict=True,
-                        ):
-                            column.append(part)
-                if out[0]:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(c)) for c in out], ["anchor", "context", "i", "window"]
-                    )
-
-    return joined.mapInArrow(hashes, "anchor long, context long, i int, window long")
+    return joined.mapInArrow(_window_rows(size), "anchor long, context long, i int, window long")
 
 
 def _assigned(shared: DataFrame, texts: DataFrame, size: int, folder: str) -> DataFrame:
