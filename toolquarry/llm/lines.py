@@ -185,14 +185,16 @@ def repeated_chunks(docs: DataFrame, folder: str | None = None, cuttings: int =
     )
     # Counted before anything is joined: a hot chunk sends one row per task.
     place = F.struct("doc_id", "text_hash", "first")
+    n = chunks.count()
     repeated = chunks.groupBy("digest").agg(F.min(place).alias("original"), F.max(place).alias("last"))
-    repeated = stored(repeated.where("original <> last").select("digest", "original"), folder, "repeated")
+    repeated = stored(repeated.where("original <> last").select("digest", "original"), folder, "repeated", n)
     again = chunks.join(repeated, "digest").where(place != F.col("original"))
     cover = again.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("first", "n", "digest")).alias("runs"))
     cover = stored(
         cover.select("doc_id", "text_hash", F.explode(_covering("runs")).alias("c")).select("doc_id", "text_hash", "c.*"),
         folder,
         "cover",
+        n,
     )
     # The one chunk of each digest that the others are held against.
     used = cover.select("digest").distinct()

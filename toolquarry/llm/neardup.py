@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .hashing import gram_hashes, mix, separators, within_rows, word_hashes, words
-from .work import appended, stored, text_chunks, work_folder
+from .work import appended, files_for, stored, text_chunks, work_folder
 
 SPACE = ((0x20, 0x20), (0x09, 0x0D))
 SHINGLE = 5
@@ -206,10 +206,10 @@ def _compare(idf: Broadcast):
     return compare
 
 
-def _similarities(pairs: DataFrame, texts: DataFrame, idf: Broadcast) -> DataFrame:
-    """``node, leader, similarity`` of pairs; a leader's text is sent once per task.
+def _similarities(pairs: DataFrame, texts: DataFrame, idf: Broadcast, n: int) -> DataFrame:
+    """``node, leader, similarity`` of pairs, about ``n`` at most; a leader's text is sent once per task.
 
-    A leader of many members is compared in several tasks.
+    A leader of many members is compared in several tasks. What they find is gathered in few.
     """
     load = pairs.groupBy("leader").agg(F.ceil(F.count("*") / TASK_PAIRS).alias("tasks"))
     members = pairs.join(load, "leader").select(
@@ -223,7 +223,8 @@ def _similarities(pairs: DataFrame, texts: DataFrame, idf: Broadcast) -> DataFra
     )
     rows = members.unionByName(leaders).join(texts, "node").select("leader", "task", "is_member", "node", "text")
     rows = rows.repartition("leader", "task").sortWithinPartitions("leader", "task", "is_member")
-    return rows.mapInArrow(_compare(idf), "node binary, leader binary, similarity double")
+    compared = rows.mapInArrow(_compare(idf), "node binary, leader binary, similarity double")
+    return compared.repartition(files_for(n))
 
 
 def _shingle_order(texts: DataFrame, idf: Broadcast) -> np.ndarray:
@@ -333,7 +334,7 @@ def _prefix_keys(texts: DataFrame, idf: Broadcast, threshold: float, folder: str
     )
     keys = stored(keys, folder, "prefixes")
     shared = keys.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").select("shingle")
-    return stored(keys.join(shared, "shingle"), folder, "prefixes_shared")
+    return stored(keys.join(shared, "shingle"), folder, "prefixes_shared", keys.count())
 
 
 def _mixed_keys(keys: DataFrame, roots: DataFrame) -> DataFrame:
@@ -399,7 +400,7 @@ def _joined_classes(roots: DataFrame, links: DataFrame, folder: str) -> DataFram
 
 def _settle(pairs: DataFrame, roots: DataFrame, texts: DataFrame, idf: Broadcast, threshold: float, folder: str):
     """Roots after all of ``pairs`` are compared, but for those whose texts are of one class by then."""
-    limit, step = FIRST_PAIRS, 0
+    limit, step, n = FIRST_PAIRS, 0, pairs.count()
     while True:
         own = roots.select("node", F.col("root").alias("node_root"))
         lead = roots.select(F.col("node").alias("leader"), F.col("root").alias("leader_root"))
@@ -407,14 +408,14 @@ def _settle(pairs: DataFrame, roots: DataFrame, texts: DataFrame, idf: Broadcast
             "node", "leader", F.coalesce("node_root", "node").alias("one"), F.coalesce("leader_root", "leader").alias("two")
         )
         named = named.where("one <> two").select("node", "leader", F.least("one", "two").alias("one"), F.greatest("one", "two").alias("two"))
-        named = stored(named, folder, f"open_{step}")
+        named = stored(named, folder, f"open_{step}", n)
         if named.isEmpty():
             return roots
         parts = named.groupBy("one", "two").agg(F.ceil(F.count("*") / limit).alias("parts"))
         turn = named.join(parts, ["one", "two"]).withColumn("now", F.pmod(F.xxhash64("node", "leader"), F.col("parts")) == 0)
-        turn = stored(turn.select("node", "leader", "now"), folder, f"turn_{step}")
+        turn = stored(turn.select("node", "leader", "now"), folder, f"turn_{step}", n)
         compared = stored(
-            _similarities(turn.where("now").select("node", "leader"), texts, idf), folder, f"settled_{step}"
+            _similarities(turn.where("now").select("node", "leader"), texts, idf, n), folder, f"settled_{step}"
         )
         close = compared.where(F.col("similarity") >= threshold).select("node", "leader")
         if not close.isEmpty():
@@ -425,14 +426,15 @@ def _settle(pairs: DataFrame, roots: DataFrame, texts: DataFrame, idf: Broadcast
 def _settled(texts: DataFrame, roots: DataFrame, tested: DataFrame, idf: Broadcast, threshold: float, folder: str):
     """Roots once all pairs of ``texts`` (``node, text``) of different classes are settled."""
     keys = _prefix_keys(texts, idf, threshold, folder)
+    n = keys.count()
     for step in range(ROUNDS + 1):
-        mixed = stored(_mixed_keys(keys, roots), folder, f"prefixes_mixed_{step}")
+        mixed = stored(_mixed_keys(keys, roots), folder, f"prefixes_mixed_{step}", n)
         if step == ROUNDS:
             break
-        pairs = stored(_untested(_partners(mixed, threshold, step), tested), folder, f"partners_{step}")
+        pairs = stored(_untested(_partners(mixed, threshold, step), tested), folder, f"partners_{step}", n)
         if pairs.isEmpty():
             break
-        now = stored(_similarities(pairs, texts, idf), folder, f"partners_compared_{step}")
+        now = stored(_similarities(pairs, texts, idf, n), folder, f"partners_compared_{step}")
         tested = appended(now, folder, "compared")
         close = now.where(F.col("similarity") >= threshold)
         if close.isEmpty():
@@ -482,12 +484,13 @@ def _classes(docs: DataFrame, threshold: float, folder: str | None) -> DataFrame
         F.count("*").alias("n"),
         F.first("bands").alias("bands"),
     )
-    nodes = stored(nodes, folder, "nodes")
+    nodes = stored(nodes, folder, "nodes", texts)
+    most = BANDS * texts  # members of buckets
     members = nodes.select("node", F.posexplode("bands").alias("band", "bucket")).select("bucket", "node")
     shared = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    members = stored(members.join(shared, "bucket"), folder, "shared")
+    members = stored(members.join(shared, "bucket"), folder, "shared", most)
     score = members.groupBy("node").agg(F.sum("size").alias("score"))
-    members = stored(members.drop("size").join(score, "node"), folder, "members_0")
+    members = stored(members.drop("size").join(score, "node"), folder, "members_0", most)
     # The text of every node in a shared bucket, once.
     wanted = members.select("node").distinct().join(nodes, "node").select("node", "own.*").withColumnRenamed("text_hash", "own_hash")
     same = (F.col("w.own_hash") == F.col("d.text_hash")) & F.col("w.doc_id").eqNullSafe(F.col("d.doc_id"))
@@ -503,29 +506,29 @@ def _classes(docs: DataFrame, threshold: float, folder: str | None) -> DataFrame
             F.max(F.struct("linked", "score", "node"))["node"].alias("leader"), F.min("linked").alias("done")
         )
         led = stored(
-            members.join(leaders.where("NOT done"), "bucket").where("node <> leader"), folder, f"led_{step}"
+            members.join(leaders.where("NOT done"), "bucket").where("node <> leader"), folder, f"led_{step}", most
         )
         pairs = led.where("NOT linked").select("node", "leader").distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["node", "leader"], "left_anti")
-        tested = appended(_similarities(pairs, node_texts, idf), folder, "compared")
+        tested = appended(_similarities(pairs, node_texts, idf, most), folder, "compared")
         links = tested.where(F.col("similarity") >= threshold).select("node", "leader")
         found = links.withColumn("found", F.lit(True))
         led = led.join(found, ["node", "leader"], "left").withColumn("found", F.col("found").isNotNull())
-        led = stored(led, folder, f"found_{step}")
-        asked = appended(led.where("NOT linked AND NOT found").select("bucket", "node", "leader"), folder, "asked")
+        led = stored(led, folder, f"found_{step}", most)
+        asked = appended(led.where("NOT linked AND NOT found").select("bucket", "node", "leader"), folder, "asked", most)
         members = led.withColumn("linked", F.col("linked") | F.col("found")).select(*members.columns)
         if members.where("NOT linked").isEmpty():
             break
     for step in range(ROUNDS + 1):
-        classes = components(links.select(F.col("node").alias("a"), F.col("leader").alias("b")), f"{folder}/rooted_{step}")
-        left_open = stored(_open_buckets(first_members, asked, classes), folder, f"open_buckets_{step}")
+        classes = components(links.select(F.col("node").alias("a"), F.col("leader").alias("b")), f"{folder}/rooted_{step}", most)
+        left_open = stored(_open_buckets(first_members, asked, classes), folder, f"open_buckets_{step}", most)
         if step == ROUNDS or left_open.isEmpty():
             break
-        pairs = stored(_untested(_hub_pairs(first_members, left_open, links, classes), tested), folder, f"hub_pairs_{step}")
+        pairs = stored(_untested(_hub_pairs(first_members, left_open, links, classes), tested), folder, f"hub_pairs_{step}", most)
         if pairs.isEmpty():
             break
-        now = stored(_similarities(pairs, node_texts, idf), folder, f"hub_compared_{step}")
+        now = stored(_similarities(pairs, node_texts, idf, most), folder, f"hub_compared_{step}")
         tested = appended(now, folder, "compared")
         links = tested.where(F.col("similarity") >= threshold).select("node", "leader")
         if now.where(F.col("similarity") >= threshold).isEmpty():
