@@ -5,7 +5,7 @@ from pathlib import Path
 
 import pytest
 
-from toolquarry.llm import lines, neardup
+from toolquarry.llm import decontam, lines, neardup
 from toolquarry.llm.components import components
 from toolquarry.llm.work import FILE_ROWS, files_for
 
@@ -57,3 +57,10 @@ def test_components(spark, many_partitions, tmp_path):
     links = spark.createDataFrame([(i, i + 1) for i in range(0, 400, 2)], "a long, b long")
     assert components(links, str(tmp_path), 200).count() == 400
     assert [files(tmp_path, name) for name in ("edges_0", "large_1", "edges_1")] == [1, 1, 1]
+
+
+def test_decontamination_needs_one_python_worker_a_task(spark, documents, tmp_path):
+    docs = documents([(1, "a b c d e f"), (2, "x")])
+    block = decontam._Block([7], ["b c d"], lambda vocabulary: {i: 1 for i in range(len(vocabulary))})
+    found = docs.select("doc_id", decontam._hits_of(block)("text").alias("f")).select("doc_id", "f.*")
+    assert [(r["n_words"], [tuple(h) for h in r["hits"]]) for r in found.sort("doc_id").collect()] == [(6, [(1, 3, 7)]), (1, [])]

@@ -27,6 +27,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 HITS = "array<struct<start:bigint,size:bigint,window_id:bigint>>"
+FOUND = f"struct<n_words:bigint,hits:{HITS}>"
 _PAIRS = 1 << 20
 
 
@@ -131,17 +132,21 @@ class _Block:
 def _find_hits(texts: pa.Array, block: _Block) -> pa.Array:
     table = separators(*BETWEEN_WORDS)
     found: list[list] = [[] for _ in range(len(texts))]
+    counts = [np.zeros(0, np.int64)]
     for first, data, offsets in text_chunks(texts):
         data = _LOWER[data]
         starts, ends, rows = words(data, offsets, table)
+        counts.append(np.diff(rows))
         for r, s, w in block.hits(data, starts, ends, rows):
             found[first + r].append({"start": s, "size": int(block.size[w]), "window_id": int(block.ids[w])})
     kind = pa.list_(pa.struct([("start", pa.int64()), ("size", pa.int64()), ("window_id", pa.int64())]))
-    return pa.array(found, kind)
+    return pa.StructArray.from_arrays([pa.array(np.concatenate(counts)), pa.array(found, kind)], ["n_words", "hits"])
 
 
 def _hits_of(block: _Block):
-    @F.arrow_udf(HITS)
+    """``FOUND`` of a text; both at once, so that a task needs one Python worker."""
+
+    @F.arrow_udf(FOUND)
     def hits(texts: pa.Array) -> pa.Array:
         return _find_hits(texts, block)
 
@@ -207,8 +212,8 @@ def contamination(
             [r["window"] for r in block_rows],
             lambda vocabulary: _count_words(texts, vocabulary),
         )
-        part = rows.withColumn("hits", _hits_of(block)(F.col("text"))).where(F.size("hits") > 0)
-        part = part.select("doc_id", "text_hash", count_words("text").alias("n_words"), "hits")
+        part = rows.withColumn("found", _hits_of(block)(F.col("text"))).where(F.size("found.hits") > 0)
+        part = part.select("doc_id", "text_hash", "found.n_words", "found.hits")
         found = part if found is None else found.unionByName(part)
     if found is None:
         found = rows.where("false").select(

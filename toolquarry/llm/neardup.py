@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .hashing import gram_hashes, mix, separators, within_rows, word_hashes, words
-from .work import appended, files_for, stored, text_chunks, work_folder
+from .work import appended, stored, text_chunks, work_folder
 
 SPACE = ((0x20, 0x20), (0x09, 0x0D))
 SHINGLE = 5
@@ -206,10 +206,10 @@ def _compare(idf: Broadcast):
     return compare
 
 
-def _similarities(pairs: DataFrame, texts: DataFrame, idf: Broadcast, n: int) -> DataFrame:
-    """``node, leader, similarity`` of pairs, about ``n`` at most; a leader's text is sent once per task.
+def _similarities(pairs: DataFrame, texts: DataFrame, idf: Broadcast) -> DataFrame:
+    """``node, leader, similarity`` of pairs; a leader's text is sent once per task.
 
-    A leader of many members is compared in several tasks. What they find is gathered in few.
+    A leader of many members is compared in several tasks.
     """
     load = pairs.groupBy("leader").agg(F.ceil(F.count("*") / TASK_PAIRS).alias("tasks"))
     members = pairs.join(load, "leader").select(
@@ -223,8 +223,7 @@ def _similarities(pairs: DataFrame, texts: DataFrame, idf: Broadcast, n: int) ->
     )
     rows = members.unionByName(leaders).join(texts, "node").select("leader", "task", "is_member", "node", "text")
     rows = rows.repartition("leader", "task").sortWithinPartitions("leader", "task", "is_member")
-    compared = rows.mapInArrow(_compare(idf), "node binary, leader binary, similarity double")
-    return compared.repartition(files_for(n))
+    return rows.mapInArrow(_compare(idf), "node binary, leader binary, similarity double")
 
 
 def _shingle_order(texts: DataFrame, idf: Broadcast) -> np.ndarray:
@@ -415,7 +414,7 @@ def _settle(pairs: DataFrame, roots: DataFrame, texts: DataFrame, idf: Broadcast
         turn = named.join(parts, ["one", "two"]).withColumn("now", F.pmod(F.xxhash64("node", "leader"), F.col("parts")) == 0)
         turn = stored(turn.select("node", "leader", "now"), folder, f"turn_{step}", n)
         compared = stored(
-            _similarities(turn.where("now").select("node", "leader"), texts, idf, n), folder, f"settled_{step}"
+            _similarities(turn.where("now").select("node", "leader"), texts, idf), folder, f"settled_{step}", n
         )
         close = compared.where(F.col("similarity") >= threshold).select("node", "leader")
         if not close.isEmpty():
@@ -434,8 +433,8 @@ def _settled(texts: DataFrame, roots: DataFrame, tested: DataFrame, idf: Broadca
         pairs = stored(_untested(_partners(mixed, threshold, step), tested), folder, f"partners_{step}", n)
         if pairs.isEmpty():
             break
-        now = stored(_similarities(pairs, texts, idf, n), folder, f"partners_compared_{step}")
-        tested = appended(now, folder, "compared")
+        now = stored(_similarities(pairs, texts, idf), folder, f"partners_compared_{step}", n)
+        tested = appended(now, folder, "compared", n)
         close = now.where(F.col("similarity") >= threshold)
         if close.isEmpty():
             break
@@ -511,7 +510,7 @@ def _classes(docs: DataFrame, threshold: float, folder: str | None) -> DataFrame
         pairs = led.where("NOT linked").select("node", "leader").distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["node", "leader"], "left_anti")
-        tested = appended(_similarities(pairs, node_texts, idf, most), folder, "compared")
+        tested = appended(_similarities(pairs, node_texts, idf), folder, "compared", most)
         links = tested.where(F.col("similarity") >= threshold).select("node", "leader")
         found = links.withColumn("found", F.lit(True))
         led = led.join(found, ["node", "leader"], "left").withColumn("found", F.col("found").isNotNull())
@@ -528,8 +527,8 @@ def _classes(docs: DataFrame, threshold: float, folder: str | None) -> DataFrame
         pairs = stored(_untested(_hub_pairs(first_members, left_open, links, classes), tested), folder, f"hub_pairs_{step}", most)
         if pairs.isEmpty():
             break
-        now = stored(_similarities(pairs, node_texts, idf, most), folder, f"hub_compared_{step}")
-        tested = appended(now, folder, "compared")
+        now = stored(_similarities(pairs, node_texts, idf), folder, f"hub_compared_{step}", most)
+        tested = appended(now, folder, "compared", most)
         links = tested.where(F.col("similarity") >= threshold).select("node", "leader")
         if now.where(F.col("similarity") >= threshold).isEmpty():
             break
